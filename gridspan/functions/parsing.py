@@ -17,9 +17,19 @@ NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 INTEGER = r"^\s*[+-]?\d+\s*$"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+ISO_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d.*)?$"
 FIRST_DATE = date(1677, 9, 22)
 LAST_DATE = date(2262, 4, 11)
-OTHER_DATE_FORMATS = ["yyyyMMdd", "yyyy/M/d", "M/d/yyyy", "MMM d, yyyy", "d MMM yyyy"]
+OTHER_DATES = {
+    r"^\d{8}$": "yyyyMMdd",
+    r"^\d{4}/\d{1,2}/\d{1,2}$": "yyyy/M/d",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$": "MMM d, yyyy",
+    r"^\d{1,2} [A-Z][a-z]{2} \d{4}$": "d MMM yyyy",
+}
+
+# Every conversion sits behind its pattern: a failing parse raises and catches an
+# exception per row inside Spark, which costs far more than the pattern does.
 
 
 def _col(col: Column | str) -> Column:
@@ -33,7 +43,7 @@ def _in_range(day: Column) -> Column:
 def parse_date(col: Column | str) -> Column:
     """Year-month-day text to DATE; anything else, blanks around it included, is NULL."""
     text = _col(col)
-    return F.when(text.rlike(ISO_DATE), _in_range(F.try_to_date(text, "yyyy-M-d")))
+    return F.when(text.rlike(ISO_DATE), _in_range(text.try_cast("date")))
 
 
 def parse_any_timestamp(col: Column | str, strict: bool = True) -> Column:
@@ -42,10 +52,11 @@ def parse_any_timestamp(col: Column | str, strict: bool = True) -> Column:
     NULL stays NULL. Text in no known layout fails the job, or is NULL if not strict.
     """
     text = F.trim(_col(col))
-    found = F.coalesce(
-        text.try_cast("timestamp_ntz"),
-        *[F.try_to_date(text, f).cast("timestamp_ntz") for f in OTHER_DATE_FORMATS],
-    )
+    found = F.when(text.rlike(ISO_TIME), text.try_cast("timestamp_ntz"))
+    for pattern, layout in OTHER_DATES.items():
+        found = found.when(
+            text.rlike(pattern), F.try_to_date(text, layout).cast("timestamp_ntz")
+        )
     found = F.when(_in_range(F.to_date(found)).isNotNull(), found)
     return _or_fail(text, found, "not a date: ") if strict else found
 

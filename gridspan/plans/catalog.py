@@ -459,25 +459,30 @@ def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def _placed(spark: SparkSession, sf_dir: str, by_type: bool) -> DataFrame:
+    series = st.hourly_series(_events(spark, sf_dir), by_type)
+    return forecasting.placed(series, "Ontario_Demand", ["series"])
+
+
 @query
 def forecast_ar1(spark, sf_dir):
-    series = st.hourly_series(_events(spark, sf_dir))
-    rows = forecasting.holdout_forecast(series, "Ontario_Demand", ["series"], (1, 1, 0))
+    placed = _placed(spark, sf_dir, by_type=False)
+    rows = forecasting.holdout_forecast(placed, "Ontario_Demand", ["series"], (1, 1, 0))
     return _rounded(rows, "yhat")
 
 
 @query
 def forecast_ar5(spark, sf_dir):
     """The default order, one model per event type."""
-    series = st.hourly_series(_events(spark, sf_dir), by_type=True)
-    rows = forecasting.holdout_forecast(series, "Ontario_Demand", ["series"])
+    placed = _placed(spark, sf_dir, by_type=True)
+    rows = forecasting.holdout_forecast(placed, "Ontario_Demand", ["series"])
     return _rounded(rows, "yhat")
 
 
 @query
 def forecast_error(spark, sf_dir):
-    series = st.hourly_series(_events(spark, sf_dir), by_type=True)
-    rows = forecasting.holdout_forecast(series, "Ontario_Demand", ["series"], (1, 1, 0))
+    placed = _placed(spark, sf_dir, by_type=True)
+    rows = forecasting.holdout_forecast(placed, "Ontario_Demand", ["series"], (1, 1, 0))
     errors = fc.forecast_error(rows, "Ontario_Demand", "yhat", by=["series"])
     return _rounded(errors, "mse", "rmse")
 
@@ -486,9 +491,9 @@ def forecast_error(spark, sf_dir):
 def forecast_runs(spark, sf_dir):
     """Order, sizes and error of a run per series, logged to a table."""
     store = _store(spark, "runs")
-    series = st.hourly_series(_events(spark, sf_dir), by_type=True)
+    placed = _placed(spark, sf_dir, by_type=True)
     forecasting.log_runs(
-        store, forecasting.score(series, "Ontario_Demand", ["series"], st.INSTANT)
+        store, forecasting.score(placed, "Ontario_Demand", ["series"], st.INSTANT)
     )
     runs = store.read(schemas.FORECAST_RUNS, schemas.FORECAST_RUN_SCHEMA)
     return _rounded(runs.drop("run_at"), "mse", "rmse")
@@ -498,8 +503,8 @@ def forecast_runs(spark, sf_dir):
 def model_coefficients(spark, sf_dir):
     """Fitted models, stored and read back as a coefficient table."""
     store = _store(spark, "models")
-    series = st.hourly_series(_events(spark, sf_dir), by_type=True)
-    models = forecasting.train_models(series, "Ontario_Demand", ["series"], schemas.SHORT_ORDER)
+    placed = _placed(spark, sf_dir, by_type=True)
+    models = forecasting.train_models(placed, "Ontario_Demand", ["series"], schemas.SHORT_ORDER)
     forecasting.save_models(store, models)
     terms = fc.coefficients(forecasting.load_models(store), ["series"])
     return terms.select("series", "term", "lag", F.round("value", 6).alias("value"))
@@ -508,9 +513,9 @@ def model_coefficients(spark, sf_dir):
 @query
 def forecast_arma_weekly(spark, sf_dir):
     """Weekly lags and one MA term, predicting the held-out range."""
-    series = st.hourly_series(_events(spark, sf_dir))
+    placed = _placed(spark, sf_dir, by_type=False)
     rows = forecasting.holdout_forecast(
-        series, "Ontario_Demand", ["series"], schemas.WEEKLY_ORDER
+        placed, "Ontario_Demand", ["series"], schemas.WEEKLY_ORDER
     )
     return _rounded(rows, "yhat")
 
@@ -519,9 +524,9 @@ def forecast_arma_weekly(spark, sf_dir):
 def forecast_720(spark, sf_dir):
     """The stored weekly model, 720 hours ahead of the last observed hour."""
     store = _store(spark, "ahead")
-    series = st.hourly_series(_events(spark, sf_dir))
-    forecasting.save_models(store, forecasting.train_models(series, "Ontario_Demand", ["series"]))
-    rows = forecasting.forecast_ahead(forecasting.load_models(store), series, ["series"])
+    placed = _placed(spark, sf_dir, by_type=False)
+    forecasting.save_models(store, forecasting.train_models(placed, "Ontario_Demand", ["series"]))
+    rows = forecasting.forecast_ahead(forecasting.load_models(store), placed, ["series"])
     return _rounded(rows, "yhat")
 
 
@@ -534,11 +539,11 @@ def future_hours(spark, sf_dir):
 @query
 def actual_vs_forecast(spark, sf_dir):
     """Observed test hours and the forecast beyond them, one under the other."""
-    series = st.hourly_series(_events(spark, sf_dir))
     by, value = ["series"], "Ontario_Demand"
-    _, test = forecasting.split(series, value, by)
-    models = forecasting.train_models(series, value, by, (1, 1, 0))
-    ahead = forecasting.forecast_ahead(models, series, by)
+    placed = _placed(spark, sf_dir, by_type=False)
+    test = forecasting.test_part(placed)
+    models = forecasting.train_models(placed, value, by, (1, 1, 0))
+    ahead = forecasting.forecast_ahead(models, placed, by)
     return _rounded(fc.actual_vs_forecast(test, ahead, by, "timestamp", value), value)
 
 

@@ -12,38 +12,58 @@ from gridspan import schemas
 from gridspan.functions import wall_clock
 from gridspan.operators import forecast as fc
 from gridspan.operators.ordering import time_split
+from gridspan.session import materialize
 from gridspan.sinks.store import Store
 
 
-def split(series: DataFrame, value: str, by: Sequence[str], timestamp: str = "timestamp"):
-    """Train and test rows; a missing value is no observation and takes no position."""
-    observed = series.dropna(subset=[value])
-    marked = time_split(observed, [timestamp], by)
-    train = marked.filter("is_train").withColumn("n", F.col("train_size"))
-    return train, marked.filter(~F.col("is_train"))
+def placed(
+    series: DataFrame, value: str, by: Sequence[str], timestamp: str = "timestamp"
+) -> DataFrame:
+    """Observations with their position and train/test mark, stored for the steps that follow.
+
+    A missing value is no observation and takes no position. The steps of a forecast
+    read this table several times, so it is written once; raw data are not read again.
+    """
+    observed = series.select(*by, timestamp, F.col(value).cast("double").alias(value))
+    observed = materialize(observed.dropna(subset=[value]), "observed")
+    return materialize(time_split(observed, [timestamp], by), "placed")
+
+
+def train_part(rows: DataFrame) -> DataFrame:
+    return rows.filter("is_train").withColumn("n", F.col("train_size"))
+
+
+def test_part(rows: DataFrame) -> DataFrame:
+    return rows.filter("NOT is_train")
+
+
+def part_sizes(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        F.max("train_size").alias("train_size"),
+        F.max(F.col("n") - F.col("train_size")).alias("test_size"),
+    )
 
 
 def holdout_forecast(
-    series: DataFrame,
+    rows: DataFrame,
     value: str,
     by: Sequence[str],
     order: tuple[int, int, int] = schemas.SHORT_ORDER,
     timestamp: str = "timestamp",
 ) -> DataFrame:
-    """Fit on the first 80 %, predict the rest: rows (by, step, timestamp, value, yhat)."""
-    p, d, q = order
-    if d != 1:
-        raise ValueError("only one order of differencing is supported")
-    train, test = split(series, value, by, timestamp)
-    models = fc.fit_arima(train, value, p, q, by)
-    sizes = test.groupBy(*by).agg(F.count(F.lit(1)).alias("test_size"))
+    """Fit on the train part, predict the rest: rows (by, step, timestamp, value, yhat).
+
+    `rows` are as `placed` returns them, here and below.
+    """
+    models = train_models(rows, value, by, order)
+    sizes = part_sizes(rows, by).select(*by, "test_size")
     predicted = fc.forecast(models.join(sizes, list(by)), "test_size", by)
-    actual = test.withColumn("step", F.col("pos") - F.col("train_size"))
+    actual = test_part(rows).withColumn("step", F.col("pos") - F.col("train_size"))
     return actual.join(predicted, [*by, "step"]).select(*by, "step", timestamp, value, "yhat")
 
 
 def score(
-    series: DataFrame,
+    rows: DataFrame,
     value: str,
     by: Sequence[str],
     instant: datetime,
@@ -52,19 +72,16 @@ def score(
 ) -> DataFrame:
     """One run record per series: order, sizes and holdout error."""
     p, d, q = order
-    errors = fc.forecast_error(
-        holdout_forecast(series, value, by, order, timestamp), value, "yhat", by
-    )
-    sizes = series.dropna(subset=[value]).groupBy(*by).agg(F.count(F.lit(1)).alias("size"))
-    train = F.floor(F.col("size") * F.lit(schemas.TRAIN_SHARE))
-    return errors.join(sizes, list(by)).select(
+    held_out = holdout_forecast(rows, value, by, order, timestamp)
+    errors = fc.forecast_error(held_out, value, "yhat", by)
+    return errors.join(part_sizes(rows, by), list(by)).select(
         wall_clock(instant).alias("run_at"),
         F.concat_ws("/", *by).alias("series"),
         F.lit(p).alias("p"),
         F.lit(d).alias("d"),
         F.lit(q).alias("q"),
-        train.alias("train_size"),
-        (F.col("size") - train).alias("test_size"),
+        "train_size",
+        "test_size",
         "mse",
         "rmse",
     )
@@ -83,16 +100,16 @@ def load_models(store: Store) -> DataFrame:
 
 
 def train_models(
-    series: DataFrame,
+    rows: DataFrame,
     value: str,
     by: Sequence[str],
     order: tuple[int, int, int] = schemas.WEEKLY_ORDER,
-    timestamp: str = "timestamp",
 ) -> DataFrame:
     """Models fitted on the train part of each series."""
-    train, _ = split(series, value, by, timestamp)
-    p, _, q = order
-    return fc.fit_arima(train, value, p, q, by)
+    p, d, q = order
+    if d != 1:
+        raise ValueError("only one order of differencing is supported")
+    return fc.fit_arima(train_part(rows), value, p, q, by)
 
 
 def forecast_ahead(

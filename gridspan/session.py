@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", partitions: int | None = None) -> SparkSession:
@@ -36,3 +36,14 @@ def scratch(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="gridspan-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/gridspan/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once to the shared scratch folder and read back.
+
+    For a frame several later steps read: its source is then scanned once, and a lost
+    executor costs a re-read of this table instead of a recomputation.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -38,14 +38,10 @@ def pick_up(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = instant()
-        batch = batch.persist()
-        try:
-            ingest(store, name, batch, now, mode)
-            if name == "zonal":
-                typed = typed_batch(feed, batch, now)
-                refresh_primary(store, now, latest_slice(typed) if mode == "latest" else typed)
-        finally:
-            batch.unpersist()
+        ingest(store, name, batch, now, mode)
+        if name == "zonal":
+            typed = typed_batch(feed, batch, now)
+            refresh_primary(store, now, latest_slice(typed) if mode == "latest" else typed)
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
