@@ -25,8 +25,8 @@ from gridspan.sources import files
 class Feed:
     """A report: how it is scanned and typed, its table, and the rows it must deliver.
 
-    `parse_once` keeps a typed batch while the job reads it several times: XML costs more
-    to parse than to keep, and CSV the other way round, as a second pass prunes columns.
+    `parse_once` keeps a typed batch while the job reads it several times, for XML, which
+    costs more to parse than to keep.
     """
 
     scan: Callable

@@ -16,11 +16,12 @@ REJECT = "_rejected_line"
 
 
 def _scan_csv(reader, path: str, names: list[str], header: bool = False) -> DataFrame:
+    """Without column pruning, as a line's field count shows only when all are parsed."""
     schema = ", ".join(f"`{n}` STRING" for n in [*names, REJECT])
     return (
         reader.format("csv")
         .schema(schema)
-        .options(header=str(header).lower(), mode="PERMISSIVE", escape='"')
+        .options(header=str(header).lower(), mode="PERMISSIVE", escape='"', columnPruning="false")
         .option("columnNameOfCorruptRecord", REJECT)
         .load(path)
     )
