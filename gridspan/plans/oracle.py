@@ -1,8 +1,4 @@
-"""DuckDB twins of the registered queries, over the same tables.
-
-Two queries have none: the weekly ARMA forecasts solve a system of 169 unknowns,
-which the tests compare with numpy least squares instead.
-"""
+"""DuckDB twins of the registered queries, over the same tables."""
 
 from __future__ import annotations
 
@@ -125,6 +121,68 @@ holdout AS (
 """
 
 
+def _solved(name: str, system: str, unknowns: int) -> str:
+    """Gauss-Jordan over a table (i, j, v), j = 0 being the right-hand side, pivot by q."""
+    return f"""
+{name} AS (
+  SELECT 1 AS k, i, j, v FROM {system}
+  UNION ALL
+  SELECT m.k + 1, m.i, m.j,
+    CASE WHEN m.i = m.k THEN m.v / q.v ELSE m.v - f.v * r.v / q.v END
+  FROM {name} m
+    JOIN {name} r ON r.i = m.k AND r.j = m.j
+    JOIN {name} f ON f.i = m.i AND f.j = m.k
+    JOIN {name} q ON q.i = m.k AND q.j = m.k
+  WHERE m.k <= {unknowns}),
+{name}_x AS (SELECT i, v FROM {name} WHERE k = {unknowns + 1} AND j = 0)
+"""
+
+
+def _weekly(steps: str) -> str:
+    """ARIMA(p, 1, 1): long AR of order p + 1, its residuals, then both regressions in one."""
+    p = schemas.WEEKLY_ORDER[0]
+    long = p + 1
+    return f"""WITH RECURSIVE {_series(False)},
+diffs AS (
+  SELECT pos - 1 AS t, d, y, n, train_size FROM (
+    SELECT *, "Ontario_Demand" AS y,
+      "Ontario_Demand" - lag("Ontario_Demand") OVER (ORDER BY pos) AS d FROM split)
+  WHERE pos <= train_size AND pos > 1),
+lags AS (SELECT CAST(k AS INTEGER) AS k FROM range(0, {long + 2}) r(k)),
+lagged AS (
+  SELECT now.t, k, past.d AS v FROM diffs now, lags JOIN diffs past ON past.t = now.t - k
+  WHERE now.t >= {long + 2}),
+g AS (
+  SELECT a.k AS i, b.k AS j, sum(a.v * b.v) AS v
+  FROM lagged a JOIN lagged b USING (t) GROUP BY 1, 2),
+long_system AS (SELECT * FROM g WHERE i BETWEEN 1 AND {long} AND j <= {long}),
+{_solved("long_fit", "long_system", long)},
+whiten AS (SELECT 0 AS i, CAST(1 AS DOUBLE) AS w UNION ALL SELECT i, -v FROM long_fit_x),
+shocked AS (SELECT j, sum(w * v) AS v FROM whiten JOIN g ON g.i = whiten.i + 1 GROUP BY j),
+shock_power AS (SELECT sum(w * v) AS v FROM whiten JOIN shocked ON shocked.j = whiten.i + 1),
+arma_system AS (
+  SELECT i, j, v FROM g WHERE i BETWEEN 1 AND {p} AND j <= {p}
+  UNION ALL SELECT {long}, j, v FROM shocked WHERE j <= {p}
+  UNION ALL SELECT j, {long}, v FROM shocked WHERE j BETWEEN 1 AND {p}
+  UNION ALL SELECT {long}, {long}, v FROM shock_power),
+{_solved("arma", "arma_system", long)},
+ending AS (SELECT max(t) AS t, max_by(y, t) AS y, any_value({steps}) AS steps FROM diffs),
+start AS (
+  SELECT ending.y, ending.steps,
+    (SELECT list(v ORDER BY i) FROM arma_x WHERE i <= {p}) AS ar,
+    (SELECT v FROM arma_x WHERE i = {long}) AS ma,
+    (SELECT list(d ORDER BY t DESC) FROM diffs) AS recent,
+    (SELECT sum(w * d) FROM whiten, ending e JOIN diffs ON diffs.t = e.t - whiten.i) AS shock
+  FROM ending),
+path AS (
+  SELECT CAST(0 AS BIGINT) AS step, y, recent[1:{p}] AS recent, shock, steps, ar, ma FROM start
+  UNION ALL
+  SELECT step + 1, y + move, list_prepend(move, recent[1:{p - 1}]), 0.0, steps, ar, ma
+  FROM (SELECT *, list_inner_product(ar, recent) + ma * shock AS move FROM path)
+  WHERE step < steps)
+"""
+
+
 # Slices, ranges, typing
 
 ORACLE["latest_slice_events"] = """
@@ -452,6 +510,18 @@ FROM fitted"""
     for k in range(1, 6)
 )
 
+ORACLE["forecast_arma_weekly"] = _weekly("n - train_size") + """
+SELECT series, step, "timestamp", "Ontario_Demand", round(y, 4) AS yhat
+FROM path JOIN split ON pos = train_size + step WHERE step > 0
+"""
+
+ORACLE["forecast_720"] = _weekly("720") + """
+SELECT 'total' AS series, step,
+  (SELECT max("timestamp") FROM series) + CAST(step AS INTEGER) * INTERVAL 1 HOUR AS "timestamp",
+  round(y, 4) AS yhat
+FROM path WHERE step > 0
+"""
+
 ORACLE["future_hours"] = f"""WITH {_series(True)}
 SELECT series, CAST(k AS BIGINT) AS step, last + k * INTERVAL 1 HOUR AS "timestamp"
 FROM (SELECT series, max("timestamp") AS last FROM series GROUP BY 1), range(1, 721) r(k)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,18 +24,23 @@ def build_session(master: str = "local[*]", partitions: int | None = None) -> Sp
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"gridspan-{application}-")
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to a temporary folder;
-    on a cluster the executors could not see one.
+    Only a local session that names none falls back to a temporary folder; on a cluster
+    the executors could not see one. The folders are left for the cluster's own clean-up.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="gridspan-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder(context.applicationId)
     return f"{base.rstrip('/')}/gridspan/{label}-{uuid.uuid4().hex}"
 
 
