@@ -85,21 +85,24 @@ def lagged_sums(
     return partials.groupBy(*by, "kind", "k").agg(F.sum("value").alias("value"))
 
 
-def _gram(c: np.ndarray, head: np.ndarray, tail: np.ndarray, start: int, n: int, size: int):
-    """G[i, j] = sum of d[t-i] * d[t-j] for t = start..n, lags 0..size, d being 1-based."""
-    g = np.empty((size + 1, size + 1))
-    for i in range(size + 1):
-        for j in range(i, size + 1):
-            k = j - i
-            before = head[k : start - 1 - i] @ head[: max(start - 1 - i - k, 0)]
-            after = tail[:i] @ tail[k : k + i]
-            g[i, j] = g[j, i] = c[k] - before - after
+def _gram(c: np.ndarray, head: np.ndarray, tail: np.ndarray, depth: int) -> np.ndarray:
+    """G[i, j] = sum of d[t-i] * d[t-j] for t = depth+1..n and lags 0..depth.
+
+    Row 0 is C less the products that start too early; going one lag further moves the
+    window one step back, which adds one product at its start and drops one at its end.
+    """
+    g = np.empty((depth + 1, depth + 1))
+    g[0] = [c[j] - head[j:] @ head[: depth - j] for j in range(depth + 1)]
+    g[:, 0] = g[0]
+    entering, leaving = head[::-1], tail
+    for i in range(depth):
+        g[i + 1, 1:] = g[i, :-1] + entering[i] * entering - leaving[i] * leaving
     return g
 
 
 def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Normal equations; an ill-posed system (a constant or short series) gets least norm."""
-    if np.linalg.cond(a) < WORST_CONDITION:
+    if np.linalg.cond(a, 1) < WORST_CONDITION:
         return np.linalg.solve(a, b)
     return np.linalg.pinv(a, rcond=1 / WORST_CONDITION, hermitian=True) @ b
 
@@ -114,7 +117,7 @@ def fit_from_sums(
     depth = _depth(p, q)
     if n <= depth:
         return np.zeros(p), np.zeros(q), np.zeros(q)
-    g = _gram(c, head, tail, depth + 1, n, depth)
+    g = _gram(c, head, tail, depth)
     if q == 0:
         return _solve(g[1:, 1:], g[1:, 0]), np.zeros(0), np.zeros(0)
     long = p + q

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+
+MODES = ("latest", "all_dates_in_batch")
 
 
 def _newest(df: DataFrame, date: str) -> Column:
@@ -35,6 +37,38 @@ def date_range(df: DataFrame, date: str = "Date", by: list[str] | None = None) -
     )
 
 
+def calendar_dates(df: DataFrame, date: str = "Date") -> DataFrame:
+    """The distinct dates of `df`, to be broadcast to a join.
+
+    Parsed dates lie within some 214,000 days, a few megabytes whatever the data's size;
+    joining on them then never shuffles a table by date, where one date may hold most rows.
+    """
+    if not isinstance(df.schema[date].dataType, DateType):
+        raise TypeError(f"{date} is not a DATE column")
+    return F.broadcast(df.select(date).distinct())
+
+
+def newest_reports(
+    df: DataFrame, landing: str, date: str = "Date", mode: str = "latest"
+) -> DataFrame:
+    """What taking in several landed reports one after the other would leave.
+
+    Reports overlap: each fetch of a day repeats its earlier hours. Of a date, only the
+    rows of the last report that writes it are kept, where a report writes its newest
+    date (mode 'latest') or every date it holds ('all_dates_in_batch').
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown upsert mode: {mode}")
+    writes = df.select(landing, date).distinct()
+    if mode == "latest":
+        writes = writes.groupBy(landing).agg(F.max(date).alias(date))
+    last = writes.groupBy(date).agg(F.max(landing).alias(landing))
+    # At most one row per calendar date, as in `calendar_dates`.
+    return df.join(F.broadcast(last), [date, landing]).select(
+        *[c for c in df.columns if c != landing]
+    )
+
+
 def upserted(
     target: DataFrame, batch: DataFrame, date: str = "Date", mode: str = "latest"
 ) -> DataFrame:
@@ -48,7 +82,7 @@ def upserted(
         kept = target.filter((F.col(date) != newest) | F.col(date).isNull() | newest.isNull())
         return kept.unionByName(latest_slice(batch, date).select(columns))
     if mode == "all_dates_in_batch":
-        dates = batch.select(date).distinct()
+        dates = calendar_dates(batch, date)
         return target.join(dates, date, "left_anti").select(columns).unionByName(
             batch.select(columns)
         )

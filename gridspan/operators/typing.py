@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 from gridspan import functions as G
 from gridspan import schemas
+from gridspan.sources.files import LANDING
+
+
+def _landing(df: DataFrame) -> list[str]:
+    """The landing column is passed on where a scan has it."""
+    return [LANDING] if LANDING in df.columns else []
 
 
 def _typed_report(raw: DataFrame, names: list[str], stamp: Column) -> DataFrame:
@@ -19,6 +25,7 @@ def _typed_report(raw: DataFrame, names: list[str], stamp: Column) -> DataFrame:
         G.coerce_hour("Hour").alias("Hour"),
         *[G.coerce_number(n).alias(n) for n in values],
         stamp.alias("Modified_DT"),
+        *_landing(raw),
     ).dropna(subset=["Date"])
 
 
@@ -54,10 +61,11 @@ def flatten_fuel(days: DataFrame, strict: bool = True) -> DataFrame:
     Strict typing fails on a bad number; otherwise it becomes NULL.
     """
     number = G.strict_int if strict else (lambda c: F.col(c).try_cast("bigint"))
-    hours = days.select("Day", F.explode("HourlyData").alias("h"))
-    fuels = hours.select("Day", F.col("h.Hour").alias("Hour"), F.explode("h.FuelTotal").alias("f"))
+    ids = ["Day", *_landing(days)]
+    hours = days.select(*ids, F.explode("HourlyData").alias("h"))
+    fuels = hours.select(*ids, F.col("h.Hour").alias("Hour"), F.explode("h.FuelTotal").alias("f"))
     flat = fuels.select(
-        "Day",
+        *ids,
         F.nullif(F.col("Hour"), F.lit("")).alias("Hour"),
         F.col("f.Fuel").alias("fuel_type"),
         F.col("f.EnergyValue.Output").alias("Output"),
@@ -67,6 +75,7 @@ def flatten_fuel(days: DataFrame, strict: bool = True) -> DataFrame:
         number("Hour").cast("int").alias("hour"),
         "fuel_type",
         number("Output").alias("output"),
+        *_landing(days),
     )
 
 
@@ -77,8 +86,10 @@ def flatten_capability(reports: DataFrame, strict: bool = True) -> DataFrame:
     aligned inside the row: no shuffle, and no hour list leaves its block. Per list
     the last entry of an hour wins and an absent hour is 0.
     """
+    landing = _landing(reports)
     generators = reports.select(
         "Date",
+        *landing,
         F.explode(
             F.concat(
                 F.coalesce("Generators.Generator", F.array()), F.coalesce("Generator", F.array())
@@ -91,6 +102,7 @@ def flatten_capability(reports: DataFrame, strict: bool = True) -> DataFrame:
         "AvailCapacity": "g.Capacities.AvailCapacity",
     }
     blocks = generators.select(
+        *landing,
         G.parse_any_date("Date", strict).alias("Date"),
         F.col("g.GeneratorName").alias("GeneratorName"),
         F.col("g.FuelType").alias("FuelType"),
@@ -106,6 +118,7 @@ def flatten_capability(reports: DataFrame, strict: bool = True) -> DataFrame:
         "GeneratorName",
         "FuelType",
         *[G.value_or_zero(_last_of_hour(name)).alias(name) for name in lists],
+        *landing,
     )
 
 

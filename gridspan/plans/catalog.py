@@ -550,32 +550,49 @@ def actual_vs_forecast(spark, sf_dir):
 # Streams
 
 
+def _run_stream(store: Store, feed: str, mode: str) -> None:
+    landing, checkpoint = store.path("landing"), store.path("checkpoint")
+    pick_up(store, feed, landing, checkpoint, lambda: st.INSTANT, mode).awaitTermination()
+
+
+def _corrected(report: DataFrame) -> DataFrame:
+    return report.withColumn("Market_Demand", F.col("Market_Demand") + 1000)
+
+
 @query
 def stream_pickup(spark, sf_dir):
-    """Two landings, two runs of one checkpointed stream; late corrections are taken in."""
+    """Half-day fetches, whole-day fetches, a run, corrected fetches, a second run."""
     store = _store(spark, "stream")
-    landing, checkpoint = store.path("landing"), store.path("checkpoint")
+    landing = store.path("landing")
     report = st.demand(_events(spark, sf_dir))
     newest = report.agg(F.max("Date")).scalar()
 
-    def run() -> None:
-        mode = "all_dates_in_batch"
-        pick_up(store, "demand", landing, checkpoint, lambda: st.INSTANT, mode).awaitTermination()
+    st.land_reports(report.filter("Hour <= 12"), landing)
+    st.land_reports(report.filter(F.col("Date") < newest), landing)
+    _run_stream(store, "demand", "latest")
+    late = report.filter(F.col("Date") >= F.date_sub(newest, 1))
+    st.land_reports(_corrected(late), landing)
+    _run_stream(store, "demand", "latest")
+    return store.read(schemas.DEMAND)
+
 
-    st.land_csv(report.filter(F.col("Date") < newest), landing)
-    run()
-    corrected = report.withColumn("Market_Demand", F.col("Market_Demand") + 1000)
-    st.land_csv(corrected.filter(F.col("Date") >= F.date_sub(newest, 1)), landing)
-    run()
+@query
+def stream_late_dates(spark, sf_dir):
+    """Two-day reports after one-day ones; the corrections of both their days are taken in."""
+    store = _store(spark, "stream-late")
+    report = st.demand(_events(spark, sf_dir))
+    st.land_reports(report, store.path("landing"))
+    _run_stream(store, "demand", "all_dates_in_batch")
+    st.land_reports(_corrected(report), store.path("landing"), days=2)
+    _run_stream(store, "demand", "all_dates_in_batch")
     return store.read(schemas.DEMAND)
 
 
 @query
 def stream_latest_to_primary(spark, sf_dir):
-    """Zonal reports picked up; the newest date goes to the raw and the primary table."""
+    """Two-day zonal reports; the later day of each goes to the raw and the primary table."""
     store = _store(spark, "stream-zonal")
-    landing, checkpoint = store.path("landing"), store.path("checkpoint")
     wide = st.hourly_wide(_events(spark, sf_dir)).select(schemas.ZONAL_COLUMNS)
-    st.land_csv(wide, landing)
-    pick_up(store, "zonal", landing, checkpoint, lambda: st.INSTANT).awaitTermination()
+    st.land_reports(wide, store.path("landing"), days=2)
+    _run_stream(store, "zonal", "latest")
     return store.read(schemas.PRIMARY_ZONAL_DEMAND)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gridspan import schemas
 from gridspan.operators import quality, typing
 from gridspan.operators.reshape import wide_to_long
+from gridspan.operators.slices import calendar_dates, latest_slice, newest_reports
 from gridspan.sinks.store import Store, require_rows
 from gridspan.sources import files
 
@@ -72,6 +73,13 @@ def typed_batch(feed: Feed, raw: DataFrame, instant: datetime) -> DataFrame:
     return feed.shape(raw, instant)
 
 
+def settled(batch: DataFrame, mode: str) -> DataFrame:
+    """The rows an hourly job writes: of one report, or of each landed report in turn."""
+    if files.LANDING in batch.columns:
+        return newest_reports(batch, files.LANDING, mode=mode)
+    return latest_slice(batch) if mode == "latest" else batch
+
+
 def ingest(
     store: Store,
     name: str,
@@ -82,7 +90,9 @@ def ingest(
 ) -> None:
     """The hourly job: upsert a scanned batch and register the write.
 
-    `validate` runs the table's checks first and stops on the first failed error rule.
+    The batch is one report, however many files it was scanned from, unless it carries
+    the landing column: then each file is a report of its own. `validate` runs the
+    table's checks first and stops on the first failed error rule.
     """
     feed = FEEDS[name]
     batch = typed_batch(feed, raw, instant)
@@ -90,9 +100,10 @@ def ingest(
         batch = batch.persist()
     try:
         require_rows(batch, feed.min_rows)
+        rows = settled(batch, mode)
         if validate:
-            quality.enforce(feed.check(batch, min_rows=feed.min_rows))
-        store.upsert(batch, feed.table, mode=mode)
+            quality.enforce(feed.check(rows, min_rows=feed.min_rows))
+        store.upsert(rows, feed.table, mode="all_dates_in_batch")
     finally:
         if feed.parse_once:
             batch.unpersist()
@@ -119,7 +130,7 @@ def refresh_primary(
     if changed is None:
         store.replace_table(wide_to_long(raw), schemas.PRIMARY_ZONAL_DEMAND)
     else:
-        dates = changed.select("Date").distinct()
+        dates = calendar_dates(changed)
         first = changed.agg(F.min("Date")).scalar()
         last = changed.agg(F.max("Date")).scalar()
         within = raw.filter(F.col("Date").between(first, last)).join(dates, "Date", "left_semi")

@@ -549,6 +549,15 @@ SELECT "Date", "Hour",
 FROM hourly
 """
 
-ORACLE["stream_latest_to_primary"] = f"""WITH {_HOURLY}
-SELECT * FROM ({_LONG}) WHERE "Date" = (SELECT max("Date") FROM hourly)
+ORACLE["stream_late_dates"] = f"""WITH {_HOURLY}
+SELECT "Date", "Hour", "Zone_Total" + 1000 AS "Market_Demand", "Ontario_Demand",
+  {STAMP_DATE} AS "Modified_DT"
+FROM hourly
+"""
+
+ORACLE["stream_latest_to_primary"] = f"""WITH {_HOURLY},
+later AS (
+  SELECT max("Date") AS d FROM hourly
+  GROUP BY CAST(floor(date_diff('day', DATE '1970-01-01', "Date") / 2) AS BIGINT))
+SELECT * FROM ({_LONG}) WHERE "Date" IN (SELECT d FROM later)
 """

@@ -74,16 +74,27 @@ def dated_events(events: DataFrame) -> DataFrame:
     )
 
 
-def land_csv(df: DataFrame, path: str, banner: bool = True) -> str:
-    """Writes report lines, with two heading lines that carry no date, as text files."""
+def _lines(df: DataFrame) -> Column:
     fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
-    lines = df.select(F.concat_ws(",", *fields).alias("line"))
-    if banner:
-        heading = F.explode(
-            F.array(F.lit("\\\\Hourly Report"), F.lit(",".join(df.columns)))
-        ).alias("line")
-        lines = df.sparkSession.range(1).select(heading).unionByName(lines)
-    lines.write.mode("append").text(path)
+    return F.concat_ws(",", *fields).alias("line")
+
+
+def land_csv(df: DataFrame, path: str) -> str:
+    """Writes one report, with two heading lines that carry no date, as text files."""
+    heading = F.explode(F.array(F.lit("\\\\Hourly Report"), F.lit(",".join(df.columns))))
+    top = df.sparkSession.range(1).select(heading.alias("line"))
+    top.unionByName(df.select(_lines(df))).write.mode("append").text(path)
+    return path
+
+
+def land_reports(df: DataFrame, path: str, days: int = 1) -> str:
+    """Lands one report file per `days` dates of hourly rows, each complete in itself.
+
+    A report holds at most 24 rows per date, so gathering one in a task is bounded.
+    """
+    report = F.floor(F.datediff("Date", F.lit("1970-01-01")) / days).alias("report")
+    lines = df.select(report, _lines(df)).repartition("report")
+    lines.write.mode("append").partitionBy("report").text(path)
     return path
 
 

@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 from gridspan import schemas
 
 REJECT = "_rejected_line"
+LANDING = "_landing"
+
+
+def with_landing(scan: DataFrame) -> DataFrame:
+    """Adds which file a row came from and when that landed; later files compare greater."""
+    return scan.withColumn(
+        LANDING,
+        F.struct(
+            F.col("_metadata.file_modification_time").alias("landed_at"),
+            F.col("_metadata.file_path").alias("file"),
+        ),
+    )
 
 
 def _scan_csv(reader, path: str, names: list[str], header: bool = False) -> DataFrame:

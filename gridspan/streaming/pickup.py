@@ -1,9 +1,10 @@
 """Incremental pickup of landed report files.
 
 A report is fetched again every hour; each fetch lands under a new name and the file
-source picks it up once, across restarts, by its checkpoint. A batch goes through the
-hourly job, whose partition overwrites make a replayed batch harmless. Zonal batches
-refresh the primary table in the same step, which is all the waiting it needs.
+source picks it up once, across restarts, by its checkpoint. A batch may hold several
+fetches of a day, and is written as if the hourly job had taken them in one by one; its
+partition overwrites make a replayed batch harmless. Zonal batches refresh the primary
+table in the same step, which is all the waiting it needs.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from gridspan.operators.slices import latest_slice
-from gridspan.plans.ingest import FEEDS, ingest, refresh_primary, typed_batch
+from gridspan.plans.ingest import FEEDS, ingest, refresh_primary, settled, typed_batch
 from gridspan.sinks.store import Store
+from gridspan.sources.files import with_landing
 
 
 def pick_up(
@@ -34,14 +35,14 @@ def pick_up(
     asked once per batch for the load stamp.
     """
     feed = FEEDS[name]
-    raw = feed.scan(store.spark.readStream, landing)
+    reader = store.spark.readStream.option("recursiveFileLookup", "true")
+    raw = with_landing(feed.scan(reader, landing))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = instant()
         ingest(store, name, batch, now, mode)
         if name == "zonal":
-            typed = typed_batch(feed, batch, now)
-            refresh_primary(store, now, latest_slice(typed) if mode == "latest" else typed)
+            refresh_primary(store, now, settled(typed_batch(feed, batch, now), mode))
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -17,6 +17,8 @@ from gridspan.sinks.store import Store  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session("local[8]", partitions=8)
     session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

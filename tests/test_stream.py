@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import os
 from datetime import date
 
 from gridspan import schemas
+from gridspan.sinks.store import Store
 from gridspan.streaming.pickup import pick_up
 from test_files import ZONAL, capability_text, fuel_text, mw, output
 
@@ -71,3 +73,37 @@ def test_capability_reports(spark, store, tmp_path, instant):
     land(tmp_path, "1.xml", capability_text(output(1, mw(5)) + output(2, mw(6))))
     run(store, "capability", tmp_path, instant)
     assert store.read(schemas.CAPABILITY).count() == 2
+
+
+def test_fetches_of_one_day_in_one_batch_leave_no_double_rows(spark, store, tmp_path, instant):
+    land(tmp_path, "a.csv", demand(1, range(1, 25), 1))
+    land(tmp_path, "b.csv", demand(1, [24], 2) + demand(2, [1, 2], 2))
+    land(tmp_path, "c.csv", demand(2, [1, 2, 3], 3))
+    for i, name in enumerate("abc"):
+        os.utime(tmp_path / "landing" / f"{name}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
+    run(store, "demand", tmp_path, instant)
+    table = store.read(schemas.DEMAND)
+    assert table.groupBy("Date", "Market_Demand").count().orderBy("Date").collect() == [
+        (date(2025, 1, 1), 1.0, 24), (date(2025, 1, 2), 3.0, 3),
+    ]
+
+
+def test_one_batch_equals_one_run_per_report(spark, tmp_path, instant):
+    reports = [
+        demand(1, range(1, 13), 1), demand(1, range(1, 25), 2), demand(1, [24], 3) + demand(2, [1], 3),
+        demand(2, [1, 2], 4), demand(1, range(1, 25), 5) + demand(3, [1], 5), demand(2, [9], 6),
+    ]
+    for mode in ("latest", "all_dates_in_batch"):
+        content = []
+        for together in (True, False):
+            folder = tmp_path / f"{mode}-{together}"
+            folder.mkdir()
+            target = Store(spark, str(folder / "store"))
+            for i, text in enumerate(reports):
+                land(folder, f"{i}.csv", text)
+                os.utime(folder / "landing" / f"{i}.csv", (1_700_000_000 + i,) * 2)
+                if not together:
+                    run(target, "demand", folder, instant, mode)
+            run(target, "demand", folder, instant, mode)
+            content.append(sorted(map(tuple, target.read(schemas.DEMAND).collect())))
+        assert content[0] == content[1]

@@ -11,6 +11,7 @@ from gridspan import schemas
 from gridspan.operators import slices
 from gridspan.plans.ingest import refresh_primary
 from gridspan.plans.standins import INSTANT
+from gridspan.session import scratch
 from gridspan.sinks.store import EmptyBatchError, Store
 
 TABLE = "raw/t"
@@ -179,3 +180,34 @@ def test_latest_slice_prunes_partitions_and_row_groups(spark, store):
 def test_date_range(spark):
     row = slices.date_range(history(spark)).first()
     assert tuple(row) == (day(0), day(1), 27)
+
+
+def test_upsert_query_never_shuffles_the_table_by_date(spark):
+    after = slices.upserted(history(spark), batch(spark), mode="all_dates_in_batch")
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    with pytest.raises(TypeError):
+        slices.calendar_dates(history(spark), "Hour")
+
+
+def test_scratch_folders_are_new_and_shared(spark):
+    class Context:
+        master, applicationId = "spark://cluster", "app-1"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        def __init__(self, folder, master):
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+            self.sparkContext = Context()
+            self.sparkContext.master = master
+
+    shared = Session("hdfs://shared/dir/", "spark://cluster")
+    first, second = scratch(shared, "x"), scratch(shared, "x")
+    assert first != second and first.startswith("hdfs://shared/dir/gridspan/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(Session(None, "spark://cluster"), "x")
+    assert "gridspan-app-1-" in scratch(Session(None, "local[2]"), "x")
+    assert "/gridspan/x-" in scratch(spark, "x")
