@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # The text forms that count as a number, an integer or a date, and
 # the first and last date that a nanosecond clock can hold (others are rejected).
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+INFINITY = r"^\s*[+-]?(?i:inf(inity)?)\s*$"
 INTEGER = r"^\s*[+-]?\d+\s*$"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 ISO_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d.*)?$"
@@ -36,14 +36,25 @@ def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _in_range(day: Column) -> Column:
-    return F.when(day.between(F.lit(FIRST_DATE), F.lit(LAST_DATE)), day)
+def _only_if(value: Column, holds: Column, nothing: Column) -> Column:
+    """`value` where `holds`, else NULL: adds nothing or NULL to it.
+
+    A CASE that returns what it tests would compute the value a second time, and over a
+    wide report that outgrows what the JVM compiles. Both terms of a sum are always
+    evaluated, so their common part is computed once.
+    """
+    return value + F.when(holds, nothing)
+
+
+def _known_day(day: Column) -> Column:
+    return day.between(F.lit(FIRST_DATE), F.lit(LAST_DATE))
 
 
 def parse_date(col: Column | str) -> Column:
     """Year-month-day text to DATE; anything else, blanks around it included, is NULL."""
     text = _col(col)
-    return F.when(text.rlike(ISO_DATE), _in_range(text.try_cast("date")))
+    day = F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+    return F.date_add(day, F.when(_known_day(day), F.lit(0)))
 
 
 def parse_any_timestamp(col: Column | str, strict: bool = True) -> Column:
@@ -57,7 +68,7 @@ def parse_any_timestamp(col: Column | str, strict: bool = True) -> Column:
         found = found.when(
             text.rlike(pattern), F.try_to_date(text, layout).cast("timestamp_ntz")
         )
-    found = F.when(_in_range(F.to_date(found)).isNotNull(), found)
+    found = _only_if(found, _known_day(F.to_date(found)), F.make_dt_interval())
     return _or_fail(text, found, "not a date: ") if strict else found
 
 
@@ -76,15 +87,15 @@ def coerce_number(col: Column | str) -> Column:
     The pattern keeps out the type suffixes ('1d') that a cast alone would accept.
     """
     text = _col(col)
-    number = text.try_cast("double")
-    finite = F.when(F.abs(number) != F.lit(float("inf")), number)
-    return F.when(text.rlike(NUMBER), finite).when(text.rlike(INFINITY), number)
+    number = F.when(text.rlike(f"{NUMBER}|{INFINITY}"), text.try_cast("double"))
+    finite = F.abs(number) != F.lit(float("inf"))
+    return _only_if(number, finite | text.rlike(INFINITY), F.lit(0.0))
 
 
 def coerce_hour(col: Column | str) -> Column:
     """Text to INT hour; a fractional hour is no hour slot and becomes NULL."""
     number = coerce_number(col)
-    return F.when(number % 1 == 0, number.try_cast("int"))
+    return _only_if(number.try_cast("int"), number % 1 == 0, F.lit(0))
 
 
 def _or_fail(text: Column, value: Column, message: str) -> Column:

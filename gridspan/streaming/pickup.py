@@ -28,14 +28,18 @@ def pick_up(
     instant: Callable[[], datetime],
     mode: str = "latest",
     interval: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Starts the pickup of feed `name`; stops when caught up unless `interval` is given.
 
+    `max_files` bounds a batch, so a long backlog is worked off in steps, oldest first.
     `mode='all_dates_in_batch'` also takes in late and corrected dates. `instant` is
     asked once per batch for the load stamp.
     """
     feed = FEEDS[name]
     reader = store.spark.readStream.option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     raw = with_landing(feed.scan(reader, landing))
 
     def handle(batch: DataFrame, batch_id: int) -> None:

@@ -9,10 +9,9 @@ from gridspan.streaming.pickup import pick_up
 from test_files import ZONAL, capability_text, fuel_text, mw, output
 
 
-def run(store, name, tmp_path, instant, mode="latest"):
-    query = pick_up(
-        store, name, str(tmp_path / "landing"), str(tmp_path / "checkpoint"), lambda: instant, mode
-    )
+def run(store, name, tmp_path, instant, mode="latest", **options):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    query = pick_up(store, name, landing, checkpoint, lambda: instant, mode, **options)
     query.awaitTermination()
     assert query.exception() is None
 
@@ -95,15 +94,13 @@ def test_one_batch_equals_one_run_per_report(spark, tmp_path, instant):
     ]
     for mode in ("latest", "all_dates_in_batch"):
         content = []
-        for together in (True, False):
-            folder = tmp_path / f"{mode}-{together}"
+        for per_batch in (1, 4, None):
+            folder = tmp_path / f"{mode}-{per_batch}"
             folder.mkdir()
             target = Store(spark, str(folder / "store"))
             for i, text in enumerate(reports):
                 land(folder, f"{i}.csv", text)
                 os.utime(folder / "landing" / f"{i}.csv", (1_700_000_000 + i,) * 2)
-                if not together:
-                    run(target, "demand", folder, instant, mode)
-            run(target, "demand", folder, instant, mode)
+            run(target, "demand", folder, instant, mode, max_files=per_batch)
             content.append(sorted(map(tuple, target.read(schemas.DEMAND).collect())))
-        assert content[0] == content[1]
+        assert content[0] == content[1] == content[2]
