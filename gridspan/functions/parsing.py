@@ -11,10 +11,11 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The text forms that count as a number, an integer or a date, and
-# the first and last date that a nanosecond clock can hold (others are rejected).
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INFINITY = r"^\s*[+-]?(?i:inf(inity)?)\s*$"
+# The text forms that count as a number (with an exponent a double can
+# hold), an integer or a date, and the first and last date that a nanosecond clock can
+# hold (others are rejected).
+EXPONENT = r"[eE](-\d+|\+?0*([0-2]?\d?\d|30[0-7]))"
+NUMBER = rf"^\s*[+-]?((\d+\.?\d*|\.\d+)({EXPONENT})?|(?i:inf(inity)?))\s*$"
 INTEGER = r"^\s*[+-]?\d+\s*$"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 ISO_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d.*)?$"
@@ -29,32 +30,28 @@ OTHER_DATES = {
 }
 
 # Every conversion sits behind its pattern: a failing parse raises and catches an
-# exception per row inside Spark, which costs far more than the pattern does.
+# exception per row inside Spark, which costs far more than the pattern does. And each
+# mentions its column as rarely as it can: the projection of a wide report becomes one
+# JVM method, and one that grows too long is never compiled to machine code.
 
 
 def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _only_if(value: Column, holds: Column, nothing: Column) -> Column:
-    """`value` where `holds`, else NULL: adds nothing or NULL to it.
-
-    A CASE that returns what it tests would compute the value a second time, and over a
-    wide report that outgrows what the JVM compiles. Both terms of a sum are always
-    evaluated, so their common part is computed once.
-    """
-    return value + F.when(holds, nothing)
-
-
 def _known_day(day: Column) -> Column:
     return day.between(F.lit(FIRST_DATE), F.lit(LAST_DATE))
 
 
-def parse_date(col: Column | str) -> Column:
-    """Year-month-day text to DATE; anything else, blanks around it included, is NULL."""
+def is_date(col: Column | str) -> Column:
+    """Whether text is a year-month-day date; with blanks around it, it is not."""
     text = _col(col)
-    day = F.when(text.rlike(ISO_DATE), text.try_cast("date"))
-    return F.date_add(day, F.when(_known_day(day), F.lit(0)))
+    return text.rlike(ISO_DATE) & _known_day(text.try_cast("date"))
+
+
+def parse_date(col: Column | str) -> Column:
+    """Year-month-day text to DATE, anything else to NULL."""
+    return F.when(is_date(col), _col(col).try_cast("date"))
 
 
 def parse_any_timestamp(col: Column | str, strict: bool = True) -> Column:
@@ -68,7 +65,7 @@ def parse_any_timestamp(col: Column | str, strict: bool = True) -> Column:
         found = found.when(
             text.rlike(pattern), F.try_to_date(text, layout).cast("timestamp_ntz")
         )
-    found = _only_if(found, _known_day(F.to_date(found)), F.make_dt_interval())
+    found = F.when(_known_day(F.to_date(found)), found)
     return _or_fail(text, found, "not a date: ") if strict else found
 
 
@@ -82,20 +79,18 @@ def nan_to_null(col: Column | str) -> Column:
 
 
 def coerce_number(col: Column | str) -> Column:
-    """Text to DOUBLE; not a number, or one too large for a double, is NULL.
+    """Text to DOUBLE; what is not a number, or too large an exponent, is NULL.
 
     The pattern keeps out the type suffixes ('1d') that a cast alone would accept.
     """
     text = _col(col)
-    number = F.when(text.rlike(f"{NUMBER}|{INFINITY}"), text.try_cast("double"))
-    finite = F.abs(number) != F.lit(float("inf"))
-    return _only_if(number, finite | text.rlike(INFINITY), F.lit(0.0))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def coerce_hour(col: Column | str) -> Column:
     """Text to INT hour; a fractional hour is no hour slot and becomes NULL."""
     number = coerce_number(col)
-    return _only_if(number.try_cast("int"), number % 1 == 0, F.lit(0))
+    return F.when(number % 1 == 0, number.try_cast("int"))
 
 
 def _or_fail(text: Column, value: Column, message: str) -> Column:
@@ -112,6 +107,4 @@ def strict_int(col: Column | str) -> Column:
 
 def strict_double(col: Column | str) -> Column:
     """Number text to DOUBLE; NULL stays NULL, any other text fails the job."""
-    text = _col(col)
-    known = text.rlike(NUMBER) | text.rlike(INFINITY)
-    return _or_fail(text, F.when(known, text.try_cast("double")), "not a number: ")
+    return _or_fail(_col(col), coerce_number(col), "not a number: ")

@@ -18,15 +18,19 @@ def _landing(df: DataFrame) -> list[str]:
 
 
 def _typed_report(raw: DataFrame, names: list[str], stamp: Column) -> DataFrame:
-    """Heading and banner lines have no parsable date, so the date filter removes them."""
+    """Heading and banner lines have no parsable date, so the date filter removes them.
+
+    The filter tests the text, not the parsed column: Spark moves a filter on a column
+    below the projection and would then parse the date there once per mention.
+    """
     values = [n for n in names if n not in ("Date", "Hour")]
-    return raw.select(
-        G.parse_date("Date").alias("Date"),
+    return raw.filter(G.is_date("Date")).select(
+        F.col("Date").try_cast("date").alias("Date"),
         G.coerce_hour("Hour").alias("Hour"),
         *[G.coerce_number(n).alias(n) for n in values],
         stamp.alias("Modified_DT"),
         *_landing(raw),
-    ).dropna(subset=["Date"])
+    )
 
 
 def type_demand(raw: DataFrame, instant: datetime) -> DataFrame:
@@ -44,8 +48,8 @@ def type_archive_demand(raw: DataFrame) -> DataFrame:
     whenever a column holds any text; a typed copy is what `type_demand` gives.
     """
     date, *rest = schemas.ARCHIVE_DEMAND_COLUMNS
-    return raw.select(
-        G.parse_date(date).alias(date), *[F.col(f"`{n}`") for n in rest]
+    return raw.filter(G.is_date(date)).select(
+        F.col(date).try_cast("date").alias(date), *[F.col(f"`{n}`") for n in rest]
     ).dropna(how="any")
 
 

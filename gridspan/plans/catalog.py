@@ -67,12 +67,12 @@ def coerce_typed(spark, sf_dir):
     """Line items as dirty text: dates in five layouts, hours and prices with bad values."""
     items = st.table(spark, sf_dir, "lineitem")
     line, price = F.col("l_linenumber"), F.col("l_extendedprice").cast("decimal(18,2)")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    day = F.to_date("l_shipdate").cast("string")
     date_text = (
-        F.when(line == 2, F.date_format("l_shipdate", "yyyy-M-d"))
-        .when(line == 3, F.date_format("l_shipdate", "yyyyMMdd"))
+        F.when(line == 2, F.replace(day, F.lit("-0"), F.lit("-")))
+        .when(line == 3, F.replace(day, F.lit("-"), F.lit("")))
         .when(line == 4, F.concat(F.lit(" "), day))
-        .when(line == 5, F.date_format("l_shipdate", "yyyy-'13'-dd"))
+        .when(line == 5, F.concat(day.substr(1, 5), F.lit("13"), day.substr(8, 3)))
         .otherwise(day)
     )
     price_text = (
@@ -86,11 +86,11 @@ def coerce_typed(spark, sf_dir):
         "l_orderkey", "l_partkey", "l_linenumber", date_text.alias("Date"),
         hour.cast("string").alias("Hour"), price_text.alias("Market_Demand"),
     )
-    return raw.select(
+    return raw.filter(G.is_date("Date")).select(
         "l_orderkey", "l_partkey", "l_linenumber", G.parse_date("Date").alias("Date"),
         G.coerce_hour("Hour").alias("Hour"),
         G.coerce_number("Market_Demand").alias("Market_Demand"),
-    ).dropna(subset=["Date"])
+    )
 
 
 @query
