@@ -26,5 +26,5 @@ def wide_to_long(
     """
     missing = missing_columns(df, [*ids, *(values or [])])
     if missing:
-        raise KeyError(f"Missing required columns: {missing}")
+        raise KeyError(f"the wide table lacks {missing}")
     return df.unpivot(list(ids), list(values) if values is not None else None, name, value)

@@ -63,8 +63,8 @@ FEEDS = {
 def reject_over_long(raw: DataFrame, names: list[str]) -> DataFrame:
     """Fails the job on a line with too many fields, instead of cutting it."""
     line = F.concat(F.lit("line has too many fields: "), F.col(files.REJECT))
-    first = F.when(files.over_long_rows(names), F.raise_error(line)).otherwise(F.col(names[0]))
-    return raw.withColumn(names[0], first)
+    failure = F.raise_error(line).cast("boolean")
+    return raw.filter(F.when(files.over_long_rows(names), failure).otherwise(F.lit(True)))
 
 
 def typed_batch(feed: Feed, raw: DataFrame, instant: datetime) -> DataFrame:
