@@ -87,7 +87,7 @@ def coerce_typed(spark, sf_dir):
         hour.cast("string").alias("Hour"), price_text.alias("Market_Demand"),
     )
     return raw.filter(G.is_date("Date")).select(
-        "l_orderkey", "l_partkey", "l_linenumber", G.parse_date("Date").alias("Date"),
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("Date").try_cast("date").alias("Date"),
         G.coerce_hour("Hour").alias("Hour"),
         G.coerce_number("Market_Demand").alias("Market_Demand"),
     )
