@@ -55,3 +55,8 @@ def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     """A list column out of all values and the length of each list."""
     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def sized(df: DataFrame, most: int) -> DataFrame:
+    """`df`, a stored table, marked for broadcast if it has at most `most` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
