@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspan.llm import bpe, licenses, minhash
+from gridspan.llm import bpe, licenses, lm, minhash
 from gridspan.llm.frames import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,10 +25,15 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_log_bilinear_lm": op4_log_bilinear_lm,
 }
 
 ORACLE: dict[str, str] = {}
