@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspan.llm import bpe, fingerprint, licenses, lm, minhash
+from gridspan.llm import bpe, fingerprint, licenses, lm, minhash, warc
 from gridspan.llm.frames import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,12 +33,19 @@ def op5_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_log_bilinear_lm": op4_log_bilinear_lm,
     "op5_lz_fingerprint": op5_lz_fingerprint,
+    "op6_warc_index": op6_warc_index,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_warc_index": warc.SQL,
+}
