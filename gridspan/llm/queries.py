@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspan.llm import bpe, fingerprint, licenses, lm, minhash, warc
+from gridspan.llm import (
+    bpe, fingerprint, language, licenses, lm, minhash, mixing, quality, rules, warc,
+)
 from gridspan.llm.frames import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,6 +39,22 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
@@ -44,8 +62,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_log_bilinear_lm": op4_log_bilinear_lm,
     "op5_lz_fingerprint": op5_lz_fingerprint,
     "op6_warc_index": op6_warc_index,
+    "op7_rule_ensemble": op7_rule_ensemble,
+    "op8_language_id": op8_language_id,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op6_warc_index": warc.SQL,
+    "op9_source_mixing": mixing.sql(),
 }
