@@ -32,6 +32,11 @@ def relabelled(df: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     return joined.withColumn(column, F.coalesce("_root", column)).drop("_v", "_root")
 
 
+def composed(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Roots (v, root) of `first` whose own roots `second` joins further."""
+    return materialize(relabelled(first, "root", second).unionByName(second), "roots")
+
+
 def _oriented(edges: DataFrame) -> DataFrame:
     return (
         edges.filter(F.col("a") != F.col("b"))
@@ -51,9 +56,7 @@ def components(edges: DataFrame) -> DataFrame:
     found: DataFrame | None = None
     while not left.isEmpty():
         roots = _jumped(left.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")))
-        found = roots if found is None else materialize(
-            relabelled(found, "root", roots).unionByName(roots), "roots"
-        )
+        found = roots if found is None else composed(found, roots)
         contracted = relabelled(relabelled(left, "a", roots), "b", roots)
         left = materialize(_oriented(contracted), "edges")
     if found is None:

@@ -1,17 +1,20 @@
 """Near-duplicates by b-bit MinHash.
 
 Texts with equal word sequences are one class from the start. A class has the set of its
-distinct 5-word shingles and 96 minimum hashes of it. The full minima form 24 band keys of
-four; the low two bits of each minimum are packed in three longs. Classes that share a band
-key are candidates, and the packed bits, corrected for chance agreement, say how similar
-they are; what is far below the threshold goes no further. Links are confirmed on full sets.
+distinct 5-word shingles. The minima of 96 hash functions form 24 band keys of four, and
+classes that share one are candidates. One more hash function, whose range is cut into 512
+bins, gives a minimum per bin; of each the low four bits are kept and packed in planes of
+eight longs, one per bit, behind a plane that says which bins have a minimum. Bit counts of
+two such signatures, corrected for chance agreement, say how similar the sets are; what is
+far below the threshold goes no further. Links are confirmed on full sets.
 
 A group of n near copies isn't expanded into n² pairs: first each class is held only
-against the smallest member of one of its buckets, the one most like it. What is then
-connected needs no further comparison; only members of a bucket in different components are
-compared with each other, all of them. So no link between components is passed over, save by
-chance: a pair at 85 % similarity shares no band with probability 2e-8 (at 80 %, 3e-6), and
-the packed bits cut off 5.5 standard deviations below the threshold.
+against the smallest member of one of its buckets, the one most like it, then against the
+smallest members of its other buckets that aren't connected with it by then. Last, members
+of a bucket in different components are compared with each other, all of them, inside the
+join. So no link between components is passed over, save by chance: a pair at 85 %
+similarity shares no band with probability 2e-8 (at 80 %, 3e-6), and signatures are cut off
+5.5 standard deviations below the threshold.
 
 A text without words is linked with nothing, as is a row without an id; both are kept.
 Fewer than five words are one shingle. Rows that repeat an id share its component if their
@@ -30,13 +33,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspan.llm.frames import lists, sized, slices
-from gridspan.llm.graph import components, relabelled
+from gridspan.llm.graph import components, composed, relabelled
 from gridspan.llm.words import mixed, shingles, words
 from gridspan.session import materialize
 
-BANDS, ROWS, BITS = 24, 4, 2
+BANDS, ROWS = 24, 4
 LANES = BANDS * ROWS
-SIGNATURE = ["s0", "s1", "s2"]
+#: Bins of the signature, and low bits kept of each bin's minimum.
+BINS, BITS = 512, 4
+PLANE = BINS // 64
+SIGNATURE = [f"s{i}" for i in range((1 + BITS) * PLANE)]
+#: Share of unlike minima whose bits agree by chance.
+CHANCE = 2.0**-BITS
 DEVIATIONS = 5.5
 #: Ids sent to all tasks, eight bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
@@ -55,11 +63,17 @@ def minima(hashes: np.ndarray, number: np.ndarray) -> np.ndarray:
     )
 
 
-def packed(least: np.ndarray) -> np.ndarray:
-    """The low bits of all minima, in three longs per text."""
-    low = (least & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(3, LANES // 3, -1)
-    shift = (np.arange(LANES // 3, dtype=np.uint64) * np.uint64(BITS))[None, :, None]
-    return np.bitwise_or.reduce(low << shift, axis=1).astype(np.int64)
+def packed(sets: list[np.ndarray]) -> np.ndarray:
+    """Signatures (longs x sets) of sorted sets of hashes."""
+    planes = np.zeros((len(sets), 1 + BITS, BINS), np.uint8)
+    bit = np.arange(BITS, dtype=np.uint64)[:, None]
+    for own, row in zip(sets, planes):
+        bins = own >> np.uint64(64 - BINS.bit_length() + 1)
+        first = np.flatnonzero(np.diff(bins, prepend=np.uint64(BINS)))
+        row[0, bins[first]] = 1
+        row[1:, bins[first]] = (own[first] >> bit) & np.uint64(1)
+    longs = np.packbits(planes, axis=2).view(np.int64)
+    return np.ascontiguousarray(longs.reshape(len(sets), -1).T)
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
@@ -76,14 +90,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batch, "text"):
             hashes, number = shingles(words(texts))
             some = number > 0
-            ends = np.cumsum(number)
-            sizes = [len(np.unique(hashes[e - n : e])) for e, n in zip(ends, number)]
-            longs = np.zeros((3, len(texts)), np.int64)
+            sets = [np.unique(hashes[e - n : e]) for e, n in zip(np.cumsum(number), number)]
+            sizes, longs = np.array(list(map(len, sets)), np.int64), packed(sets)
             keys = np.zeros(0, np.int64)
             if some.any():
-                least = minima(hashes, number[some])
-                longs[:, some] = packed(least)
-                keys = band_keys(least).T.ravel()
+                keys = band_keys(minima(hashes, number[some])).T.ravel()
             digest = [
                 hashlib.md5(b" ".join(t.lower().split())).digest() if n else None
                 for t, n in zip(texts, number)
@@ -91,7 +102,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array(digest, pa.binary()),
-                    pa.array(np.array(sizes, np.int64)), *map(pa.array, longs),
+                    pa.array(sizes), *map(pa.array, longs),
                     lists(keys, np.where(some, BANDS, 0)),
                 ],
                 ["doc_id", "digest", "n_shingles", *SIGNATURE, "bands"],
@@ -104,36 +115,50 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         _signatures,
         f"doc_id {id_type}, digest binary, n_shingles long, "
-        "s0 long, s1 long, s2 long, bands array<long>",
+        + "".join(f"{s} long, " for s in SIGNATURE) + "bands array<long>",
     )
 
 
-def agreement(x: str, y: str) -> Column:
-    """How many of the packed minima of frames `x` and `y` agree."""
-    differ = F.lit(0)
-    for s in SIGNATURE:
-        either = F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))
-        either = either.bitwiseOR(F.shiftrightunsigned(either, 1))
-        differ = differ + F.bit_count(either.bitwiseAND(F.lit(0x5555555555555555)))
-    return F.lit(LANES) - differ
+def agreement(x: str, y: str) -> tuple[Column, Column, Column]:
+    """Bins with a minimum in either signature, in both, and with equal bits in both."""
+    either, both, same = F.lit(0), F.lit(0), F.lit(0)
+    for i in range(PLANE):
+        a, b = ([F.col(f"{f}.{s}") for s in SIGNATURE[i::PLANE]] for f in (x, y))
+        differ = a[1].bitwiseXOR(b[1])
+        for p in range(2, 1 + BITS):
+            differ = differ.bitwiseOR(a[p].bitwiseXOR(b[p]))
+        in_both = a[0].bitwiseAND(b[0])
+        either = either + F.bit_count(a[0].bitwiseOR(b[0]))
+        both = both + F.bit_count(in_both)
+        same = same + F.bit_count(in_both.bitwiseAND(F.bitwise_not(differ)))
+    return either, both, same
 
 
-def estimate(agree: Column) -> Column:
-    """Similarity out of the agreeing lanes, less what agrees by chance."""
-    chance = 2.0**-BITS
-    return (agree / LANES - chance) / (1 - chance)
+def estimate(either: Column, both: Column, same: Column) -> Column:
+    """Similarity: bins whose minima are equal, less chance, among bins with any."""
+    return (same - both * CHANCE) / (1 - CHANCE) / either
 
 
-def least_agreement(percent: int) -> int:
-    """Fewest agreeing lanes of a pair that is to be confirmed."""
-    p = percent / 100 + (1 - percent / 100) * 2.0**-BITS
-    return math.floor(LANES * p - DEVIATIONS * math.sqrt(LANES * p * (1 - p)))
+def plausible(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and signatures of rows `x` and `y` allow for a link.
 
-
-def _plausible(x: str, y: str, percent: int) -> Column:
+    The estimate may be low by what chance agreement could have added, and by the draw: bins
+    with a minimum are as many draws from the union without replacement.
+    """
+    t = percent / 100
     n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    either, both, same = agreement(x, y)
+    union = F.greatest((n + m) / (1 + t), either)
+    draw = F.sqrt(t * (1 - t) * (union - either) / (union * either))
+    least = t - (1 - t) * CHANCE / (1 - CHANCE) - DEVIATIONS * draw
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    return sizes & (agreement(x, y) >= least_agreement(percent))
+    return sizes & (estimate(either, both, same) >= least)
+
+
+def _first_common_band(x: str, y: str) -> Column:
+    """The first of the band keys that two rows share; a pair is looked at in this one only."""
+    keys = [(F.col(f"{x}.bands")[i], F.col(f"{y}.bands")[i]) for i in range(BANDS)]
+    return F.coalesce(*[F.when(a == b, a) for a, b in keys])
 
 
 def _confirmer(percent: int):
@@ -197,39 +222,47 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "centers",
     )
     crowded = materialize(keyed.join(centers, "key"), "crowded")
-    features = classes.select("rep", "n_shingles", *SIGNATURE).dropDuplicates(["rep", *SIGNATURE])
-    features = materialize(
-        features.join(crowded.select("rep").distinct(), "rep", "left_semi"), "features"
-    )
+    features = classes.select("rep", "n_shingles", "bands", *SIGNATURE)
+    features = features.join(crowded.select("rep").distinct(), "rep", "left_semi")
+    features = materialize(features.dropDuplicates(["rep", *SIGNATURE]), "features")
 
-    # One partner each: of the smallest members of its buckets the one most like it.
+    # Each class with the smallest members of its buckets: the one most like it, then others.
     stars = crowded.filter("rep > center").select("rep", "center").distinct()
     star = stars.alias("p").join(features.alias("x"), F.col("p.rep") == F.col("x.rep"))
-    star = star.join(features.alias("y"), F.col("p.center") == F.col("y.rep"))
-    star = star.filter(_plausible("x", "y", percent)).select(
+    near = (F.col("p.center") == F.col("y.rep")) & plausible("x", "y", percent)
+    star = star.join(features.alias("y"), near).select(
         F.col("p.rep").alias("a"), F.col("p.center").alias("b"),
-        agreement("x", "y").alias("agree"),
+        estimate(*agreement("x", "y")).alias("estimate"),
     )
-    best = star.groupBy("a").agg(F.min_by("b", F.struct(-F.col("agree"), "b")).alias("b"))
-    links = confirmed(docs, materialize(best, "stars"), percent)
-    roots = components(links)
+    star = materialize(star, "stars")
+    best = star.groupBy("a").agg(F.min_by("b", F.struct(-F.col("estimate"), "b")).alias("b"))
+    best = materialize(best, "best-stars")
+    roots = components(confirmed(docs, best, percent))
+    more = star.select("a", "b").join(best, ["a", "b"], "left_anti")
+    more = more.select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb"))
+    more = relabelled(relabelled(more, "ra", roots), "rb", roots).filter("ra != rb")
+    more = confirmed(docs, materialize(more.select("a", "b"), "more-stars"), percent)
+    more = relabelled(relabelled(more, "a", roots), "b", roots)
+    roots = composed(roots, components(more))
 
     # All members of a bucket that aren't connected yet.
-    placed = materialize(
-        relabelled(crowded.select("key", "rep", F.col("rep").alias("root")), "root", roots), "placed"
-    )
+    placed = crowded.select("key", "rep", F.col("rep").alias("root"))
+    placed = materialize(relabelled(placed, "root", roots), "placed")
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     split = materialize(split.filter("lo < hi").select("key"), "split-buckets")
-    mixed_up = placed.join(split, "key", "left_semi").join(features, "rep")
-    mixed_up = materialize(mixed_up, "mixed-buckets")
-    x, y = mixed_up.alias("x"), mixed_up.alias("y")
-    across = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root"))
-    pairs = x.join(y, across & _plausible("x", "y", percent)).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b")
+    unlike = materialize(
+        placed.join(split, "key", "left_semi").join(features, "rep"), "unlike-members"
     )
+    x, y = unlike.alias("x"), unlike.alias("y")
+    pairs = x.join(
+        y,
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.root") < F.col("y.root"))
+        & plausible("x", "y", percent)
+        & (F.col("x.key") == _first_common_band("x", "y")),
+    ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     more = confirmed(docs, materialize(pairs.distinct(), "pairs"), percent)
-    more = relabelled(relabelled(more, "a", roots), "b", roots)
-    later = components(more)
+    later = components(relabelled(relabelled(more, "a", roots), "b", roots))
 
     of_class = reps.select("digest", F.col("rep").alias("component"))
     of_class = relabelled(relabelled(of_class, "component", roots), "component", later)

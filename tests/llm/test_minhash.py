@@ -77,17 +77,17 @@ def test_empty_table(spark):
     assert minhash.near_duplicates(docs).count() == 0
 
 
-def test_estimate_is_near_the_similarity(spark):
+@pytest.mark.parametrize(("n", "common"), [(1000, 900), (40, 36), (9000, 8600), (1, 1)])
+def test_estimate_is_near_the_similarity(spark, n, common):
     rng = np.random.default_rng(2)
-    a = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
-    b = np.concatenate([a[:900], rng.integers(0, 1 << 63, 100).astype(np.uint64)])
-    longs = minhash.packed(minhash.minima(np.concatenate([a, b]), np.array([1000, 1000])))
-    frame = spark.createDataFrame([(*map(int, longs[:, 0]), *map(int, longs[:, 1]))],
-                                  "a0 long, a1 long, a2 long, b0 long, b1 long, b2 long")
-    x = frame.selectExpr("a0 s0", "a1 s1", "a2 s2").alias("x")
-    y = frame.selectExpr("b0 s0", "b1 s1", "b2 s2").alias("y")
-    got = x.join(y).select(minhash.estimate(minhash.agreement("x", "y"))).first()[0]
-    assert abs(got - 900 / 1100) < 0.15
+    a = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    b = np.concatenate([a[:common], rng.integers(0, 1 << 64, n - common, dtype=np.uint64)])
+    longs = minhash.packed([np.unique(a), np.unique(b)])
+    fields = ", ".join(f"{s} long" for s in minhash.SIGNATURE)
+    x = spark.createDataFrame([tuple(map(int, longs[:, 0]))], fields).alias("x")
+    y = spark.createDataFrame([tuple(map(int, longs[:, 1]))], fields).alias("y")
+    got = x.join(y).select(minhash.estimate(*minhash.agreement("x", "y"))).first()[0]
+    assert abs(got - common / (2 * n - common)) < 0.06
 
 
 def test_long_chains_have_one_component(spark):
