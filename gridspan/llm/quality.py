@@ -24,7 +24,7 @@ from gridspan.llm.frames import held_out
 from gridspan.llm.rules import Condition, conditions, holds, met, sample
 from gridspan.llm.statistics import FEATURES, counted
 
-#: Labelled rows that reach the driver, as nine statistics each.
+#: Labelled rows that reach the driver, as seven statistics each.
 SAMPLE = 8000
 TREES, DEPTH, RATE, LEAST_LEAF = 30, 3, 0.3, 20
 PENALTY, STEPS = 0.002, 400

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gridspan.llm.statistics import COUNTS, FEATURES, counted
 
-#: Labelled rows that reach the driver, as nine statistics each.
+#: Labelled rows that reach the driver, as seven statistics each.
 SAMPLE = 4000
 THRESHOLDS = 24
 MOST_CONDITIONS, MOST_RULES = 4, 20

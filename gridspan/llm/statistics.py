@@ -17,17 +17,25 @@ WINDOW = 8
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: What the learned rules see.
 FEATURES = [
-    "n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share",
-    "distinct_share", "upper_share", "mark_share", "digit_share",
+    "n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "distinct_share",
+    "upper_share",
 ]
 
 
-def _windows(words: str) -> Column:
-    """A hash of every window of WINDOW words; a shorter text has none."""
-    own = F.transform(
-        words, lambda x, i: F.xxhash64(x, *[F.get(words, i + j) for j in range(1, WINDOW)])
-    )
-    return F.slice(own, 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
+def _pairs(hashes: str, distance: int) -> Column:
+    """A hash of each entry and the one `distance` further on."""
+    further = F.slice(hashes, distance + 1, F.greatest(F.size(hashes), F.lit(1)))
+    both = F.zip_with(hashes, further, lambda x, y: F.xxhash64(x, y))
+    return F.slice(both, 1, F.greatest(F.size(hashes) - distance, F.lit(0)))
+
+
+def _with_windows(df: DataFrame, hashes: str) -> DataFrame:
+    """`hashes` of words replaced by those of all windows of WINDOW, a power of two, words."""
+    distance = 1
+    while distance < WINDOW:
+        df = df.withColumn(hashes, _pairs(hashes, distance))
+        distance *= 2
+    return df
 
 
 def _repeat_words(df: DataFrame, windows: str, out: str) -> DataFrame:
@@ -75,44 +83,50 @@ def _matches(text: str, characters: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, f"[{characters}]+", ""))).cast("bigint")
 
 
+def _dup_lines(lines: str) -> Column:
+    """Lines with a word that are equal to an earlier one."""
+    own = F.filter(lines, lambda x: F.rlike(x, F.lit(_WORD)))
+    repeats = F.size(F.array_distinct(lines)) < F.size(lines)
+    return F.when(repeats, F.size(own) - F.size(F.array_distinct(own))).otherwise(0).cast("bigint")
+
+
 def counted(docs: DataFrame, keep: list[str], features: bool = False) -> DataFrame:
     """The columns `keep` with COUNTS of every whole text, and FEATURES if wanted.
 
-    The columns kept are renamed on the way, so none of them can clash.
+    The columns kept are renamed on the way, so none of them can clash. Each step reads what
+    the one before has worked out, several times over: so the steps stay apart in the plan
+    and nothing is worked out twice.
     """
-    held = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]
-    names = [c for c, _ in zip((f"_keep{i}" for i in range(len(keep))), keep)]
+    names = [f"_keep{i}" for i in range(len(keep))]
+    held = [F.col(c).alias(n) for c, n in zip(keep, names)]
     df = docs.select(*held, F.coalesce("text", F.lit("")).alias("_text"))
     core = F.btrim("_text", F.lit(WHITE))
-    df = df.withColumn(
-        "_words", F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, _GAPS))
-    )
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.rlike(x, F.lit(_WORD)))
+    some = F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, _GAPS))
+    upper = [_matches("_text", "A-Z").alias("_upper")] if features else []
+    df = df.select(
+        *names, some.alias("_words"), F.split("_text", "\n").alias("_lines"),
+        _matches("_text", SYMBOLS).alias("n_symbols"), *upper,
+    )
+    shape = [F.size("_lines").alias("_n_lines"),
+             F.size(F.array_distinct("_words")).alias("_n_distinct"), "_upper"]
     df = df.select(
-        *names, "_text", "_words", lines.alias("_lines"), _windows("_words").alias("_windows"),
+        *names, "n_symbols", *(shape if features else []),
+        F.transform("_words", lambda x: F.xxhash64(x)).alias("_windows"),
         F.size("_words").cast("bigint").alias("n_words"),
-        F.length(F.regexp_replace("_text", _GAPS, "")).cast("bigint").alias("word_chars"),
+        F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
+        _dup_lines("_lines").alias("n_dup_lines"),
     )
-    df = _repeat_words(df, "_windows", "n_repeat_words")
-    columns = {
-        "n_symbols": _matches("_text", SYMBOLS),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-    }
-    if features:
-        chars, words = F.greatest("word_chars", F.lit(1)), F.greatest("n_words", F.lit(1))
-        columns |= {"_n_lines": F.size("_lines")}
-        shares = {
-            "mean_word": F.col("word_chars") / words,
-            "symbol_share": F.col("n_symbols") / chars,
-            "dup_line_share": F.col("n_dup_lines") / F.greatest("_n_lines", F.lit(1)),
-            "repeat_share": F.col("n_repeat_words") / words,
-            "distinct_share": F.size(F.array_distinct("_words")) / words,
-            "upper_share": _matches("_text", "A-Z") / chars,
-            "mark_share": _matches("_text", "!?.,;:") / chars,
-            "digit_share": _matches("_text", "0-9") / chars,
-        }
-    df = df.withColumns(columns)
-    if features:
-        df = df.withColumns(shares)
+    df = _repeat_words(_with_windows(df, "_windows"), "_windows", "n_repeat_words")
     own = [F.col(n).alias(c) for n, c in zip(names, keep)]
-    return df.select(*own, *COUNTS, *(f for f in FEATURES if features and f not in COUNTS))
+    if not features:
+        return df.select(*own, *COUNTS)
+    chars, words = F.greatest("word_chars", F.lit(1)), F.greatest("n_words", F.lit(1))
+    shares = {
+        "mean_word": F.col("word_chars") / words,
+        "symbol_share": F.col("n_symbols") / chars,
+        "dup_line_share": F.col("n_dup_lines") / F.greatest("_n_lines", F.lit(1)),
+        "repeat_share": F.col("n_repeat_words") / words,
+        "distinct_share": F.col("_n_distinct") / words,
+        "upper_share": F.col("_upper") / chars,
+    }
+    return df.select(*own, *COUNTS, *[c.alias(n) for n, c in shares.items()])
