@@ -11,11 +11,11 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The text forms that count as a number (with an exponent a double can
-# hold), an integer or a date, and the first and last date that a nanosecond clock can
-# hold (others are rejected).
-EXPONENT = r"[eE](?:-\d+|\+?0*(?:30[0-7]|[0-2]?\d?\d))"
-NUMBER = rf"^\s*+[+-]?+(?:(?:\d++(?:\.\d*+)?+|\.\d++)(?:{EXPONENT})?|(?i:inf(?:inity)?))\s*+$"
+# The text forms that count as a finite number, as infinity, as an integer
+# or a date, and the first and last date that a nanosecond clock can hold (others are
+# rejected).
+NUMBER = r"^\s*+[+-]?+(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?+\d++)?+\s*+$"
+INFINITE = r"^\s*+[+-]?+(?i:inf(?:inity)?)\s*+$"
 INTEGER = r"^\s*[+-]?\d+\s*$"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 ISO_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d.*)?$"
@@ -83,12 +83,14 @@ def nan_to_null(col: Column | str) -> Column:
 
 
 def coerce_number(col: Column | str) -> Column:
-    """Text to DOUBLE; what is not a number, or too large an exponent, is NULL.
+    """Text to DOUBLE; what is not a number, or a finite one no double can hold, is NULL.
 
-    The pattern keeps out the type suffixes ('1d') that a cast alone would accept.
+    The patterns keep out the type suffixes ('1d') that a cast alone would accept.
     """
     text = _col(col)
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    number = text.try_cast("double")
+    held = F.when(F.abs(number) < float("inf"), number)
+    return F.when(text.rlike(NUMBER), held).when(text.rlike(INFINITE), number)
 
 
 def coerce_hour(col: Column | str) -> Column:

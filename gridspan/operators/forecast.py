@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from gridspan.operators.ordering import with_halo
 
+STEPS_PER_FRAME = 1024
 SERIES_PER_BLOCK = 256
 WORST_CONDITION = 1e13
 
@@ -145,7 +146,8 @@ def fit_arima(
 
     `df` holds one row per observation with its `pos` in the series and the length `n`.
     Columns: by, p, q, n (values seen), level (last value), ar, ma, recent (latest
-    differences, newest first) and shocks (latest residuals, newest first).
+    differences, newest first), shocks (latest residuals, newest first) and status: a
+    series with no more differences than lags is 'too_short', its coefficients are 0.
     """
     depth = _depth(p, q)
     sums = lagged_sums(df, value, depth, by, chunk)
@@ -165,12 +167,13 @@ def fit_arima(
         )
         row = {**dict(zip(names, key)), "p": p, "q": q, "n": n, "level": kinds["Y"][0]}
         row |= {"ar": ar, "ma": ma, "recent": tail[:p], "shocks": shocks}
+        row["status"] = "fitted" if n - 1 > depth else "too_short"
         return pd.DataFrame([row])
 
     types = dict(df.dtypes)
     schema = ", ".join(f"`{b}` {types[b]}" for b in by) + (
         ", p INT, q INT, n BIGINT, level DOUBLE, ar ARRAY<DOUBLE>, ma ARRAY<DOUBLE>, "
-        "recent ARRAY<DOUBLE>, shocks ARRAY<DOUBLE>"
+        "recent ARRAY<DOUBLE>, shocks ARRAY<DOUBLE>, status STRING"
     )
     return sums.groupBy(*by).applyInPandas(solve, schema)
 
@@ -196,12 +199,15 @@ def forecast(models: DataFrame, steps: int | str, by: Sequence[str]) -> DataFram
         for pdf in batches:
             for _, same in pdf.groupby(["p", "q"]):
                 for first in range(0, len(same), SERIES_PER_BLOCK):
-                    yield _forecast_block(same.iloc[first : first + SERIES_PER_BLOCK], names)
+                    yield from _forecast_block(same.iloc[first : first + SERIES_PER_BLOCK], names)
 
     horizon = F.lit(steps) if isinstance(steps, int) else F.col(steps)
     types = dict(models.dtypes)
     schema = ", ".join(f"`{b}` {types[b]}" for b in by) + ", step BIGINT, yhat DOUBLE"
-    return models.withColumn("_steps", horizon.cast("bigint")).mapInPandas(run, schema)
+    models = models.withColumn("_steps", horizon.cast("bigint"))
+    # Models are few and their forecasts many: they are dealt out before they fan out.
+    tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return models.repartition(tasks, *names).mapInPandas(run, schema)
 
 
 def _push(history: np.ndarray, newest: np.ndarray) -> np.ndarray:
@@ -209,26 +215,28 @@ def _push(history: np.ndarray, newest: np.ndarray) -> np.ndarray:
     return np.column_stack([newest, history])[:, : history.shape[1]]
 
 
-def _forecast_block(block: pd.DataFrame, names: list[str]) -> pd.DataFrame:
+def _forecast_block(block: pd.DataFrame, names: list[str]) -> Iterator[pd.DataFrame]:
+    """Forecasts of some series, in frames of STEPS_PER_FRAME steps each."""
     horizon = block["_steps"].to_numpy(int)
     longest = int(horizon.max())
     ar, ma, recent, shocks = (
         np.stack([np.asarray(v, float) for v in block[c]]) for c in ("ar", "ma", "recent", "shocks")
     )
     level = block["level"].to_numpy(float).copy()
-    path = np.empty((len(block), longest))
-    for step in range(longest):
-        move = (ar * recent).sum(axis=1) + (ma * shocks).sum(axis=1)
-        level += move
-        path[:, step] = level
-        recent = _push(recent, move)
-        shocks = _push(shocks, np.zeros(len(block)))  # future shocks are zero on average
-    wanted = np.arange(longest)[None, :] < horizon[:, None]
-    row, step = np.nonzero(wanted)
-    out = block[names].iloc[row].reset_index(drop=True)
-    out["step"] = step + 1
-    out["yhat"] = path[row, step]
-    return out
+    for first in range(0, longest, STEPS_PER_FRAME):
+        steps = np.arange(first, min(first + STEPS_PER_FRAME, longest))
+        path = np.empty((len(block), len(steps)))
+        for i in range(len(steps)):
+            move = (ar * recent).sum(axis=1) + (ma * shocks).sum(axis=1)
+            level += move
+            path[:, i] = level
+            recent = _push(recent, move)
+            shocks = _push(shocks, np.zeros(len(block)))  # future shocks are zero on average
+        row, at = np.nonzero(steps[None, :] < horizon[:, None])
+        out = block[names].iloc[row].reset_index(drop=True)
+        out["step"] = steps[at] + 1
+        out["yhat"] = path[row, at]
+        yield out
 
 
 def future_hours(df: DataFrame, timestamp: str, steps: int, by: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
@@ -55,18 +55,25 @@ def newest_reports(
 
     Reports overlap: each fetch of a day repeats its earlier hours. Of a date, only the
     rows of the last report that writes it are kept, where a report writes its newest
-    date (mode 'latest') or every date it holds ('all_dates_in_batch').
+    date (mode 'latest') or every date it holds ('all_dates_in_batch'). All files of a
+    report count as one; it has landed when its last file has, and of reports that landed
+    at once the one whose name sorts last is the later.
     """
     if mode not in MODES:
         raise ValueError(f"unknown upsert mode: {mode}")
-    writes = df.select(landing, date).distinct()
-    if mode == "latest":
-        writes = writes.groupBy(landing).agg(F.max(date).alias(date))
-    last = writes.groupBy(date).agg(F.max(landing).alias(landing))
+    if not isinstance(df.schema[date].dataType, DateType):
+        raise TypeError(f"{date} is not a DATE column")
+    report = F.col(f"{landing}.report")
+    files = df.select(report.alias("_report"), f"{landing}.landed_at", date).distinct()
+    newest = F.max(date).over(Window.partitionBy("_report")) if mode == "latest" else F.col(date)
+    landed = F.max("landed_at").over(Window.partitionBy("_report"))
+    writes = files.select("_report", landed.alias("landed_at"), date, newest.alias("newest"))
+    writes = writes.filter(F.col(date) == F.col("newest"))
+    last = writes.groupBy(date).agg(F.max(F.struct("landed_at", "_report")).alias("last"))
     # At most one row per calendar date, as in `calendar_dates`.
-    return df.join(F.broadcast(last), [date, landing]).select(
-        *[c for c in df.columns if c != landing]
-    )
+    last = last.select(F.col(date).alias("_date"), F.col("last._report").alias("_report"))
+    same = (F.col(date) == F.col("_date")) & (report == F.col("_report"))
+    return df.join(F.broadcast(last), same).select(*[c for c in df.columns if c != landing])
 
 
 def upserted(
@@ -74,9 +81,11 @@ def upserted(
 ) -> DataFrame:
     """What the table holds after an upsert, as a query that writes nothing.
 
-    mode 'latest' takes the batch's newest date only, 'all_dates_in_batch' every one.
+    mode 'latest' takes the batch's newest date only, 'all_dates_in_batch' every one. Rows
+    without a date belong to no slice: the target keeps its own, the batch's aren't taken.
     """
     columns = target.columns
+    batch = batch.filter(F.col(date).isNotNull())
     if mode == "latest":
         newest = batch.agg(F.max(date)).scalar()
         kept = target.filter((F.col(date) != newest) | F.col(date).isNull() | newest.isNull())

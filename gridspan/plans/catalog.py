@@ -17,7 +17,10 @@ from gridspan.plans import standins as st
 from gridspan.session import scratch
 from gridspan.sinks.store import Store, latest_writes
 from gridspan.sources import files
-from gridspan.streaming.pickup import pick_up
+from gridspan.streaming.pickup import pick_up, rejected_reports
+
+#: Numbers at and beyond the ends of what a double holds.
+EXTREMES = ["1e308", "1.5e308", "0.001e310", "1e309", "Infinity", "-inf"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,6 +82,10 @@ def coerce_typed(spark, sf_dir):
         F.when(F.col("l_returnflag") == "N", F.concat(price.cast("string"), F.lit("d")))
         .when((F.col("l_returnflag") == "R") & (line == 1), F.lit("nan"))
         .when((F.col("l_returnflag") == "R") & (line == 2), F.lit("1,000"))
+        .when(
+            (F.col("l_returnflag") == "R") & (line == 6),
+            F.get(F.array(*map(F.lit, EXTREMES)), F.col("l_partkey") % len(EXTREMES)),
+        )
         .otherwise(price.cast("string"))
     )
     hour = (F.col("l_quantity") + F.col("l_discount")).cast("decimal(18,2)")
@@ -186,8 +193,8 @@ def align_measures(spark, sf_dir):
 @query
 def key_union(spark, sf_dir):
     items = st.table(spark, sf_dir, "lineitem")
-    lists = [items.filter(F.col("l_returnflag") == flag) for flag in ("A", "N", "R")]
-    return align.key_union(lists, ["l_suppkey", "l_linenumber"])
+    listed = items.filter(F.col("l_returnflag").isin("A", "N", "R"))
+    return align.key_union([listed], ["l_suppkey", "l_linenumber"])
 
 
 @query
@@ -274,6 +281,22 @@ def capability_xml_scan(spark, sf_dir):
     return typing.flatten_capability(files.scan_capability_xml(spark.read, landing))
 
 
+@query
+def capability_ingest(spark, sf_dir):
+    """All reports loaded without output, then the newest date's report replaced by its job."""
+    store = _store(spark, "capability")
+    reports = st.capability_reports(st.table(spark, sf_dir, "lineitem"))
+    landing = st.land_xml(reports, store.path("landing"), "IMODocBody")
+    raw = files.scan_capability_xml(spark.read, landing)
+    stale = typing.flatten_capability(raw).withColumn("OutputEnergy", F.lit(0.0))
+    store.replace_table(stale, schemas.CAPABILITY)
+    newest = raw.agg(F.max("Date")).first()[0]
+    ingest.replace_report(
+        store, "capability", raw.filter(F.col("Date") == newest), newest, st.INSTANT
+    )
+    return store.read(schemas.CAPABILITY)
+
+
 # Tables and register
 
 
@@ -314,6 +337,34 @@ def upsert_as_query(spark, sf_dir):
     return slices.upserted(history, batch, mode="all_dates_in_batch")
 
 
+@query
+def upsert_as_query_latest(spark, sf_dir):
+    """The same with the batch's newest date only."""
+    history, batch = _history_and_correction(spark, sf_dir)
+    return slices.upserted(history, batch)
+
+
+def _undated(rows: DataFrame, every: int) -> DataFrame:
+    """Some rows have no date."""
+    return rows.withColumn("Date", F.when(F.col("event_id") % every != 0, F.col("Date")))
+
+
+@query
+def upsert_undated(spark, sf_dir):
+    """Rows without a date in the table stay; those in the batch aren't written."""
+    store = _store(spark, "upsert-undated")
+    history, batch = _history_and_correction(spark, sf_dir)
+    store.replace_table(_undated(history, 10), "raw/events")
+    store.upsert(_undated(batch, 7), "raw/events", mode="all_dates_in_batch")
+    return store.read("raw/events")
+
+
+@query
+def upsert_undated_as_query(spark, sf_dir):
+    history, batch = _history_and_correction(spark, sf_dir)
+    return slices.upserted(_undated(history, 10), _undated(batch, 7), mode="all_dates_in_batch")
+
+
 @query
 def replace_slice(spark, sf_dir):
     """One explicit date replaced."""
@@ -404,11 +455,8 @@ def duplicate_rows(spark, sf_dir):
 
 @query
 def profile_nulls(spark, sf_dir):
-    """Documents with their labels, if any. Only whether a text is there is carried along."""
-    text = F.when(F.col("text").isNotNull(), F.lit(True)).alias("has_text")
-    documents = st.table(spark, sf_dir, "documents").select(
-        "doc_id", text, "lang", "source", "n_chars"
-    )
+    """Documents, whole texts included, with their labels, if any."""
+    documents = st.table(spark, sf_dir, "documents")
     labels = st.table(spark, sf_dir, "labels")
     return profile.profile(documents.join(labels, "doc_id", "left"))
 
@@ -547,6 +595,19 @@ def actual_vs_forecast(spark, sf_dir):
     return _rounded(fc.actual_vs_forecast(test, ahead, by, "timestamp", value), value)
 
 
+@query
+def forecast_many(spark, sf_dir):
+    """A lag-1 model per supplier and return flag over its line items by date."""
+    items = st.table(spark, sf_dir, "lineitem")
+    series = F.concat_ws("-", F.col("l_suppkey"), F.col("l_returnflag")).alias("series")
+    days = items.groupBy(series, F.col("l_shipdate").alias("timestamp")).agg(
+        F.round(F.sum("l_quantity"), 4).alias("Ontario_Demand")
+    )
+    placed = forecasting.placed(days, "Ontario_Demand", ["series"])
+    rows = forecasting.holdout_forecast(placed, "Ontario_Demand", ["series"], (1, 1, 0))
+    return _rounded(rows, "yhat")
+
+
 # Streams
 
 
@@ -567,23 +628,75 @@ def stream_pickup(spark, sf_dir):
     report = st.demand(_events(spark, sf_dir))
     newest = report.agg(F.max("Date")).scalar()
 
-    st.land_reports(report.filter("Hour <= 12"), landing)
-    st.land_reports(report.filter(F.col("Date") < newest), landing)
+    st.land_reports(report.filter("Hour <= 12"), landing, 1)
+    st.land_reports(report.filter(F.col("Date") < newest), landing, 2)
     _run_stream(store, "demand", "latest")
     late = report.filter(F.col("Date") >= F.date_sub(newest, 1))
-    st.land_reports(_corrected(late), landing)
+    st.land_reports(_corrected(late), landing, 3)
     _run_stream(store, "demand", "latest")
     return store.read(schemas.DEMAND)
 
 
+@query
+def stream_multipart_reports(spark, sf_dir):
+    """Two fetches of all days, each a folder of many files, taken in at once."""
+    store = _store(spark, "stream-parts")
+    report = st.demand(_events(spark, sf_dir))
+    for fetch, rows in (("fetch=1", report), ("fetch=2", _corrected(report))):
+        spread = rows.repartition(3, "Date", "Hour")
+        st.land_csv(spread, f"{store.path('landing')}/{fetch}")
+    _run_stream(store, "demand", "all_dates_in_batch")
+    return store.read(schemas.DEMAND)
+
+
+@query
+def stream_bad_file(spark, sf_dir):
+    """A report of one line with a field too many among good ones, then another good fetch."""
+    store = _store(spark, "stream-bad")
+    report = st.demand(_events(spark, sf_dir))
+    landing = store.path("landing")
+    odd = F.dayofmonth("Date") % 2 == 1
+    st.land_reports(report.filter(odd), landing, 1)
+    surplus = F.when(F.col("Hour") == 5, F.lit("1,2")).otherwise(F.lit("1"))
+    broken = report.filter(~odd).withColumn("Ontario_Demand", surplus)
+    broken = broken.select("Date", "Hour", "Market_Demand", "Ontario_Demand")
+    st.land_csv(broken, f"{landing}/fetch=2")
+    _run_stream(store, "demand", "all_dates_in_batch")
+    newest = report.agg(F.max("Date")).scalar()
+    st.land_reports(report.filter(F.col("Date") == newest), landing, 3)
+    _run_stream(store, "demand", "all_dates_in_batch")
+    rejected = rejected_reports(store).agg(F.count(F.lit(1)).alias("rejected"))
+    return store.read(schemas.DEMAND).join(F.broadcast(rejected))
+
+
+@query
+def stream_fuel(spark, sf_dir):
+    """Nested fuel reports picked up as they land; every date is taken in."""
+    store = _store(spark, "stream-fuel")
+    landing = f"{store.path('landing')}/fetch=1"
+    st.land_xml(st.fuel_days(_events(spark, sf_dir)), landing, "DailyData")
+    _run_stream(store, "fuel", "all_dates_in_batch")
+    return store.read(schemas.FUEL_OUTPUT)
+
+
+@query
+def stream_capability(spark, sf_dir):
+    """Capability reports picked up as they land; every month is taken in."""
+    store = _store(spark, "stream-capability")
+    reports = st.capability_reports(st.table(spark, sf_dir, "lineitem"))
+    st.land_xml(reports, f"{store.path('landing')}/fetch=1", "IMODocBody")
+    _run_stream(store, "capability", "all_dates_in_batch")
+    return store.read(schemas.CAPABILITY)
+
+
 @query
 def stream_late_dates(spark, sf_dir):
     """Two-day reports after one-day ones; the corrections of both their days are taken in."""
     store = _store(spark, "stream-late")
     report = st.demand(_events(spark, sf_dir))
-    st.land_reports(report, store.path("landing"))
+    st.land_reports(report, store.path("landing"), 1)
     _run_stream(store, "demand", "all_dates_in_batch")
-    st.land_reports(_corrected(report), store.path("landing"), days=2)
+    st.land_reports(_corrected(report), store.path("landing"), 2, days=2)
     _run_stream(store, "demand", "all_dates_in_batch")
     return store.read(schemas.DEMAND)
 
@@ -593,6 +706,6 @@ def stream_latest_to_primary(spark, sf_dir):
     """Two-day zonal reports; the later day of each goes to the raw and the primary table."""
     store = _store(spark, "stream-zonal")
     wide = st.hourly_wide(_events(spark, sf_dir)).select(schemas.ZONAL_COLUMNS)
-    st.land_reports(wide, store.path("landing"), days=2)
+    st.land_reports(wide, store.path("landing"), 1, days=2)
     _run_stream(store, "zonal", "latest")
     return store.read(schemas.PRIMARY_ZONAL_DEMAND)

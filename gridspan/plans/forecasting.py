@@ -53,9 +53,15 @@ def holdout_forecast(
 ) -> DataFrame:
     """Fit on the train part, predict the rest: rows (by, step, timestamp, value, yhat).
 
-    `rows` are as `placed` returns them, here and below.
+    `rows` are as `placed` returns them, here and below. A series too short to fit has none.
     """
-    models = train_models(rows, value, by, order)
+    models = train_models(rows, value, by, order).filter("status = 'fitted'")
+    return _held_out(models, rows, value, by, timestamp)
+
+
+def _held_out(
+    models: DataFrame, rows: DataFrame, value: str, by: Sequence[str], timestamp: str
+) -> DataFrame:
     sizes = part_sizes(rows, by).select(*by, "test_size")
     predicted = fc.forecast(models.join(sizes, list(by)), "test_size", by)
     actual = test_part(rows).withColumn("step", F.col("pos") - F.col("train_size"))
@@ -70,11 +76,14 @@ def score(
     order: tuple[int, int, int] = schemas.SHORT_ORDER,
     timestamp: str = "timestamp",
 ) -> DataFrame:
-    """One run record per series: order, sizes and holdout error."""
+    """One run record per series: order, sizes, status and, if it could be fitted, error."""
     p, d, q = order
-    held_out = holdout_forecast(rows, value, by, order, timestamp)
+    models = materialize(train_models(rows, value, by, order), "models")
+    held_out = _held_out(models.filter("status = 'fitted'"), rows, value, by, timestamp)
     errors = fc.forecast_error(held_out, value, "yhat", by)
-    return errors.join(part_sizes(rows, by), list(by)).select(
+    status = models.select(*by, "status")
+    runs = part_sizes(rows, by).join(status, list(by), "left").join(errors, list(by), "left")
+    return runs.select(
         wall_clock(instant).alias("run_at"),
         F.concat_ws("/", *by).alias("series"),
         F.lit(p).alias("p"),
@@ -82,6 +91,7 @@ def score(
         F.lit(q).alias("q"),
         "train_size",
         "test_size",
+        F.coalesce("status", F.lit("too_short")).alias("status"),
         "mse",
         "rmse",
     )

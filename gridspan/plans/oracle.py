@@ -43,13 +43,20 @@ newest AS (SELECT max("Date") AS d FROM dated)
 """
 
 
-def _series(by_type: bool) -> str:
+_MANY = """
+  SELECT l_suppkey || '-' || l_returnflag AS series, l_shipdate AS "timestamp",
+    round(sum(l_quantity), 4) AS "Ontario_Demand"
+  FROM lineitem GROUP BY 1, 2"""
+
+
+def _series(by_type: bool, rows: str = "") -> str:
     name = "event_type" if by_type else "'total'"
-    return f"""
-series AS (
+    rows = rows or f"""
   SELECT {name} AS series, date_trunc('hour', ts) AS "timestamp",
     round(sum(value), 4) AS "Ontario_Demand"
-  FROM events GROUP BY 1, 2),
+  FROM events GROUP BY 1, 2"""
+    return f"""
+series AS ({rows}),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY series ORDER BY "timestamp") AS pos,
     count(*) OVER (PARTITION BY series) AS n FROM series),
@@ -111,8 +118,8 @@ path AS (
 """
 
 
-def _holdout(p: int, by_type: bool) -> str:
-    return f"""WITH RECURSIVE {_series(by_type)}, {_fit(p)}, {_path(p, "n - train_size")},
+def _holdout(p: int, by_type: bool, rows: str = "") -> str:
+    return f"""WITH RECURSIVE {_series(by_type, rows)}, {_fit(p)}, {_path(p, "n - train_size")},
 holdout AS (
   SELECT s.series, CAST(path.step AS BIGINT) AS step, s."timestamp", s."Ontario_Demand",
     path.y AS yhat
@@ -209,6 +216,8 @@ WITH raw AS (
         THEN CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS VARCHAR) || 'd'
       WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'nan'
       WHEN l_returnflag = 'R' AND l_linenumber = 2 THEN '1,000'
+      WHEN l_returnflag = 'R' AND l_linenumber = 6 THEN
+        (['1e308', '1.5e308', '0.001e310', '1e309', 'Infinity', '-inf'])[l_partkey % 6 + 1]
       ELSE CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS VARCHAR) END AS v
   FROM lineitem),
 typed AS (
@@ -217,7 +226,9 @@ typed AS (
       THEN CAST(try_strptime(d, '%Y-%m-%d') AS DATE) END AS "Date",
     CASE WHEN TRY_CAST(h AS DOUBLE) = floor(TRY_CAST(h AS DOUBLE))
       THEN CAST(TRY_CAST(h AS DOUBLE) AS INTEGER) END AS "Hour",
-    CASE WHEN NOT isnan(TRY_CAST(v AS DOUBLE)) THEN TRY_CAST(v AS DOUBLE) END AS "Market_Demand"
+    CASE WHEN v = '0.001e310' THEN 1e307 WHEN v = '1e309' THEN NULL
+      WHEN v IN ('Infinity', '-inf') THEN CAST(v AS DOUBLE)
+      WHEN NOT isnan(TRY_CAST(v AS DOUBLE)) THEN TRY_CAST(v AS DOUBLE) END AS "Market_Demand"
   FROM raw)
 SELECT * FROM typed WHERE "Date" IS NOT NULL
 """
@@ -316,13 +327,27 @@ ORACLE["fuel_xml_ingest"] = f"""
 WITH fuel AS ({_FUEL}) SELECT * FROM fuel WHERE "Date" = (SELECT max("Date") FROM fuel)
 """
 
-ORACLE["capability_xml_scan"] = """
-SELECT CAST(l_shipdate AS DATE) AS "Date", l_linenumber AS "Hour",
-  'G' || l_suppkey AS "GeneratorName", 'F' || (l_suppkey % 5) AS "FuelType",
-  coalesce(max(l_quantity) FILTER (WHERE l_returnflag = 'A'), 0.0) AS "OutputEnergy",
-  coalesce(max(l_quantity) FILTER (WHERE l_returnflag = 'N'), 0.0) AS "CapabilityEnergy",
-  coalesce(max(l_quantity) FILTER (WHERE l_returnflag = 'R'), 0.0) AS "AvailCapacity"
-FROM lineitem GROUP BY ALL
+def _last_of(flag: str) -> str:
+    return (
+        "coalesce(last(l_quantity ORDER BY l_orderkey, l_partkey, l_quantity) "
+        f"FILTER (WHERE l_returnflag = '{flag}'), 0.0)"
+    )
+
+
+# The last entry of a slot counts; entries without energy are planted at every tenth part.
+ORACLE["capability_xml_scan"] = f"""
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", l_suppkey % 24 + 1 AS "Hour",
+  'G' || l_linenumber || '-' || (l_suppkey % 16) AS "GeneratorName", 'F' || (l_linenumber % 5) AS "FuelType",
+  {_last_of("A")} AS "OutputEnergy", {_last_of("N")} AS "CapabilityEnergy",
+  {_last_of("R")} AS "AvailCapacity"
+FROM lineitem WHERE l_partkey % 10 <> 0 GROUP BY ALL
+"""
+ORACLE["capability_ingest"] = f"""
+WITH scanned AS ({ORACLE["capability_xml_scan"]})
+SELECT "Date", "Hour", "GeneratorName", "FuelType",
+  CASE WHEN "Date" = (SELECT max("Date") FROM scanned) THEN "OutputEnergy"
+    ELSE 0.0 END AS "OutputEnergy", "CapabilityEnergy", "AvailCapacity"
+FROM scanned
 """
 
 # Tables and register
@@ -345,11 +370,24 @@ SELECT * FROM history ANTI JOIN batch USING ("Date") UNION ALL SELECT * FROM bat
 ORACLE["upsert_latest"] = _LATEST
 ORACLE["upsert_all_dates"] = _ALL_DATES
 ORACLE["upsert_as_query"] = _ALL_DATES
+ORACLE["upsert_as_query_latest"] = _LATEST
+
+_UNDATED = f"""WITH {_CORRECTION},
+undated AS (
+  SELECT CASE WHEN event_id % 10 <> 0 THEN "Date" END AS "Date", * EXCLUDE ("Date") FROM history),
+corrected AS (
+  SELECT CASE WHEN event_id % 7 <> 0 THEN "Date" END AS "Date", * EXCLUDE ("Date") FROM batch)
+"""
+ORACLE["upsert_undated"] = ORACLE["upsert_undated_as_query"] = f"""{_UNDATED}
+SELECT * FROM undated WHERE "Date" IS NULL OR "Date" NOT IN (
+  SELECT "Date" FROM corrected WHERE "Date" IS NOT NULL)
+UNION ALL SELECT * FROM corrected WHERE "Date" IS NOT NULL
+"""
 ORACLE["replace_slice"] = _LATEST
 
 ORACLE["register_append"] = """
 WITH counted AS (SELECT count(*) AS c FROM events)
-SELECT CAST(i AS BIGINT) AS id, 'events' AS "TABLE_NAME", 'raw' AS "TABLE_SCHEMA",
+SELECT 1735805045678000 + (i - 1) * 3600000000 AS id, 'events' AS "TABLE_NAME", 'raw' AS "TABLE_SCHEMA",
   DATE '2025-01-02' AS "MODIFIED_DT",
   TIMESTAMP '2025-01-02 03:04:05.678' + (i - 1) * INTERVAL 1 HOUR AS "MODIFIED_TIME",
   c AS "ROW_COUNT",
@@ -431,7 +469,7 @@ FROM (SELECT count(*) AS c FROM documents GROUP BY text)
 
 _PROFILED = [
     ("doc_id", "bigint", "count(doc_id) * 8"),
-    ("has_text", "boolean", "count(text)"),
+    ("text", "string", "coalesce(sum(octet_length(encode(text))), 0)"),
     ("lang", "string", "coalesce(sum(octet_length(encode(lang))), 0)"),
     ("source", "string", "coalesce(sum(octet_length(encode(source))), 0)"),
     ("n_chars", "bigint", "count(n_chars) * 8"),
@@ -442,7 +480,7 @@ ORACLE["profile_nulls"] = "WITH joined AS (SELECT * FROM documents LEFT JOIN lab
     " UNION ALL ".join(
         f"""SELECT CAST({i} AS INTEGER) AS position, '{name}' AS column_name,
   '{kind}' AS data_type, count(*) AS row_count, CAST(7 AS INTEGER) AS column_count,
-  count(*) - count({'text' if name == 'has_text' else name}) AS null_count,
+  count(*) - count({name}) AS null_count,
   CAST({size} AS BIGINT) AS data_bytes FROM joined"""
         for i, (name, kind, size) in enumerate(_PROFILED, start=1)
     )
@@ -488,6 +526,7 @@ FROM changes
 
 _ROWS = 'SELECT series, step, "timestamp", "Ontario_Demand", round(yhat, 4) AS yhat FROM holdout'
 ORACLE["forecast_ar1"] = _holdout(1, by_type=False) + _ROWS
+ORACLE["forecast_many"] = _holdout(1, by_type=True, rows=_MANY) + _ROWS
 ORACLE["forecast_ar5"] = _holdout(5, by_type=True) + _ROWS
 
 _MSE = 'avg(power("Ontario_Demand" - yhat, 2))'
@@ -499,7 +538,7 @@ FROM holdout GROUP BY series
 ORACLE["forecast_runs"] = _holdout(5, by_type=True) + f"""
 SELECT h.series, CAST(5 AS INTEGER) AS p, CAST(1 AS INTEGER) AS d, CAST(0 AS INTEGER) AS q,
   s.train_size, s.n - s.train_size AS test_size,
-  round({_MSE}, 4) AS mse, round(sqrt({_MSE}), 4) AS rmse
+  'fitted' AS status, round({_MSE}, 4) AS mse, round(sqrt({_MSE}), 4) AS rmse
 FROM holdout h JOIN (SELECT DISTINCT series, n, train_size FROM split) s ON s.series = h.series
 GROUP BY h.series, s.n, s.train_size
 """
@@ -549,6 +588,22 @@ SELECT "Date", "Hour",
 FROM hourly
 """
 
+# Each report lies in several files of equal age; its name tells which is the later one.
+ORACLE["stream_multipart_reports"] = f"""WITH {_HOURLY}
+SELECT "Date", "Hour", "Zone_Total" + 1000 AS "Market_Demand", "Ontario_Demand",
+  {STAMP_DATE} AS "Modified_DT"
+FROM hourly
+"""
+
+ORACLE["stream_bad_file"] = f"""WITH {_HOURLY}
+SELECT "Date", "Hour", "Zone_Total" AS "Market_Demand", "Ontario_Demand",
+  {STAMP_DATE} AS "Modified_DT", CAST(1 AS BIGINT) AS rejected
+FROM hourly WHERE day("Date") % 2 = 1 OR "Date" = (SELECT max("Date") FROM hourly)
+"""
+
+ORACLE["stream_fuel"] = _FUEL
+ORACLE["stream_capability"] = ORACLE["capability_xml_scan"]
+
 ORACLE["stream_late_dates"] = f"""WITH {_HOURLY}
 SELECT "Date", "Hour", "Zone_Total" + 1000 AS "Market_Demand", "Ontario_Demand",
   {STAMP_DATE} AS "Modified_DT"

@@ -87,14 +87,14 @@ def land_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def land_reports(df: DataFrame, path: str, days: int = 1) -> str:
-    """Lands one report file per `days` dates of hourly rows, each complete in itself.
+def land_reports(df: DataFrame, path: str, fetch: int, days: int = 1) -> str:
+    """Lands one report per `days` dates of hourly rows, in a folder named by the fetch.
 
     A report holds at most 24 rows per date, so gathering one in a task is bounded.
     """
     report = F.floor(F.datediff("Date", F.lit("1970-01-01")) / days).alias("report")
     lines = df.select(report, _lines(df)).repartition("report")
-    lines.write.mode("append").partitionBy("report").text(path)
+    lines.write.partitionBy("report").text(f"{path}/fetch={fetch}")
     return path
 
 
@@ -128,39 +128,40 @@ def fuel_xml(events: DataFrame) -> DataFrame:
 def land_xml(df: DataFrame, path: str, row_tag: str) -> str:
     """Writes report documents in a default namespace.
 
-    An XML file is one task's work to read, so the files are kept small and many.
+    An XML file is one task's work to read, so each writing task lands a file of its own.
     """
-    writer = df.write.format("xml").mode("append").option("maxRecordsPerFile", 4000)
     root = 'IMODocument xmlns="urn:hourly-reports"'
-    writer.options(rowTag=row_tag, rootTag=root).save(path)
+    df.write.format("xml").mode("append").options(rowTag=row_tag, rootTag=root).save(path)
     return path
 
 
 def capability_reports(lineitem: DataFrame) -> DataFrame:
-    """One report per ship date and supplier, with the line number as the hour.
+    """Reports by shipping month and generator, with hours by supplier.
 
-    The three return flags are the three lists. Quantities are reduced to their least
-    and greatest per hour first, so a list is at most seven hours of two entries; the
-    greatest comes last and is the one that counts.
+    The three return flags are the three lists, with every line item as an entry, in order
+    of order, part and quantity. Every tenth part's entry has no energy, and every second
+    supplier's hour is written with two digits. A report holds a month's items of one line
+    number and a sixteenth of the suppliers: some hundreds at a scale factor of 1.
     """
-    extremes = lineitem.groupBy(
-        F.to_date("l_shipdate").alias("Date"), "l_suppkey", "l_linenumber", "l_returnflag"
-    ).agg(F.min("l_quantity").alias("first"), F.max("l_quantity").alias("last"))
-    entry = F.struct("l_linenumber", "l_returnflag", "first", "last")
-    reports = extremes.groupBy("Date", "l_suppkey").agg(
+    entry = F.struct("l_orderkey", "l_partkey", "l_quantity", "l_suppkey", "l_returnflag")
+    month = F.trunc("l_shipdate", "month").alias("Date")
+    group = (F.col("l_suppkey") % 16).alias("group")
+    reports = lineitem.groupBy(month, "l_linenumber", group).agg(
         F.array_sort(F.collect_list(entry)).alias("entries")
     )
 
     def entries(flag: str) -> Column:
-        def node(x: Column, value: str) -> Column:
-            return F.struct(x["l_linenumber"].alias("Hour"), x[value].alias("EnergyMW"))
+        def node(x: Column) -> Column:
+            hour = (x["l_suppkey"] % 24 + 1).cast("string")
+            hour = F.when(x["l_suppkey"] % 2 == 0, F.lpad(hour, 2, "0")).otherwise(hour)
+            energy = F.when(x["l_partkey"] % 10 != 0, x["l_quantity"])
+            return F.struct(hour.alias("Hour"), energy.alias("EnergyMW"))
 
-        own = F.filter("entries", lambda x: x["l_returnflag"] == flag)
-        return F.flatten(F.transform(own, lambda x: F.array(node(x, "first"), node(x, "last"))))
+        return F.transform(F.filter("entries", lambda x: x["l_returnflag"] == flag), node)
 
     generator = F.struct(
-        F.concat(F.lit("G"), F.col("l_suppkey")).alias("GeneratorName"),
-        F.concat(F.lit("F"), F.col("l_suppkey") % 5).alias("FuelType"),
+        F.concat(F.lit("G"), F.col("l_linenumber"), F.lit("-"), F.col("group")).alias("GeneratorName"),
+        F.concat(F.lit("F"), F.col("l_linenumber") % 5).alias("FuelType"),
         F.struct(entries("A").alias("Output")).alias("Outputs"),
         F.struct(entries("N").alias("Capability")).alias("Capabilities"),
         F.struct(entries("R").alias("AvailCapacity")).alias("Capacities"),

@@ -25,6 +25,7 @@ FUEL_OUTPUT = "raw/fuel_output"
 CAPABILITY = "raw/capability"
 PRIMARY_ZONAL_DEMAND = "primary/zonal_demand"
 TABLE_REGISTER = "reference/table_register"
+REJECTED_REPORTS = "reference/rejected_reports"
 FORECAST_RUNS = "reference/forecast_runs"
 FORECAST_MODELS = "reference/forecast_models"
 
@@ -51,7 +52,7 @@ REGISTER_SCHEMA = (
 )
 FORECAST_RUN_SCHEMA = (
     "run_at TIMESTAMP_NTZ, series STRING, p INT, d INT, q INT, "
-    "train_size BIGINT, test_size BIGINT, mse DOUBLE, rmse DOUBLE"
+    "train_size BIGINT, test_size BIGINT, status STRING, mse DOUBLE, rmse DOUBLE"
 )
 
 # Forecast settings.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -32,13 +33,13 @@ def _local_folder(application: str) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the cluster's shared checkpoint folder.
 
-    Only a local session that names none falls back to a temporary folder; on a cluster
-    the executors could not see one. The folders are left for the cluster's own clean-up.
+    Only a session whose tasks run in the driver falls back to a temporary folder if it names
+    none; on a cluster, a local one included, the executors could not see it. The folders are left for the cluster's own clean-up.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder(context.applicationId)
     return f"{base.rstrip('/')}/gridspan/{label}-{uuid.uuid4().hex}"

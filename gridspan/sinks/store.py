@@ -8,10 +8,10 @@ folder has no transactions between writers.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspan import schemas
@@ -24,8 +24,8 @@ class EmptyBatchError(ValueError):
 
 
 def require_rows(df: DataFrame, min_rows: int) -> DataFrame:
-    """Fails if `df` has fewer rows; reads no more than it needs to know that."""
-    if min_rows and df.limit(min_rows).count() < min_rows:
+    """Fails if `df` has fewer rows; reads a few partitions at a time until it has enough."""
+    if min_rows and len(df.select(F.lit(1)).take(min_rows)) < min_rows:
         raise EmptyBatchError(f"batch has fewer than {min_rows} rows")
     return df
 
@@ -62,8 +62,10 @@ class Store:
     ) -> None:
         """Replaces the batch's dates in the table; an empty batch changes nothing.
 
-        mode 'latest' writes the batch's newest date only, 'all_dates_in_batch' each.
+        mode 'latest' writes the batch's newest date only, 'all_dates_in_batch' each. Rows
+        without a date belong to no slice and aren't written.
         """
+        batch = batch.filter(F.col(date).isNotNull())
         if mode == "latest":
             batch = latest_slice(batch, date)
         elif mode != "all_dates_in_batch":
@@ -99,27 +101,34 @@ class Store:
         """
         return df.hint("rebalance", date) if date else df.hint("rebalance")
 
-    def append_register(self, table: str, instant: datetime | Column) -> None:
-        """One audit row with the row count of the whole table after a write."""
+    def append_register(self, table: str, instant: datetime, write: str | None = None) -> None:
+        """One audit row with the row count of the whole table after a write.
+
+        Each table has a register folder of its own and each write a folder in it, so feeds
+        that write at once don't meet and a repeated write replaces its own row. A write is
+        known by `write`, which a stream derives from its batch, or else by its instant. The
+        id is the instant in microseconds.
+        """
         layer, name = table.rsplit("/", 1)
         counted = self.read(table).agg(F.count(F.lit(1)).alias("ROW_COUNT"))
-        register = schemas.TABLE_REGISTER
-        next_id = F.lit(1).cast("bigint")
-        if self.exists(register):
-            ids = self.read(register, schemas.REGISTER_SCHEMA)
-            next_id = ids.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).scalar()
+        since = instant - datetime.fromtimestamp(0, timezone.utc)
+        number = since // timedelta(microseconds=1)
+        path = f"{self.path(schemas.TABLE_REGISTER)}/{table}/{write or number}"
         counted.select(
-            next_id.alias("id"),
+            F.lit(number).cast("bigint").alias("id"),
             F.lit(name).alias("TABLE_NAME"),
             F.lit(layer).alias("TABLE_SCHEMA"),
             load_date(instant).alias("MODIFIED_DT"),
             wall_clock(instant).alias("MODIFIED_TIME"),
             "ROW_COUNT",
             wall_clock(instant).alias("created_at"),
-        ).coalesce(1).write.mode("append").parquet(self.path(register))
+        ).coalesce(1).write.mode("overwrite").parquet(path)
 
     def register(self) -> DataFrame:
-        return self.read(schemas.TABLE_REGISTER, schemas.REGISTER_SCHEMA)
+        reader = self.spark.read.schema(schemas.REGISTER_SCHEMA)
+        return reader.option("recursiveFileLookup", "true").parquet(
+            self.path(schemas.TABLE_REGISTER)
+        )
 
     def latest_writes(self, n: int = 10) -> DataFrame:
         return latest_writes(self.register(), n)

@@ -16,13 +16,23 @@ REJECT = "_rejected_line"
 LANDING = "_landing"
 
 
-def with_landing(scan: DataFrame) -> DataFrame:
-    """Adds which file a row came from and when that landed; later files compare greater."""
+def with_landing(scan: DataFrame, root: str) -> DataFrame:
+    """Adds which report a row came from and when its file landed.
+
+    A report is a folder below the landing folder `root`, with all files in it, or a file
+    in `root` itself. Folders should be named so that later fetches sort later.
+    """
+    def bare(path: Column) -> Column:
+        return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?|/+$", "")
+
+    file = F.col("_metadata.file_path")
+    folder = bare(F.regexp_replace(file, "/[^/]*$", ""))
+    report = F.when(folder == bare(F.lit(root)), bare(file)).otherwise(folder)
     return scan.withColumn(
         LANDING,
         F.struct(
             F.col("_metadata.file_modification_time").alias("landed_at"),
-            F.col("_metadata.file_path").alias("file"),
+            report.alias("report"),
         ),
     )
 

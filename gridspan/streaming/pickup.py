@@ -1,9 +1,12 @@
 """Incremental pickup of landed report files.
 
 A report is fetched again every hour; each fetch lands under a new name and the file
-source picks it up once, across restarts, by its checkpoint. A batch may hold several
-fetches of a day, and is written as if the hourly job had taken them in one by one; its
-partition overwrites make a replayed batch harmless. Zonal batches refresh the primary
+source picks it up once, across restarts, by its checkpoint. A fetch is one file, or a folder
+of files, which then has to appear at once, by a rename. A batch may hold several fetches of
+a day, and is written as if the hourly job had taken them in one by one; its
+partition overwrites make a replayed batch harmless. A report with a line or document that
+cannot be read whole is set aside and recorded, so it never holds up the ones after it; to
+be taken in it has to land again. Zonal batches refresh the primary
 table in the same step, which is all the waiting it needs.
 """
 
@@ -11,13 +14,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from zlib import crc32
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridspan.plans.ingest import FEEDS, ingest, refresh_primary, settled, typed_batch
+from gridspan import schemas
+from gridspan.plans.ingest import FEEDS, Feed, ingest, refresh_primary, settled, typed_batch
 from gridspan.sinks.store import Store
-from gridspan.sources.files import with_landing
+from gridspan.sources.files import LANDING, REJECT, over_long_rows, with_landing
+
+
+def set_aside(store: Store, feed: Feed, batch: DataFrame, write: str) -> DataFrame:
+    """The rows of all reports without a broken row; the others are recorded.
+
+    A batch has at most as many reports as files, and only their names are broadcast.
+    """
+    broken = over_long_rows(feed.fields) if feed.fields else F.col(REJECT).isNotNull()
+    report = F.col(f"{LANDING}.report")
+    bad = batch.filter(broken).groupBy(report.alias("report")).agg(
+        F.count(F.lit(1)).alias("broken_rows"), F.min(REJECT).alias("example")
+    )
+    if bad.isEmpty():
+        return batch
+    path = f"{store.path(schemas.REJECTED_REPORTS)}/{feed.table}/{write}"
+    bad.withColumn("table", F.lit(feed.table)).coalesce(1).write.mode("overwrite").parquet(path)
+    names = bad.select(F.col("report").alias("_report"))
+    return batch.join(F.broadcast(names), report == F.col("_report"), "left_anti")
+
+
+def rejected_reports(store: Store) -> DataFrame:
+    """All reports set aside: (report, broken_rows, example, table)."""
+    reader = store.spark.read.option("recursiveFileLookup", "true")
+    return reader.parquet(store.path(schemas.REJECTED_REPORTS))
 
 
 def pick_up(
@@ -32,7 +62,8 @@ def pick_up(
 ) -> StreamingQuery:
     """Starts the pickup of feed `name`; stops when caught up unless `interval` is given.
 
-    `max_files` bounds a batch, so a long backlog is worked off in steps, oldest first.
+    `max_files` bounds a batch, so a long backlog is worked off in steps, oldest first; it
+    is for reports of one file each, as it could part the files of a folder.
     `mode='all_dates_in_batch'` also takes in late and corrected dates. `instant` is
     asked once per batch for the load stamp.
     """
@@ -40,13 +71,26 @@ def pick_up(
     reader = store.spark.readStream.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    raw = with_landing(feed.scan(reader, landing))
+    tolerant = {} if feed.fields else {"strict": False}
+    raw = with_landing(feed.scan(reader, landing, **tolerant), landing)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        now = instant()
-        ingest(store, name, batch, now, mode)
-        if name == "zonal":
-            refresh_primary(store, now, settled(typed_batch(feed, batch, now), mode))
+        # A replayed batch registers under the same name, whatever the time.
+        now, write = instant(), f"{crc32(checkpoint.encode()):08x}-{batch_id}"
+        batch = batch.persist()  # scanned once, whatever reads it
+        try:
+            good = set_aside(store, feed, batch, write)
+            if good.isEmpty():
+                return
+            ingest(store, name, good, now, mode, write=write)
+            if name == "zonal":
+                # The refresh asks for the dates three times.
+                dates = settled(typed_batch(feed, good, now), mode).select("Date")
+                dates = dates.distinct().persist()
+                refresh_primary(store, now, dates, write)
+                dates.unpersist()
+        finally:
+            batch.unpersist()
 
     writer = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from gridspan.operators import align
@@ -62,3 +63,14 @@ def test_key_union(spark):
     assert sorted(map(tuple, union.collect()), key=repr) == sorted(
         [(1, "a"), (2, "b"), (1, None)], key=repr
     )
+
+
+@pytest.mark.parametrize("order", [["o"], ["o", "p"]])
+def test_rows_without_an_order_come_first(spark, order):
+    rows = [(1, None, None, 5.0), (2, None, 1, 6.0), (2, 3, None, 7.0), (2, 2, 9, 8.0)]
+    df = spark.createDataFrame(rows, "k int, o int, p int, v double")
+    got = {r.k: r.v for r in align.last_wins(df, ["k"], order, ["v"]).collect()}
+    assert got == {1: 5.0, 2: 7.0}
+    tagged = df.selectExpr("*", "'A' AS tag")
+    aligned = align.align_measures(tagged, ["k"], "tag", {"a": "A", "b": "B"}, "v", order)
+    assert {r.k: (r.a, r.b) for r in aligned.collect()} == {1: (5.0, 0.0), 2: (7.0, 0.0)}

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,7 +111,8 @@ def test_heading_only_demand_is_no_error_and_changes_nothing(spark, tmp_path, st
     ingest.ingest(store, "demand", files.scan_demand_csv(spark.read, path), instant)
     before = rows(store.read(schemas.DEMAND), "Hour")
     (tmp_path / "landing" / "report.txt").write_text("\n".join(DEMAND.split("\n")[:2]))
-    ingest.ingest(store, "demand", files.scan_demand_csv(spark.read, path), instant)
+    later = instant + timedelta(hours=1)
+    ingest.ingest(store, "demand", files.scan_demand_csv(spark.read, path), later)
     assert rows(store.read(schemas.DEMAND), "Hour") == before
     assert store.register().count() == 2
 

@@ -15,7 +15,7 @@ NUMBERS = [
     "12", " 12 ", "1.5", "1d", "1f", "1L", "nan", "NaN", "inf", "-inf", "Infinity", "1,000",
     "", "1e3", "1E+3", ".5", "5.", "+5", "0x10", "1_000", "True", "1e", "--1", "1 2", "\t7",
     "1e400", "-0", "bad", None, "1e0", "1e00", "1e-400", "2E307", "1e300", "9e299", "5.e1", ".e1",
-    "68423.46d", "12e", "1.2.3", "infinit", "INFINITY", "+inf", "-.5e-1",
+    "68423.46d", "12e", "1.2.3", "1e308", "1.5e308", "0.001e310", "1e309", "-1e309", "1e99999", "infinit", "INFINITY", "+inf", "-.5e-1",
 ]
 DATES = [
     "2025-01-02", "2025-1-2", "20250102", " 2025-01-02", "2025-01-02 ", "2025-13-02",

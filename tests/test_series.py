@@ -193,6 +193,19 @@ def test_future_hours_start_after_the_last_point(spark):
     assert stamps[0] == START + timedelta(hours=5) and stamps[-1] == START + timedelta(hours=724)
 
 
+def test_too_short_series_show_their_status(spark, instant):
+    start = datetime(2025, 1, 1)
+    rows = [("long", start + timedelta(hours=i), float(i * i % 17)) for i in range(60)]
+    rows += [("short", start + timedelta(hours=i), float(i)) for i in range(6)]
+    series = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, v double")
+    placed = forecasting.placed(series, "v", ["series"])
+    runs = {r.series: r for r in forecasting.score(placed, "v", ["series"], instant).collect()}
+    assert (runs["long"].status, runs["short"].status) == ("fitted", "too_short")
+    assert runs["long"].mse is not None and runs["short"].mse is None
+    held_out = forecasting.holdout_forecast(placed, "v", ["series"])
+    assert {r.series for r in held_out.collect()} == {"long"}
+
+
 def test_models_and_runs_round_trip(spark, store, instant):
     placed = forecasting.placed(series(spark, noisy(60, 4)), "y", ["series"])
     models = forecasting.train_models(placed, "y", ["series"], schemas.SHORT_ORDER)

@@ -134,12 +134,21 @@ def test_register_counts_the_whole_table(spark, store):
     store.append_register(TABLE, INSTANT)
     store.append_register(TABLE, INSTANT + timedelta(hours=1))
     register = store.register().orderBy("id").collect()
+    first = 1735805045678000  # the instant in microseconds
     assert [(r.id, r.TABLE_NAME, r.TABLE_SCHEMA, r.ROW_COUNT) for r in register] == [
-        (1, "t", "raw", 53), (2, "t", "raw", 53),
+        (first, "t", "raw", 53), (first + 3_600_000_000, "t", "raw", 53),
     ]
     assert register[0].MODIFIED_DT == date(2025, 1, 2)
 
 
+def test_register_of_two_tables_and_a_repeated_write(spark, store):
+    for table in (TABLE, "raw/other", TABLE):
+        store.replace_table(batch(spark), table)
+        store.append_register(table, INSTANT)
+    rows = store.register().collect()
+    assert sorted(r.TABLE_NAME for r in rows) == ["other", "t"]
+
+
 def test_ten_latest_register_rows(spark, store):
     store.replace_table(batch(spark), TABLE)
     for i in range(12):
