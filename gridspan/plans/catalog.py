@@ -168,6 +168,12 @@ def wide_to_long(spark, sf_dir):
     return reshape.wide_to_long(st.zonal(_events(spark, sf_dir)))
 
 
+@query
+def wide_to_long_items(spark, sf_dir):
+    wide = st.item_zones(st.table(spark, sf_dir, "lineitem"))
+    return reshape.wide_to_long(wide, ids=["l_suppkey", "Date"])
+
+
 @query
 def xml_fuel_flatten(spark, sf_dir):
     """Nested XML text per day, parsed back and flattened to rows."""
@@ -225,6 +231,17 @@ def demand_full_load(spark, sf_dir):
     return store.read(schemas.DEMAND)
 
 
+@query
+def demand_items_load(spark, sf_dir):
+    """Every line item as a landed demand line, typed and loaded."""
+    store = _store(spark, "demand-items")
+    lines = st.item_lines(st.table(spark, sf_dir, "lineitem"))
+    landing = st.land_csv(lines, store.path("landing"))
+    raw = files.scan_demand_csv(spark.read, landing)
+    ingest.full_load(store, "demand", raw, st.INSTANT)
+    return store.read(schemas.DEMAND)
+
+
 @query
 def archive_csv(spark, sf_dir):
     """The older demand layout: a NULL in any column drops the row."""
@@ -501,6 +518,21 @@ def lag_features(spark, sf_dir):
     )
 
 
+@query
+def time_split_many(spark, sf_dir):
+    series = st.item_series(st.table(spark, sf_dir, "lineitem"))
+    return ordering.time_split(series, ["timestamp"], by=["series"])
+
+
+@query
+def lag_features_many(spark, sf_dir):
+    series = st.item_series(st.table(spark, sf_dir, "lineitem"))
+    rows = ordering.lag_features(series, "Ontario_Demand", ["timestamp"], 1, by=["series"])
+    return rows.select(
+        "series", "timestamp", "pos", *[F.round(c, 4).alias(c) for c in ("diff", "lag_1")]
+    )
+
+
 def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(
         *[F.round(c, 4).alias(c) if c in columns else F.col(c) for c in rows.columns]
@@ -598,12 +630,8 @@ def actual_vs_forecast(spark, sf_dir):
 @query
 def forecast_many(spark, sf_dir):
     """A lag-1 model per supplier and return flag over its line items by date."""
-    items = st.table(spark, sf_dir, "lineitem")
-    series = F.concat_ws("-", F.col("l_suppkey"), F.col("l_returnflag")).alias("series")
-    days = items.groupBy(series, F.col("l_shipdate").alias("timestamp")).agg(
-        F.round(F.sum("l_quantity"), 4).alias("Ontario_Demand")
-    )
-    placed = forecasting.placed(days, "Ontario_Demand", ["series"])
+    series = st.item_series(st.table(spark, sf_dir, "lineitem"))
+    placed = forecasting.placed(series, "Ontario_Demand", ["series"])
     rows = forecasting.holdout_forecast(placed, "Ontario_Demand", ["series"], (1, 1, 0))
     return _rounded(rows, "yhat")
 

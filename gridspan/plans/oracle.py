@@ -262,6 +262,25 @@ FROM events GROUP BY hour(ts)
 
 ORACLE["hourly_wide"] = f"""WITH {_HOURLY} SELECT * FROM hourly"""
 
+_ITEM_ZONES = ", ".join(
+    f'sum(l_quantity) FILTER (WHERE l_partkey % {len(schemas.ZONES)} = {i}) AS "{zone}"'
+    for i, zone in enumerate(schemas.ZONES)
+)
+ORACLE["wide_to_long_items"] = f"""
+WITH wide AS (
+  SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", {_ITEM_ZONES}
+  FROM lineitem GROUP BY 1, 2)
+SELECT l_suppkey, "Date", "Zone", "Value"
+FROM wide UNPIVOT INCLUDE NULLS ("Value" FOR "Zone" IN ({_ZONE_LIST}))
+"""
+ORACLE["demand_items_load"] = f"""
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date",
+  CAST(l_suppkey % 24 + 1 AS INTEGER) AS "Hour",
+  CASE WHEN l_partkey % 11 <> 0
+    THEN CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS DOUBLE) END AS "Market_Demand",
+  l_quantity AS "Ontario_Demand", {STAMP_DATE} AS "Modified_DT"
+FROM lineitem WHERE l_linenumber <> 7
+"""
 ORACLE["wide_to_long"] = f"""WITH {_HOURLY} {_LONG}"""
 
 _FUEL = """
@@ -507,6 +526,19 @@ UNION ALL SELECT * FROM (
 
 # Series
 
+_MANY_SERIES = _series(True, _MANY)
+ORACLE["time_split_many"] = f"""WITH {_MANY_SERIES}
+SELECT series, "timestamp", "Ontario_Demand", pos, n, train_size, pos <= train_size AS is_train
+FROM split
+"""
+ORACLE["lag_features_many"] = f"""WITH {_MANY_SERIES},
+changes AS (
+  SELECT series, "timestamp", pos, "Ontario_Demand" -
+    lag("Ontario_Demand") OVER (PARTITION BY series ORDER BY pos) AS d FROM placed)
+SELECT series, "timestamp", pos, round(d, 4) + 0.0 AS diff,
+  round(lag(d, 1) OVER (PARTITION BY series ORDER BY pos), 4) + 0.0 AS lag_1
+FROM changes
+"""
 ORACLE["time_split"] = f"""WITH {_series(True)}
 SELECT series, "timestamp", "Ontario_Demand", pos, n, train_size, pos <= train_size AS is_train
 FROM split

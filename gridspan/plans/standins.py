@@ -68,6 +68,37 @@ def hourly_series(events: DataFrame, by_type: bool = False) -> DataFrame:
     return sums.select("series", G.hour_start().alias("timestamp"), "Ontario_Demand")
 
 
+def item_lines(lineitem: DataFrame) -> DataFrame:
+    """Line items as demand lines: months as dates, some of them wrong, some values no number."""
+    month = F.trunc("l_shipdate", "month").cast("string")
+    wrong = F.concat(month.substr(1, 5), F.lit("13-01"))
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    return lineitem.select(
+        F.when(F.col("l_linenumber") == 7, wrong).otherwise(month).alias("Date"),
+        (F.col("l_suppkey") % 24 + 1).alias("Hour"),
+        F.when(F.col("l_partkey") % 11 != 0, price).otherwise("bad").alias("Market_Demand"),
+        F.col("l_quantity").alias("Ontario_Demand"),
+    )
+
+
+def item_series(lineitem: DataFrame) -> DataFrame:
+    """(series, timestamp, Ontario_Demand): quantities by date of each supplier and return flag."""
+    series = F.concat_ws("-", F.col("l_suppkey"), F.col("l_returnflag")).alias("series")
+    return lineitem.groupBy(series, F.col("l_shipdate").alias("timestamp")).agg(
+        F.round(F.sum("l_quantity"), 4).alias("Ontario_Demand")
+    )
+
+
+def item_zones(lineitem: DataFrame) -> DataFrame:
+    """Line items by supplier and month in the zonal layout, parts' last digits as zones."""
+    digit = F.col("l_partkey") % len(schemas.ZONES)
+    zones = [
+        F.sum(F.when(digit == i, F.col("l_quantity"))).alias(zone)
+        for i, zone in enumerate(schemas.ZONES)
+    ]
+    return lineitem.groupBy("l_suppkey", F.trunc("l_shipdate", "month").alias("Date")).agg(*zones)
+
+
 def dated_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.to_date("ts").alias("Date"), "event_id", "user_id", "event_type", "value"
