@@ -282,3 +282,33 @@ def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
     found = near_duplicates(docs, percent).filter(~F.col("kept")).select("doc_id")
     removed = materialize(found.distinct(), "removed")
     return docs.join(sized(removed, BROADCAST_IDS), "doc_id", "left_anti").select(docs.columns)
+
+
+def sql(percent: int = 85) -> str:
+    """The rows of `near_duplicates` over the table documents, in SQL, by all common shingles."""
+    return rf"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM tokens
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= {percent} * (p.n + q.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS least FROM documents
+  UNION SELECT e.b, r.least FROM reach r JOIN edges e ON e.a = r.doc_id
+)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(least) AS component_id,
+       r.doc_id = min(least) AS kept
+FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
+"""

@@ -69,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_minhash_dedup": minhash.sql(),
     "op6_warc_index": warc.SQL,
     "op9_source_mixing": mixing.sql(),
 }

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import oracle
 import pytest
 
 from gridspan.llm import minhash
@@ -98,3 +99,10 @@ def test_long_chains_have_one_component(spark):
     chain = order[:151]
     assert {v: r for v, r in got.items() if v < 500} == {v: min(chain) for v in chain if v != min(chain)}
     assert got[501] == got[502] == 500
+
+
+def test_query_equals_its_sql(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = minhash.near_duplicates(docs)
+    assert oracle.compare(found, oracle.connect(sf_dir), minhash.sql()) == ""
