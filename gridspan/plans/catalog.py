@@ -427,17 +427,26 @@ def register_snapshot(spark, sf_dir):
 # Checks and profiles
 
 
-@query
-def validate_demand(spark, sf_dir):
+def _faulty_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours 0..23, values shifted below zero and missing values as planted faults."""
-    events = _events(spark, sf_dir)
-    rows = events.select(
+    return _events(spark, sf_dir).select(
         F.to_date("ts").alias("Date"),
         F.hour("ts").alias("Hour"),
         F.round(F.col("value") - 20, 2).alias("Market_Demand"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("Ontario_Demand"),
     )
-    return quality.check_demand(rows)
+
+
+@query
+def validate_demand(spark, sf_dir):
+    return quality.check_demand(_faulty_demand(spark, sf_dir))
+
+
+@query
+def validate_failing(spark, sf_dir):
+    """The same without its hour and with more rows asked for than there are."""
+    rows = _faulty_demand(spark, sf_dir).drop("Hour")
+    return quality.check_demand(rows, min_rows=10**12)
 
 
 @query

@@ -455,6 +455,19 @@ ORACLE["validate_demand"] = """WITH checked AS (
     (10, "non_negative", "error", "Ontario_Demand", "count(*) FILTER (WHERE ontario < 0)"),
 )
 
+ORACLE["validate_failing"] = """WITH checked AS (
+  SELECT CAST(ts AS DATE) AS "Date", round(value - 20, 2) AS market,
+    CASE WHEN event_type <> 'error' THEN value END AS ontario FROM events)
+""" + _rules(
+    (1, "min_rows", "error", "*", "greatest(1000000000000 - count(*), 0)"),
+    (2, "required_columns", "error", "Hour", "count(*) * 0 + 1"),
+    (3, "not_null", "warning", "Date", 'count(*) - count("Date")'),
+    (4, "not_null", "warning", "Market_Demand", "count(*) - count(market)"),
+    (5, "not_null", "warning", "Ontario_Demand", "count(*) - count(ontario)"),
+    (7, "non_negative", "error", "Market_Demand", "count(*) FILTER (WHERE market < 0)"),
+    (8, "non_negative", "error", "Ontario_Demand", "count(*) FILTER (WHERE ontario < 0)"),
+)
+
 ORACLE["validate_zonal"] = """WITH checked AS (
   SELECT CASE WHEN event_type <> 'signup' THEN CAST(ts AS DATE) END AS "Date",
     hour(ts) + 3 AS "Hour" FROM events)
