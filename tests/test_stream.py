@@ -5,7 +5,7 @@ from datetime import date
 
 from gridspan import schemas
 from gridspan.sinks.store import Store
-from gridspan.streaming.pickup import pick_up
+from gridspan.streaming.pickup import pick_up, rejected_reports
 from test_files import ZONAL, capability_text, fuel_text, mw, output
 
 
@@ -17,9 +17,9 @@ def run(store, name, tmp_path, instant, mode="latest", **options):
 
 
 def land(tmp_path, name, text):
-    folder = tmp_path / "landing"
-    folder.mkdir(exist_ok=True)
-    (folder / name).write_text(text)
+    path = tmp_path / "landing" / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
 
 
 def demand(day, hours, value=10):
@@ -104,3 +104,34 @@ def test_one_batch_equals_one_run_per_report(spark, tmp_path, instant):
             run(target, "demand", folder, instant, mode, max_files=per_batch)
             content.append(sorted(map(tuple, target.read(schemas.DEMAND).collect())))
         assert content[0] == content[1] == content[2]
+
+
+def test_files_of_a_folder_are_one_report(spark, store, tmp_path, instant):
+    for fetch, value in ((1, 10), (2, 20)):
+        for part, hours in (("a", range(1, 9)), ("b", range(9, 17)), ("c", range(17, 25))):
+            land(tmp_path, f"fetch={fetch}/{part}.csv", demand(1, hours, value))
+    for part in sorted((tmp_path / "landing").rglob("*.csv")):
+        os.utime(part, (1_700_000_000, 1_700_000_000))
+    run(store, "demand", tmp_path, instant)
+    rows = store.read(schemas.DEMAND).collect()
+    assert len(rows) == 24 and {r.Market_Demand for r in rows} == {20.0}
+
+
+def test_a_broken_report_is_set_aside(spark, store, tmp_path, instant):
+    land(tmp_path, "1.csv", demand(1, range(1, 25)))
+    land(tmp_path, "2.csv", demand(2, range(1, 5)) + "2025-01-02,5,1,2,3\n")
+    run(store, "demand", tmp_path, instant)
+    land(tmp_path, "3.csv", demand(3, range(1, 4)))
+    run(store, "demand", tmp_path, instant)
+    counts = store.read(schemas.DEMAND).groupBy("Date").count().orderBy("Date").collect()
+    assert counts == [(date(2025, 1, 1), 24), (date(2025, 1, 3), 3)]
+    (rejected,) = rejected_reports(store).collect()
+    assert rejected.report.endswith("/2.csv") and rejected.broken_rows == 1
+
+
+def test_a_broken_document_is_set_aside(spark, store, tmp_path, instant):
+    land(tmp_path, "1.xml", fuel_text())
+    land(tmp_path, "2.xml", fuel_text().replace("</Hour>", "</Hou>", 1))
+    run(store, "fuel", tmp_path, instant, "all_dates_in_batch")
+    assert store.read(schemas.FUEL_OUTPUT).count() > 0
+    assert rejected_reports(store).count() == 1
