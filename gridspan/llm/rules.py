@@ -2,7 +2,7 @@
 
 The list is learned by sequential covering from statistics of labelled texts: a rule that
 rejects grows by the threshold that adds most information, is pruned on rows it hasn't grown
-on, and the rows it covers are set aside before the next rule grows. The list becomes one
+on and drawn in to the bad rows it covers; these are set aside before the next rule grows. The list becomes one
 ordered conditional expression over statistics columns, so texts are judged by built-in
 functions alone.
 
@@ -114,6 +114,27 @@ def _pruned(chosen: list[int], meets: np.ndarray, bad: np.ndarray) -> tuple[list
     return best, precision
 
 
+def _tightened(rule: list[Condition], x: np.ndarray, good: np.ndarray, names: list[str]
+               ) -> list[Condition]:
+    """The rule with each threshold drawn in to the bad rows it covers.
+
+    It then lies halfway between the outermost bad row and the next good one, so good rows
+    beyond all bad ones are no longer covered.
+    """
+    out = list(rule)
+    for i, (name, sign, threshold) in enumerate(rule):
+        value = x[:, names.index(name)] * (1 if sign == "<=" else -1)
+        others = met(x, names, out[:i] + out[i + 1 :]).all(axis=1)
+        limit = threshold if sign == "<=" else -threshold
+        bad = value[others & ~good & (value <= limit)]
+        if len(bad):
+            beyond = value[others & good & (value > bad.max())]
+            drawn = (bad.max() + beyond.min()) / 2 if len(beyond) else limit
+            limit = min(limit, drawn)
+        out[i] = (name, sign, float(limit if sign == "<=" else -limit))
+    return out
+
+
 def learn(x: np.ndarray, good: np.ndarray, names: list[str] = FEATURES, seed: int = 5) -> DecisionList:
     """A decision list out of statistics and whether each row is good."""
     if not len(x) or good.all() or not good.any():
@@ -132,8 +153,8 @@ def learn(x: np.ndarray, good: np.ndarray, names: list[str] = FEATURES, seed: in
         covered = left & meets[:, chosen].all(axis=1)
         if precision < LEAST_PRECISION or covered.sum() < LEAST_COVER:
             break
-        rules.append([tests[i] for i in chosen])
-        left &= ~covered
+        rules.append(_tightened([tests[i] for i in chosen], x[left], good[left], names))
+        left &= ~met(x, names, rules[-1]).all(axis=1)
     return DecisionList(rules)
 
 
@@ -181,4 +202,7 @@ def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = learn(*sample(docs, labels, SAMPLE))
     stats = counted(plain.withColumn("text", F.col(text)), names, features=True)
     kept = F.when(base_failed(), False).otherwise(found.column())
-    return stats.filter(kept).select(*names).toDF(*docs.columns)
+    # A filter on what is worked out step by step would be moved below the steps and work
+    # them out again for each mention; it stays above a column that isn't deterministic.
+    stats = stats.select(*names, kept.alias("_kept"), F.monotonically_increasing_id().alias("_row"))
+    return stats.filter(F.col("_kept") & (F.col("_row") >= 0)).select(*names).toDF(*docs.columns)
