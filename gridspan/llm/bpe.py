@@ -14,10 +14,12 @@ repeated rows need nothing special, and only the named columns of the input are
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,11 @@ from pyspark.sql import types as T
 from gridspan.llm.frames import lists, slices
 
 #: Pieces kept with their tokens in a task; beyond it the cache starts afresh.
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 1 << 17
 #: Pieces of more bytes are merged with a heap.
 LONG_PIECE = 128
+#: Fewer new pieces than this are merged one by one.
+FEW = 50
 
 #: The code points with the White_Space property.
 WHITE_SPACE = [
@@ -167,24 +171,125 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+_NONE = 1 << 62
+
+
+def pair_table(ranks: dict[bytes, int]) -> dict[int, int]:
+    """The token that two neighbouring tokens merge to, by both their ids in one number."""
+    table = {}
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            a, b = ranks.get(token[:i]), ranks.get(token[i:])
+            if a is not None and b is not None:
+                table[a << 32 | b] = rank
+    return table
+
+
+def merged(piece: bytes, ranks: dict[bytes, int], pairs: dict[int, int], single: list[int]) -> list[int]:
     """Tokens of one piece: the pair of lowest rank, leftmost first, is merged until none is left."""
     if piece in ranks:
         return [ranks[piece]]
     if len(piece) > LONG_PIECE:
         return _merged_long(piece, ranks)
-    none = 1 << 62
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
-    while pairs and (least := min(pairs)) != none:
-        i = pairs.index(least)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
-        if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+    get = pairs.get
+    parts = [single[b] for b in piece]
+    found = [get(a << 32 | b, _NONE) for a, b in zip(parts, parts[1:])]
+    while found and (least := min(found)) != _NONE:
+        i = found.index(least)
+        parts[i] = least
+        del parts[i + 1], found[i]
+        if i < len(found):
+            found[i] = get(least << 32 | parts[i + 1], _NONE)
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-    return [ranks[p] for p in parts]
+            found[i - 1] = get(parts[i - 1] << 32 | least, _NONE)
+    return parts
+
+
+class PairTable:
+    """The same table for many pairs at once: open addressing in two arrays."""
+
+    def __init__(self, pairs: dict[int, int]):
+        self.bits = max(4, (2 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.tokens = np.full(1 << self.bits, _NO_TOKEN, np.int64)
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        tokens = np.fromiter(pairs.values(), np.int64, len(pairs))
+        slots = self._slots(keys)
+        while len(keys):
+            free = self.keys[slots] < 0
+            self.keys[slots[free]] = keys[free]
+            stored = self.keys[slots] == keys
+            self.tokens[slots[stored]] = tokens[stored]
+            keys, tokens = keys[~stored], tokens[~stored]
+            slots = (slots[~stored] + 1) & (len(self.keys) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a << 32 | b
+        slots = self._slots(keys)
+        out = np.full(len(keys), _NO_TOKEN, np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            there = self.keys[slots]
+            out[left] = np.where(there == keys, self.tokens[slots], _NO_TOKEN)
+            more = (there != keys) & (there >= 0)
+            left, keys = left[more], keys[more]
+            slots = (slots[more] + 1) & (len(self.keys) - 1)
+        return out
+
+
+_NO_TOKEN = 1 << 30
+
+
+def merged_many(pieces: list[bytes], table: PairTable, single: np.ndarray) -> list[np.ndarray]:
+    """Tokens of many pieces at once: each round merges one pair of every piece that has one.
+
+    Returns the tokens of all pieces one after the other and how many each piece has.
+    """
+    lengths = np.array([len(p) for p in pieces])
+    tokens = single[np.frombuffer(b"".join(pieces), np.uint8)]
+    owner = np.repeat(np.arange(len(pieces)), lengths)
+
+    def pair_tokens(at: np.ndarray) -> np.ndarray:
+        """What the token at each place and the next one of its piece merge to."""
+        following = np.minimum(at + 1, len(tokens) - 1)
+        found = np.full(len(at), _NO_TOKEN, np.int64)
+        inside = (owner[following] == owner[at]) & (following > at)
+        found[inside] = table.find(tokens[at[inside]], tokens[following[inside]])
+        return found
+
+    pairs = pair_tokens(np.arange(len(tokens)))
+    done_tokens, done_owners = [], []
+    while len(tokens):
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        best = np.minimum.reduceat(pairs << 32 | np.arange(len(pairs)), first)
+        finished = best >> 32 == _NO_TOKEN
+        if finished.any():
+            sizes = np.diff(first, append=len(tokens))
+            over = np.repeat(finished, sizes)
+            done_tokens.append(tokens[over])
+            done_owners.append(owner[over])
+            shift = np.cumsum(over) - over
+            best = best[~finished]
+            best -= shift[best & 0xFFFFFFFF]
+            tokens, owner, pairs = tokens[~over], owner[~over], pairs[~over]
+        if not len(best):
+            break
+        at = best & 0xFFFFFFFF
+        tokens[at] = best >> 32
+        keep = np.ones(len(tokens), bool)
+        keep[at + 1] = False
+        tokens, owner, pairs = tokens[keep], owner[keep], pairs[keep]
+        at = at - np.arange(len(at))
+        before = at[at > 0] - 1
+        again = np.concatenate([at, before[owner[before] == owner[before + 1]]])
+        pairs[again] = pair_tokens(again)
+    owners = np.concatenate(done_owners)
+    order = np.argsort(owners, kind="stable")
+    return [np.concatenate(done_tokens)[order], np.bincount(owners, minlength=len(pieces))]
 
 
 def _merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -220,37 +325,48 @@ class Encoder:
 
     def __init__(self, rank_file: bytes):
         self.ranks = parse_ranks(rank_file)
+        self.pairs = pair_table(self.ranks)
+        self.table = PairTable(self.pairs)
+        self.single = [self.ranks[bytes([b])] for b in range(256)]
+        self.token_sizes = _vocabulary(rank_file)[2].astype(np.int32)
         self.reset()
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.tokens, self.sizes = np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32)
-        self.starts, self.lengths = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.tokens, self.starts, self.lengths = (np.zeros(1 << 16, np.int64) for _ in range(3))
         self.used = 0
 
     def _learn(self, pieces: list[str]) -> None:
-        for piece in dict.fromkeys(pieces):
-            if piece in self.known:
-                continue
-            data = piece.encode()
-            ids = merged(data, self.ranks)
-            sizes = [len(self._bytes[i]) for i in ids] if len(ids) > 1 else [len(data)]
-            code, end = len(self.known), self.used + len(ids)
-            while end > len(self.tokens):
-                self.tokens = np.resize(self.tokens, 2 * len(self.tokens))
-                self.sizes = np.resize(self.sizes, len(self.tokens))
-            while code >= len(self.starts):
-                self.starts = np.resize(self.starts, 2 * len(self.starts))
-                self.lengths = np.resize(self.lengths, len(self.starts))
-            self.tokens[self.used : end], self.sizes[self.used : end] = ids, sizes
-            self.starts[code], self.lengths[code] = self.used, len(ids)
-            self.known[piece], self.used = code, end
-
-    @property
-    def _bytes(self) -> dict[int, bytes]:
-        if not hasattr(self, "_by_id"):
-            self._by_id = {rank: token for token, rank in self.ranks.items()}
-        return self._by_id
+        fresh = len(self.known)
+        new = list(dict.fromkeys(pieces))
+        self.known.update(zip(new, range(fresh, fresh + len(new))))
+        data = [p.encode() for p in new]
+        short = [d for d in data if len(d) <= LONG_PIECE and d not in self.ranks]
+        if len(short) < FEW:
+            rows = [merged(d, self.ranks, self.pairs, self.single) for d in data]
+            ids, lengths = [i for row in rows for i in row], [len(row) for row in rows]
+        else:
+            tokens, sizes = merged_many(short, self.table, np.array(self.single))
+            cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            tokens, at, ids, lengths = tokens.tolist(), 0, [], []
+            for d in data:
+                if len(d) <= LONG_PIECE and d not in self.ranks:
+                    own = tokens[cuts[at] : cuts[at + 1]]
+                    at += 1
+                else:
+                    own = merged(d, self.ranks, self.pairs, self.single)
+                ids += own
+                lengths.append(len(own))
+        end = self.used + len(ids)
+        while end > len(self.tokens):
+            self.tokens = np.resize(self.tokens, 2 * len(self.tokens))
+        while len(self.known) > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * len(self.starts))
+            self.lengths = np.resize(self.lengths, len(self.starts))
+        self.tokens[self.used : end] = ids
+        self.lengths[fresh : len(self.known)] = lengths
+        self.starts[fresh : len(self.known)] = self.used + np.cumsum(lengths) - lengths
+        self.used = end
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(token ids, byte offset of each token in its text, number of tokens per text)."""
@@ -261,8 +377,7 @@ class Encoder:
         closing = np.searchsorted(starts, stops)
         inside = np.ones(len(starts), bool)
         inside[closing] = False
-        pieces.append("\0")
-        pieces = [pieces[i] for i in np.flatnonzero(inside)]
+        pieces = list(compress(pieces, inside[:-1].tolist()))
         if len(self.known) > CACHE_PIECES:
             self.reset()
         codes = list(map(self.known.get, pieces))
@@ -274,17 +389,19 @@ class Encoder:
         total = int(lengths.sum())
         place = np.repeat(self.starts[code] - (np.cumsum(lengths) - lengths), lengths)
         place += np.arange(total)
-        ids, sizes = self.tokens[place], self.sizes[place].astype(np.int64)
+        ids = self.tokens[place]
+        sizes = self.token_sizes[ids].astype(np.int64)
         last = np.concatenate([[0], np.cumsum(lengths)])
         ends = last[closing - np.arange(len(closing))]
         counts = np.diff(ends, prepend=0)
         before = np.cumsum(sizes) - sizes
         first = np.concatenate([before, [int(sizes.sum())]])[ends - counts]
-        return ids, (before - np.repeat(first, counts)).astype(np.int32), counts
+        return ids.astype(np.int32), (before - np.repeat(first, counts)).astype(np.int32), counts
 
 
 @cache
 def _encoder(rank_file: bytes) -> Encoder:
+    """The worker's encoder; its tables are kept between tasks, the pieces it has learned aren't."""
     return Encoder(rank_file)
 
 
@@ -313,10 +430,13 @@ def _kept(df: DataFrame, keep: list[str]) -> list[T.StructField]:
     return [df.schema[c] for c in keep]
 
 
-def encode(docs: DataFrame, ranks_path: str, keep: list[str] | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks_path: str, keep: list[str] | None = None, check: bool = False
+) -> DataFrame:
     """The columns `keep` with `ids` and `offsets`, both array<int>, of every whole text.
 
-    The rank file, under a megabyte, is read by the driver and travels with the tasks.
+    With `check`, `round_trip` says whether they decode to the text again. The rank file,
+    under a megabyte, is read by the driver and travels with the tasks.
     """
     keep = keep or ["doc_id"]
     with open(ranks_path, "rb") as f:
@@ -327,16 +447,22 @@ def encode(docs: DataFrame, ranks_path: str, keep: list[str] | None = None) -> D
         for batch in batches:
             for part, texts in slices(batch, "_text"):
                 ids, offsets, counts = encoder.encode([t.decode() for t in texts])
-                columns = part.columns[: len(keep)]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, lists(ids, counts), lists(offsets, counts)],
-                    [*keep, "ids", "offsets"],
-                )
+                columns = [*part.columns[: len(keep)], lists(ids, counts), lists(offsets, counts)]
+                if check:
+                    ends = np.cumsum(counts).tolist()
+                    columns.append(pa.array(
+                        [decoded(shared.value, ids[a:b], offsets[a:b]) == text
+                         for a, b, text in zip([0, *ends], ends, texts)], pa.bool_()
+                    ))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+        encoder.reset()
 
     ints = T.ArrayType(T.IntegerType())
     schema = T.StructType(
         [*_kept(docs, keep), T.StructField("ids", ints), T.StructField("offsets", ints)]
     )
+    if check:
+        schema = schema.add("round_trip", T.BooleanType())
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 
@@ -371,12 +497,41 @@ def decode(encoded: DataFrame, ranks_path: str, keep: list[str] | None = None) -
 
 
 def digests(docs: DataFrame, ranks_path: str, keep: list[str] | None = None) -> DataFrame:
-    """Every text encoded and decoded again: token count and digests of both results."""
+    """Every text encoded and decoded again: token count and digests of both results.
+
+    One pass over the texts: what `encode` and `decode` give stays in the task.
+    """
     keep = keep or ["doc_id"]
-    both = decode(encode(docs, ranks_path, keep), ranks_path, keep)
-    return both.select(
-        *keep,
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    with open(ranks_path, "rb") as f:
+        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared.value)
+        decimal = [b"%d," % i for i in range(len(encoder.token_sizes))]
+        for batch in batches:
+            for part, texts in slices(batch, "_text"):
+                ids, offsets, counts = encoder.encode([t.decode() for t in texts])
+                ends = np.cumsum(counts).tolist()
+                shown, back = [], []
+                for a, b in zip([0, *ends], ends):
+                    own = ids[a:b]
+                    joined = b"".join(map(decimal.__getitem__, own.tolist()))
+                    shown.append(hashlib.sha256(joined[:-1]).hexdigest())
+                    whole = decoded(shared.value, own, offsets[a:b])
+                    back.append(hashlib.sha256(whole).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[: len(keep)], pa.array(counts, pa.int64()), pa.array(shown),
+                     pa.array(back)],
+                    [*keep, "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+        encoder.reset()
+
+    schema = T.StructType(
+        [
+            *_kept(docs, keep),
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids_sha256", T.StringType()),
+            T.StructField("decoded_sha256", T.StringType()),
+        ]
     )
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)

@@ -58,6 +58,27 @@ def test_the_cache_starts_afresh(monkeypatch, reference):
         assert encoder.encode([text])[0].tolist() == reference.encode_ordinary(text)
 
 
+def test_merging_many_pieces_equals_merging_each():
+    encoder = bpe.Encoder(RAW)
+    rng = random.Random(9)
+    pieces = ["".join(rng.choice("theransdoi \u00e9'") for _ in range(rng.randint(1, 40))).encode()
+              for _ in range(3000)]
+    pieces = [p for p in pieces if p not in encoder.ranks]
+    tokens, sizes = bpe.merged_many(pieces, encoder.table, np.array(encoder.single))
+    cut = np.concatenate([[0], np.cumsum(sizes)])
+    for i, piece in enumerate(pieces):
+        own = bpe.merged(piece, encoder.ranks, encoder.pairs, encoder.single)
+        assert tokens[cut[i] : cut[i + 1]].tolist() == own
+        assert bpe._merged_long(piece, encoder.ranks) == own
+
+
+def test_encode_then_decode_frames(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts_of(60))], "doc_id long, text string")
+    back = bpe.decode(bpe.encode(docs, PATH, ["doc_id", "text"]), PATH, ["doc_id", "text"]).collect()
+    assert len(back) == docs.count()
+    assert all(bytes(r.decoded) == r.text.encode() for r in back)
+
+
 def test_scan_equals_stepping():
     products, functions, (begins, own) = bpe.automaton()
     rng = np.random.default_rng(1)
