@@ -44,13 +44,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text again."""
-    plain = docs.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"), "text")
-    keep = ["doc_id", "lang", "source", "text_sha256"]
-    both = bpe.decode(bpe.encode(plain, RANKS, keep), RANKS, keep)
-    same = F.sha2("decoded", 256).eqNullSafe(F.coalesce("text_sha256", F.sha2(F.lit(""), 256)))
-    return both.select(
+    encoded = bpe.encode(docs, RANKS, ["doc_id", "lang", "source"], check=True)
+    return encoded.select(
         "doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-        same.alias("round_trip"),
+        "round_trip",
     )
 
 
