@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspan.llm.frames import held_out, slices
@@ -196,54 +196,53 @@ def learned(docs: DataFrame, train_rows=None) -> Network | None:
     return train(symbols, np.array([languages.index(r[1]) for r in rows]), languages)
 
 
-def _predictor(shared, keep: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network: Network | None = shared.value
-        tables = network.tables() if network else []
-        for batch in batches:
-            for part, texts in slices(batch, "_text"):
-                lettered = part.column(keep + 1).to_pylist()
-                rows = [windows(t) if ok and network else None for t, ok in zip(texts, lettered)]
-                some = [r for r in rows if r is not None]
-                languages, scores = [UNKNOWN] * len(rows), [0.0] * len(rows)
-                if some:
-                    stacked = np.concatenate(some)
-                    logs = network.log_probabilities(stacked, tables)
-                    weight = (stacked > 0).sum(axis=1) + 1e-9
-                    cuts = np.cumsum([len(r) for r in some]) - [len(r) for r in some]
-                    sums = np.add.reduceat(logs * weight[:, None], cuts)
-                    mean = _log_softmax(sums / np.add.reduceat(weight, cuts)[:, None])
-                    best = mean.argmax(axis=1)
-                    at = [i for i, r in enumerate(rows) if r is not None]
-                    for i, b, m in zip(at, best, mean):
-                        languages[i], scores[i] = network.languages[b], float(np.exp(m[b]))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:keep], pa.array(languages), pa.array(scores, pa.float64())],
-                    [*part.schema.names[:keep], "lang_pred", "score"],
-                )
-
-    return run
-
-
-def predicted(docs: DataFrame, network: Network | None, keep: list[str]) -> DataFrame:
-    """The columns `keep` of every row with `lang_pred` and `score`."""
+def _judge(network: Network, tables: list, texts: list[bytes]) -> tuple[list[str], list[float]]:
+    """Language and probability of texts that aren't empty."""
+    rows = [windows(t) for t in texts]
+    stacked = np.concatenate(rows)
+    weight = (stacked > 0).sum(axis=1) + 1e-9
+    cuts = np.cumsum([len(r) for r in rows]) - [len(r) for r in rows]
+    logs = network.log_probabilities(stacked, tables)
+    sums = np.add.reduceat(logs * weight[:, None], cuts)
+    mean = _log_softmax(sums / np.add.reduceat(weight, cuts)[:, None])
+    best = mean.argmax(axis=1)
+    return [network.languages[b] for b in best], np.exp(mean.max(axis=1)).tolist()
+
+
+def prediction(docs: DataFrame, network: Network | None, text: str = "text") -> Column:
+    """A struct of `lang_pred` and `score`; only texts with a letter are sent to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    names = [f"c{i}" for i in range(len(keep))]
-    rows = docs.select(
-        *[F.col(c).alias(n) for c, n in zip(keep, names)], F.coalesce("text", F.lit("")).alias("_text"),
-        F.coalesce(F.rlike("text", F.lit(r"\p{L}")), F.lit(False)).alias("_letters"),
-    )
-    kinds = [f"{n} {docs.schema[c].dataType.simpleString()}, " for c, n in zip(keep, names)]
-    out = rows.mapInArrow(
-        _predictor(shared, len(keep)), "".join(kinds) + "lang_pred string, score double"
-    )
-    return out.toDF(*keep, "lang_pred", "score")
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        net: Network | None = shared.value
+        tables = net.tables() if net else []
+        for column in batches:
+            languages = np.full(len(column), UNKNOWN, object)
+            scores = np.zeros(len(column))
+            if net:
+                batch = pa.RecordBatch.from_arrays([column, pa.array(range(len(column)))], ["t", "i"])
+                for part, texts in slices(batch, "t"):
+                    some = [i for i, t in enumerate(texts) if t]
+                    if some:
+                        at = part.column(1).to_numpy()[some]
+                        found = _judge(net, tables, [texts[i] for i in some])
+                        languages[at], scores[at] = found
+            yield pa.StructArray.from_arrays(
+                [pa.array(languages, pa.string()), pa.array(scores)], ["lang_pred", "score"]
+            )
+
+    lettered = F.when(F.rlike(text, F.lit(r"\p{L}")), F.col(text)).otherwise("")
+    return predict(lettered)
 
 
 def identified(docs: DataFrame, modulus: int = 4, rest: int = 2) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row; held-out rows aren't learned from."""
-    out = predicted(docs, learned(docs, ~held_out(modulus, rest)), ["doc_id"])
-    return out.select("doc_id", held_out(modulus, rest).alias("held_out"), "lang_pred", "score")
+    network = learned(docs, ~held_out(modulus, rest))
+    out = docs.select("doc_id", prediction(docs, network).alias("p"))
+    return out.select(
+        "doc_id", held_out(modulus, rest).alias("held_out"), "p.lang_pred", "p.score"
+    )
 
 
 #: A text whose best language is less likely than this is rejected by `filtered`.
@@ -253,7 +252,7 @@ LEAST_SCORE = 0.4
 def filtered(docs: DataFrame) -> DataFrame:
     """The rows of `docs` in a language that the network knows, with their own columns."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")]))
-    judged = predicted(plain, learned(docs), names)
-    kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return judged.filter(kept).select(*names).toDF(*docs.columns)
+    plain = docs.toDF(*names)
+    found = prediction(plain, learned(docs), names[docs.columns.index("text")])
+    kept = (F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= LEAST_SCORE)
+    return plain.withColumn("_p", found).filter(kept).select(*names).toDF(*docs.columns)

@@ -19,7 +19,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The byte multiplier's powers and their inverses, kept at the largest size used."""
     if len(_powers.get("up", ())) < n:
-        size = 1 << max(21, int(n - 1).bit_length())
+        size = 1 << max(16, int(n - 1).bit_length())
         for name, base in (("up", _BYTE), ("down", pow(_BYTE, -1, 1 << 64))):
             table = np.full(size, np.uint64(base))
             table[0] = 1
