@@ -4,7 +4,8 @@ Every rolling word 2-gram and 4-gram hash of every text is joined with the grams
 templates. A hit votes for a diagonal: text position minus template position. Votes are
 counted per text, template and diagonal before any shuffle; diagonals near to each other
 are merged into spans, so a notice with a word put in or left out stays one span; and each
-span is held against the words of its text. Base phrases are templates that must match
+span is held against the words of its text: most words of the notice, all that tell it from
+other licenses, and none that names another. Base phrases are templates that must match
 word by word, and each of their places is a span of its own.
 
 A missing text is an empty one; without words all counts are 0 and the labels empty. Rows
@@ -57,6 +58,32 @@ NOTICES = {
     "licensed under a creative commons attribution 4 0 international license": "cc-by-4.0",
 }
 
+#: Words of notices with a label that a span must hold: what tells them from other licenses.
+NEEDED = {
+    "apache-2.0": {"apache", "2"},
+    "gpl-3.0": {"general", "3"},
+    "gpl-notice": {"general"},
+    "lgpl": {"lesser"},
+    "mit-notice": {"mit", "in"},
+    "isc-notice": {"with"},
+    "mpl-2.0": {"mozilla", "2"},
+    "cc-by-nc": {"nc"},
+    "cc-by-sa": {"sa"},
+    "cc-by-4.0": {"attribution", "4"},
+}
+#: Words that make another license of a notice with a label if they stand within it.
+BARRED = {
+    "gpl-3.0": {"lesser", "library", "affero"},
+    "gpl-notice": {"lesser", "library", "affero"},
+    "cc-by-nc": {"sa", "nd"},
+    "cc-by-sa": {"nc", "nd"},
+    "cc-by-4.0": {"noncommercial", "commercial", "sharealike", "alike", "noderivatives",
+                  "noderivs", "derivatives", "derivs"},
+}
+#: A needed number follows a word of its notice or one of these ("version 2 or 3"), so that
+#: the number of a section isn't taken for a version.
+BEFORE_NUMBER = {"v", "version", "or", "and"}
+
 GRAMS = (2, 4)
 #: Diagonals this far apart may be merged, over a gap of as many words.
 DRIFT = 3
@@ -149,10 +176,35 @@ def spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def _share(own: list[bytes], template: list[bytes]) -> float:
-    """The share of the template's words that stand in `own`, in order."""
+def _coded(rules: dict[str, set[str]]) -> dict[str, frozenset[bytes]]:
+    return {label: frozenset(w.encode() for w in some) for label, some in rules.items()}
+
+
+_NEEDED, _BARRED = _coded(NEEDED), _coded(BARRED)
+_BEFORE_NUMBER = frozenset(w.encode() for w in BEFORE_NUMBER)
+
+
+def _share(own: list[bytes], template: list[bytes], label: str) -> float:
+    """The share of the template's words that stand in `own`, in order.
+
+    0 if a word is missing that the notice needs, or one within it names another license.
+    """
+    needed = _NEEDED.get(label, frozenset()).intersection(template)
+    if not needed.issubset(own):
+        return 0.0
     blocks = SequenceMatcher(None, own, template, autojunk=False).get_matching_blocks()
-    return sum(b.size for b in blocks) / len(template)
+    held = [i for b in blocks for i in range(b.a, b.a + b.size)]
+    places = set(held)
+    for word in needed:
+        at = [i for i in held if own[i] == word]
+        if word.isdigit():
+            at = [i for i in at if i - 1 in places or i and own[i - 1] in _BEFORE_NUMBER]
+        if not at:
+            return 0.0
+    barred = _BARRED.get(label, frozenset())
+    if held and not barred.isdisjoint(own[held[0] : held[-1] + 1]):
+        return 0.0
+    return len(held) / len(template)
 
 
 def verdict(text: bytes, found: list[dict]) -> tuple:
@@ -171,7 +223,7 @@ def verdict(text: bytes, found: list[dict]) -> tuple:
             continue
         # A gram may miss the words at either end of a notice by its own length.
         near = own[max(0, a - GRAMS[1] + 1) : b + GRAMS[1] - 1]
-        if (share := _share(near, template)) >= LEAST_SHARE:
+        if (share := _share(near, template, label)) >= LEAST_SHARE:
             labels.add(label)
             score = max(score, share)
     return (

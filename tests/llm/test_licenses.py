@@ -58,6 +58,61 @@ def test_notices_survive_small_edits(spark, monkeypatch, limit):
     assert got[3] == ("bsd-notice", 1.0)
 
 
+#: Texts beside the notices, and all labels they should get.
+NEIGHBOURS = {
+    "Licensed under CC BY 4.0.": "cc-by",
+    "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+    "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
+    "Licensed under CC BY-SA 3.0.": "cc-by,cc-by-sa",
+    "Licensed under CC BY-ND 4.0.": "cc-by",
+    "Licensed under CC BY-NC-SA 4.0.": "cc-by",
+    "Licensed under CC BY-NC-ND 4.0.": "cc-by",
+    "Licensed under a Creative Commons Attribution 4.0 International License": "cc-by-4.0",
+    "Licensed under a Creative Commons Attribution 3.0 International License": "",
+    "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "",
+    "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "",
+    "Licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+    "Licensed under the GNU General Public License, version 2.": "gpl",
+    "Licensed under the GNU General Public License, version 2, section 3": "gpl",
+    "Licensed under the GNU General Public License, version 2 or 3": "gpl,gpl-3.0",
+    "Licensed under the GNU Lesser General Public License, version 3.": "lgpl",
+    "Licensed under the GNU Affero General Public License, version 3.": "",
+    "Licensed under the Apache License, Version 2.0.": "apache,apache-2.0",
+    "Licensed under the Apache License, Version 1.1.": "apache",
+    "Licensed under the Educational Community License, Version 2.0 (the License); you may not "
+    "use this file except in compliance with the License": "",
+    "Released under the MIT License.": "mit,mit-notice",
+    "Released under the BSD License.": "",
+}
+
+
+def neighbours():
+    out = dict(NEIGHBOURS)
+    words = {label: notice for notice, label in licenses.NOTICES.items()}
+    gpl = words["gpl-notice"]
+    out |= {gpl: "gpl,gpl-notice", gpl.replace("gnu", "gnu affero"): "",
+            gpl.replace("gnu", "gnu lesser"): "lgpl", gpl.replace("general", "lesser"): ""}
+    isc, mpl = words["isc-notice"], words["mpl-2.0"]
+    out |= {isc: "isc-notice", isc.replace("and or", "and"): "isc-notice",
+            isc.replace("with or without", "and without").replace("and or", "and"): "",
+            mpl: "mpl-2.0", mpl.replace("v 2 0", "v 1 1"): "",
+            mpl.replace(" v ", " version "): "mpl-2.0"}
+    mit = next(n for n in licenses.NOTICES if n.startswith("permission is hereby"))
+    return out | {mit: "mit-notice", mit.replace("deal in", "deal with"): ""}
+
+
+def test_neighbours_are_told_apart(spark):
+    rows = list(neighbours().items())
+    # Alone, and between other words.
+    texts = [(2 * i + k, f"{'lorem ipsum dolor sit amet ' * k}{t}{' lorem ipsum dolor sit' * k}")
+             for i, (t, _) in enumerate(rows) for k in (0, 1)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(docs).collect()}
+    assert {t: (got[2 * i], got[2 * i + 1]) for i, (t, _) in enumerate(rows)} == {
+        t: (want, want) for t, want in rows
+    }
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert licenses.scan(docs).count() == 0
