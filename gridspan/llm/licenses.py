@@ -1,12 +1,13 @@
 """License scan by diagonal voting.
 
 Every rolling word 2-gram and 4-gram hash of every text is joined with the grams of the
-templates. A hit votes for a diagonal: text position minus template position. Votes are
-counted per text, template and diagonal before any shuffle; diagonals near to each other
-are merged into spans, so a notice with a word put in or left out stays one span; and each
-span is held against the words of its text: most words of the notice, all that tell it from
-other licenses, and none that names another. Base phrases are templates that must match
-word by word, and each of their places is a span of its own.
+templates; short notices, of which an edit may leave no 4-gram, have 2-grams too. A hit
+votes for a diagonal: text position minus template position. Votes are counted per text,
+template and diagonal before any shuffle; diagonals near to each other are merged into
+spans, so a notice with a word put in or left out stays one span; and each span is held
+against the words of its text: most words of the notice, all that tell it from other
+licenses, and none that names another. Base phrases are templates that must match word by
+word, and each of their places is a span of its own.
 
 A missing text is an empty one; without words all counts are 0 and the labels empty. Rows
 that repeat an id and text get equal results, rows that repeat an id with another text
@@ -80,8 +81,8 @@ BARRED = {
     "cc-by-4.0": {"noncommercial", "commercial", "sharealike", "alike", "noderivatives",
                   "noderivs", "derivatives", "derivs"},
 }
-#: A needed number follows a word of its notice or one of these ("version 2 or 3"), so that
-#: the number of a section isn't taken for a version.
+#: A needed number stands at its place behind the words of its notice, or follows one of
+#: these ("version 2 or 3"), so that the number of a section isn't taken for a version.
 BEFORE_NUMBER = {"v", "version", "or", "and"}
 
 GRAMS = (2, 4)
@@ -89,6 +90,8 @@ GRAMS = (2, 4)
 DRIFT = 3
 #: Share of a notice's words that a span must hold, in order.
 LEAST_SHARE = 0.8
+#: A stretch of text held against a notice has so many times its words at most.
+STRETCH = 4
 #: Up to so many spans (under 10 MB) are sent to all tasks; more are joined by a shuffle.
 BROADCAST_SPANS = 100_000
 #: Templates are sent to all tasks up to so many grams.
@@ -108,13 +111,26 @@ def templates() -> list[tuple[list[bytes], str, bool]]:
     ]
 
 
+def _sizes(n_words: int, exact: bool) -> list[int]:
+    """The grams a template needs to leave one with as many words changed or missing as it may."""
+    short, long = GRAMS
+    if n_words < long:
+        return [short]
+    # Words that may differ, and whether those beside them can be without `long` in a row.
+    edits = 0
+    while not exact and (n_words - edits - 1) / n_words >= LEAST_SHARE:
+        edits += 1
+    broken = (long - 1) * (edits + 1) >= n_words - edits
+    return [short, long] if edits and broken else [long]
+
+
 def template_grams(spark: SparkSession) -> DataFrame:
-    """Each template's grams: of four words, or two if it has fewer than four."""
+    """Each template's grams."""
     rows = []
     for i, (own, _, exact) in enumerate(templates()):
-        k = GRAMS[1] if len(own) >= GRAMS[1] else GRAMS[0]
-        hashes = gram_hashes(words([b" ".join(own)], NON_WORD).hashes(), k).astype(np.int64)
-        rows += [(int(h), i, at, k, exact) for at, h in enumerate(hashes)]
+        for k in _sizes(len(own), exact):
+            hashes = gram_hashes(words([b" ".join(own)], NON_WORD).hashes(), k).astype(np.int64)
+            rows += [(int(h), i, at, k, exact) for at, h in enumerate(hashes)]
     frame = spark.createDataFrame(
         rows, "gram long, template int, template_at int, k int, exact boolean"
     )
@@ -159,8 +175,8 @@ def spans(docs: DataFrame) -> DataFrame:
     votes = (
         hits.withColumn("at", at)
         .withColumn("diagonal", F.col("at") - F.col("template_at"))
-        .groupBy(*key, "diagonal", "k", "exact")
-        .agg(F.min("at").alias("first"), (F.max("at") + F.first("k") - 1).alias("last"))
+        .groupBy(*key, "diagonal", "exact")
+        .agg(F.min("at").alias("first"), F.max(F.col("at") + F.col("k") - 1).alias("last"))
     )
     # A document's votes for one template; there are at most as many as it has words.
     order = Window.partitionBy(*key).orderBy("first", "diagonal")
@@ -193,20 +209,37 @@ def _share(own: list[bytes], template: list[bytes], label: str) -> float:
     if not needed.issubset(own):
         return 0.0
     blocks = SequenceMatcher(None, own, template, autojunk=False).get_matching_blocks()
-    held = [i for b in blocks for i in range(b.a, b.a + b.size)]
-    places = set(held)
-    for word in needed:
-        at = [i for i in held if own[i] == word]
-        if word.isdigit():
-            at = [i for i in at if i - 1 in places or i and own[i - 1] in _BEFORE_NUMBER]
-        if not at:
-            return 0.0
+    held = [(b.a + i, b.b + i) for b in blocks for i in range(b.size)]
+    found, last = set(), None
+    for i, j in held:
+        between = own[last[0] + 1 : i] if last else []
+        put_in = last and i - last[0] > j - last[1] or any(map(bytes.isdigit, between))
+        if not own[i].isdigit() or not put_in or own[i - 1] in _BEFORE_NUMBER:
+            found.add(own[i])
+        last = i, j
+    if not needed.issubset(found):
+        return 0.0
     barred = _BARRED.get(label, frozenset())
-    if held and not barred.isdisjoint(own[held[0] : held[-1] + 1]):
+    if held and not barred.isdisjoint(own[held[0][0] : held[-1][0] + 1]):
         return 0.0
     return len(held) / len(template)
 
 
+def _best_share(own: list[bytes], template: list[bytes], label: str) -> float:
+    """The largest share in any stretch of `own`, or the first that is large enough.
+
+    A span may hold some of the notice's words more than once, so that a stretch has to begin
+    with the notice for its words to be found in order.
+    """
+    most, width = 0.0, STRETCH * len(template)
+    starts = [i for i, word in enumerate(own) if word in template]
+    for a in [0, *starts]:
+        most = max(most, _share(own[a : a + width], template, label))
+        if most >= LEAST_SHARE:
+            break
+    return most
+
+
 def verdict(text: bytes, found: list[dict]) -> tuple:
     """What the verified spans of one text say: the columns after doc_id."""
     own = word_list(text)
@@ -222,8 +255,8 @@ def verdict(text: bytes, found: list[dict]) -> tuple:
                 score = 1.0
             continue
         # A gram may miss the words at either end of a notice by its own length.
-        near = own[max(0, a - GRAMS[1] + 1) : b + GRAMS[1] - 1]
-        if (share := _share(near, template, label)) >= LEAST_SHARE:
+        near = own[max(0, a - GRAMS[1]) : b + GRAMS[1]]
+        if (share := _best_share(near, template, label)) >= LEAST_SHARE:
             labels.add(label)
             score = max(score, share)
     return (
