@@ -6,8 +6,8 @@ turns these into log-probabilities. A text's languages are the mean over all its
 weighted by their letters. The network is trained in numpy; for scoring, a filter's products
 are tabulated for all pairs of symbols, so a response is a sum of table entries.
 
-Learned from at most SAMPLE labelled texts, those whose ids have the smallest hashes, never
-from held-out ids; PER_TEXT windows each reach the driver. A missing text, one without a
+Learned from at most SAMPLE labelled texts, those whose ids have the smallest hashes, one text
+of each id, never from held-out ids; PER_TEXT windows each reach the driver. A missing text, one without a
 letter, and every text if there is nothing to learn from, is `und` with score 0. Texts of any
 length are read whole. Each row is judged by itself. Only doc_id, text and lang are read.
 """
@@ -187,6 +187,9 @@ def learned(docs: DataFrame, train_rows=None) -> Network | None:
     ids = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     chosen = known.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id", "left_semi")
     chosen = chosen.filter(F.rlike("text", F.lit(r"\p{L}")))
+    # Of rows that repeat an id, the one whose text has the smallest hash.
+    row = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("row")
+    chosen = chosen.groupBy("doc_id").agg(row).select("doc_id", "row.lang", "row.text")
     found = chosen.mapInArrow(_sampled, f"doc_id {id_type}, lang string, window binary")
     rows = sorted(tuple(r) for r in found.collect())
     languages = sorted({r[1] for r in rows})

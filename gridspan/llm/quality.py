@@ -5,8 +5,8 @@ is a conjunctive rule. A logistic model with an absolute-value penalty picks few
 rules and weighs them. The weighted rules are compiled into one column expression, so texts
 are scored by built-in functions.
 
-Learned from at most SAMPLE labelled rows, those whose ids have the smallest hashes, never
-from held-out ids; an id labelled twice counts as bad if any of its labels does. Without
+Learned from at most SAMPLE labelled rows, those whose ids have the smallest hashes, one row
+of each id, never from held-out ids; an id labelled twice counts as bad if any of its labels does. Without
 labels the score is 0.5, with labels of one kind their share. A missing text is an empty
 one, and empty texts are scored as such. Each row is scored by itself. Only doc_id and text
 of the documents are read.

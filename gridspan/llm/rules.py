@@ -6,8 +6,8 @@ on and drawn in to the bad rows it covers; these are set aside before the next r
 ordered conditional expression over statistics columns, so texts are judged by built-in
 functions alone.
 
-Learned from at most SAMPLE labelled rows, those whose ids have the smallest hashes; an id
-labelled twice counts as bad if any of its labels does. Without labels of both kinds, or
+Learned from at most SAMPLE labelled rows, those whose ids have the smallest hashes, one row
+of each id; an id labelled twice counts as bad if any of its labels does. Without labels of both kinds, or
 without a rule that holds on unseen rows, the list is empty and keeps everything. A missing
 text is an empty one, which the base limits reject. Each row is judged by itself, so
 repeated rows get equal results. Only doc_id and text are read.
@@ -159,14 +159,19 @@ def learn(x: np.ndarray, good: np.ndarray, names: list[str] = FEATURES, seed: in
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int, only: Column | None = None) -> DataFrame:
-    """(doc_id, text, quality) of at most `most` labelled documents, the same ones each time."""
+    """(doc_id, text, quality) of at most `most` labelled documents, the same ones each time.
+
+    Of rows that repeat an id, the one whose text has the smallest hash.
+    """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     known = known.filter(only) if only is not None else known
     chosen = (
         known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    row = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")
+    return rows.groupBy("doc_id", "quality").agg(row).select("doc_id", "row.text", "quality")
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int, only: Column | None = None
@@ -174,7 +179,7 @@ def sample(docs: DataFrame, labels: DataFrame, most: int, only: Column | None =
     """Statistics (rows x FEATURES) and quality of labelled documents, in a fixed order."""
     stats = counted(labelled(docs, labels, most, only), ["doc_id", "quality"], features=True)
     rows = stats.select("doc_id", "quality", *FEATURES).collect()
-    rows = sorted(tuple(r) for r in rows)[: 2 * most]
+    rows = sorted(tuple(r) for r in rows)
     x = np.array([r[2:] for r in rows], float).reshape(len(rows), len(FEATURES))
     return x, np.array([r[1] == 1 for r in rows], bool)
 

@@ -96,3 +96,13 @@ def test_filtered(spark):
     assert got.columns == docs.columns
     kept = {r.doc_id for r in got.collect()}
     assert not kept & {9000, 9002} and len(kept) > 190
+
+
+def test_a_repeated_id_gives_windows_of_one_text(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "train", lambda x, y, languages: seen.update(n=len(x), of=languages))
+    rows = corpus(40)
+    rows += [(3, t, rows[3][2]) for _, t, _ in corpus(200, seed=5)] + [(5, "12 !?", rows[5][2])] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    language.learned(docs)
+    assert 40 <= seen["n"] <= 40 * language.PER_TEXT and seen["of"] == sorted(ENDINGS)

@@ -149,3 +149,17 @@ def test_main_path_is_native(spark, query):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = query(docs, labels(spark, []))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_repeated_id_is_one_labelled_row(spark):
+    rows = [(i, f"text {i} " * 9) for i in range(30)] + [(7, f"other {i} " * 9) for i in range(300)]
+    rows += [(8, "text 8 " * 9)] * 40 + [(50, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    known = labels(spark, [(i, i % 2, 0) for i in [*range(30), 50]])
+    got = rules.labelled(docs, known, 100).collect()
+    assert sorted(r.doc_id for r in got) == [*range(30), 50]
+    assert {(r.doc_id, r.text) for r in got} <= set(rows)
+    x, good = rules.sample(docs, known, 100)
+    assert len(x) == 31 and good.sum() == 15
+    again = rules.labelled(docs.repartition(3), known, 100).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
