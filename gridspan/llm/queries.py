@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridspan.llm import (
-    bpe, chat, fingerprint, language, licenses, lm, minhash, mixing, quality, rules, warc,
+    bpe, chat, fingerprint, language, licenses, lm, merkle, minhash, mixing, quality, rules, warc,
 )
 from gridspan.llm.frames import table
 
@@ -55,6 +55,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(table(spark, sf_dir, "documents"))
+
+
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_planted(table(spark, sf_dir, "conversations")))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_chat_format": op13_chat_format,
 }
 
@@ -77,5 +82,6 @@ ORACLE: dict[str, str] = {
     "op3_minhash_dedup": minhash.sql(),
     "op6_warc_index": warc.SQL,
     "op9_source_mixing": mixing.sql(),
+    "op11_merkle_manifest": merkle.sql(),
     "op13_chat_format": chat.SQL,
 }
