@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridspan.session import materialize
 
 
-def _jumped(parents: DataFrame) -> DataFrame:
+def jumped(parents: DataFrame) -> DataFrame:
     """(v, root) out of (v, p) where every p is smaller than its v: pointers double each round."""
     current = materialize(parents.select("v", F.col("p").alias("root")), "pointers")
     while True:
@@ -55,7 +55,7 @@ def components(edges: DataFrame) -> DataFrame:
     left = materialize(_oriented(edges), "edges")
     found: DataFrame | None = None
     while not left.isEmpty():
-        roots = _jumped(left.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")))
+        roots = jumped(left.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")))
         found = roots if found is None else composed(found, roots)
         contracted = relabelled(relabelled(left, "a", roots), "b", roots)
         left = materialize(_oriented(contracted), "edges")

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspan.llm.frames import remainder
+from gridspan.llm.frames import placed, remainder
 from gridspan.session import materialize
 
 #: Children of a node, levels that one window's rows hold, and those rows.
@@ -58,32 +58,6 @@ def group_key(source: str = "source") -> Column:
     return F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit(""))
 
 
-def placed(leaves: DataFrame, order: list[str]) -> DataFrame:
-    """A stored copy of `leaves` with a position `pos` in their `group`, and its size `n`.
-
-    Each row has a number first, which tells equal rows apart and makes ranges of equal size
-    possible whatever ids repeat.
-    """
-    numbered = materialize(leaves.withColumn("_row", F.monotonically_increasing_id()), "leaves")
-    keys = ["group", *order, "_row"]
-    ranged = numbered.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    # An id's upper bits are its task's number, its lower ones count the rows in order.
-    ranged = ranged.withColumn("_id", F.monotonically_increasing_id()).drop("_row")
-    ranged = materialize(ranged, "ordered").withColumn("_task", F.shiftright("_id", 33))
-    parts = ranged.groupBy("group", "_task").agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size")
-    )
-    whole = Window.partitionBy("group")
-    before = whole.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        "group", "_task",
-        (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_size").over(whole).alias("n"),
-    )
-    rows = ranged.join(parts, ["group", "_task"])
-    return rows.withColumn("pos", F.col("_id") + F.col("_shift")).drop("_task", "_id", "_shift")
-
-
 def climbed(nodes: DataFrame, paths: bool = False) -> DataFrame:
     """`nodes` (group, pos, n, node) with `node` led up as far as their block reaches.
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridspan.llm import (
-    bpe, chat, fingerprint, language, licenses, lm, merkle, minhash, mixing, quality, rules, warc,
+    bpe, chat, fingerprint, language, licenses, lm, merkle, minhash, mixing, quality, rules, variants,
+    warc,
 )
 from gridspan.llm.frames import table
 
@@ -59,6 +60,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.checked(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(table(spark, sf_dir, "documents"))
+
+
 def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_planted(table(spark, sf_dir, "conversations")))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_chat_format": op13_chat_format,
 }
 
@@ -83,5 +89,6 @@ ORACLE: dict[str, str] = {
     "op6_warc_index": warc.SQL,
     "op9_source_mixing": mixing.sql(),
     "op11_merkle_manifest": merkle.sql(),
+    "op12_spelling_variants": variants.sql(),
     "op13_chat_format": chat.SQL,
 }
