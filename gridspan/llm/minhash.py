@@ -11,14 +11,16 @@ far below the threshold goes no further. Links are confirmed on full sets.
 A group of n near copies isn't expanded into n² pairs: first each class is held only
 against the smallest member of one of its buckets, the one most like it, then against the
 smallest members of its other buckets that aren't connected with it by then. Last, members
-of a bucket in different components are compared with each other, all of them, inside the
-join. So no link between components is passed over, save by chance: a pair at 85 %
-similarity shares no band with probability 2e-8 (at 80 %, 3e-6), and signatures are cut off
-5.5 standard deviations below the threshold.
+outside a bucket's largest component are compared with all its members of other components,
+inside the join; members of the largest one are not tried with each other. So no link between
+components is passed over, save by chance: a pair at 85 % similarity shares no band with
+probability 2e-8 (at 80 %, 3e-6), and signatures are cut off 5.5 standard deviations below
+the threshold.
 
 A text without words is linked with nothing, as is a row without an id; both are kept.
 Fewer than five words are one shingle. Rows that repeat an id share its component if their
-texts do. Only doc_id and text of the input are read.
+texts do. `deduplicated` goes by rows, not ids: of each component one row stays, and a row
+without an id is compared like any other. Only doc_id and text of the input are read.
 """
 
 from __future__ import annotations
@@ -245,22 +247,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     more = relabelled(relabelled(more, "a", roots), "b", roots)
     roots = composed(roots, components(more))
 
-    # All members of a bucket that aren't connected yet.
+    # Members of a bucket that aren't connected yet: of two components, one isn't the largest.
     placed = crowded.select("key", "rep", F.col("rep").alias("root"))
     placed = materialize(relabelled(placed, "root", roots), "placed")
-    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    split = materialize(split.filter("lo < hi").select("key"), "split-buckets")
-    unlike = materialize(
-        placed.join(split, "key", "left_semi").join(features, "rep"), "unlike-members"
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots")
     )
-    x, y = unlike.alias("x"), unlike.alias("y")
+    split = materialize(largest.filter("roots > 1").select("key", "largest"), "split-buckets")
+    unlike = materialize(placed.join(split, "key").join(features, "rep"), "unlike-members")
+    x, y = unlike.filter("root <> largest").alias("x"), unlike.alias("y")
     pairs = x.join(
         y,
         (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.root") < F.col("y.root"))
+        & ((F.col("x.root") < F.col("y.root"))
+           | ((F.col("y.root") == F.col("y.largest")) & (F.col("x.root") > F.col("y.root"))))
         & plausible("x", "y", percent)
         & (F.col("x.key") == _first_common_band("x", "y")),
-    ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     more = confirmed(docs, materialize(pairs.distinct(), "pairs"), percent)
     later = components(relabelled(relabelled(more, "a", roots), "b", roots))
 
@@ -278,10 +282,30 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose document is the smallest of its component."""
-    found = near_duplicates(docs, percent).filter(~F.col("kept")).select("doc_id")
-    removed = materialize(found.distinct(), "removed")
-    return docs.join(sized(removed, BROADCAST_IDS), "doc_id", "left_anti").select(docs.columns)
+    """The rows of `docs` less all but one of each component.
+
+    Rows are told apart by a number, as ids may repeat or be missing; the row with the
+    smallest id stays, a missing one being the largest.
+    """
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    at = {c: names[docs.columns.index(c)] for c in ("doc_id", "text")}
+    rows = docs.toDF(*names).withColumn("_row", F.monotonically_increasing_id())
+    rows = materialize(rows, "numbered-rows")
+    own = rows.select(F.col("_row").alias("doc_id"), F.col(at["text"]).alias("text"))
+    found = materialize(near_duplicates(own, percent).drop("n_shingles"), "row-components")
+    several = materialize(
+        found.filter(~F.col("kept")).select("component_id").distinct(), "several-rows"
+    )
+    members = found.join(sized(several, BROADCAST_IDS), "component_id", "left_semi")
+    members = members.select(F.col("doc_id").alias("_row"), "component_id")
+    members = materialize(
+        members.join(rows.select("_row", F.col(at["doc_id"]).alias("id")), "_row"), "members"
+    )
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "_row")
+    staying = members.groupBy("component_id").agg(F.min(place)["_row"].alias("_row"))
+    removed = members.select("_row").join(staying.select("_row"), "_row", "left_anti")
+    removed = sized(materialize(removed, "removed"), BROADCAST_IDS)
+    return rows.join(removed, "_row", "left_anti").select(*names).toDF(*docs.columns)
 
 
 def sql(percent: int = 85) -> str:

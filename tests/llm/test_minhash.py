@@ -64,13 +64,46 @@ def test_components_equal_brute_force(spark, percent):
     assert sorted(str(tuple(r)) for r in got) == brute(rows, percent)
 
 
-def test_deduplicated(spark):
-    rows = corpus(4)
-    docs = spark.createDataFrame([(t, i, "s") for i, t in rows], "text string, doc_id long, source string")
+def staying(rows, percent):
+    """One row of each component by brute force over rows: that with the smallest id."""
+    numbered = [(k, t) for k, (_, t) in enumerate(rows)]
+    best = {}
+    for k, _, component, _ in map(eval, brute(numbered, percent)):
+        place = (rows[k][0] is None, rows[k][0] or 0, rows[k][1] or "")
+        best[component] = min(best.get(component, (place, rows[k])), (place, rows[k]), key=lambda x: x[0])
+    return sorted((i is None, i or 0, "" if t is None else f"t{t.lower().split()}") for _, (i, t) in best.values())
+
+
+@pytest.mark.parametrize("rows", [
+    corpus(4),
+    [(3, "A " * 30), (5, "A " * 30), (5, "b " * 30), (7, "A " * 31), (9, "B " * 30), (9, "b " * 30)],
+    [(1, "one two three")] * 3 + [(None, "one two three")] * 2 + [(None, "x y z")] * 2 + [(1, None)] * 2 + [(1, "")] * 2,
+])
+def test_deduplicated(spark, rows):
+    docs = spark.createDataFrame([(t, i, "s") for i, t in rows], "text string, doc_id long, _row string")
     got = minhash.deduplicated(docs, 80)
     assert got.columns == docs.columns
-    kept = {eval(r)[0] for r in brute(rows, 80) if eval(r)[3]}
-    assert {r.doc_id for r in got.collect()} == kept
+    kept = [(r.doc_id is None, r.doc_id or 0, "" if r.text is None else f"t{r.text.lower().split()}") for r in got.collect()]
+    assert sorted(kept) == staying(rows, 80)
+
+
+def test_a_crowded_bucket_tries_few_pairs(spark, monkeypatch):
+    """A hundred near copies and one stranger that shares their buckets: no square of the hundred."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(100):
+        text = list(base)
+        text[rng.randrange(400)] = f"x{i}"
+        rows.append((i + 1, " ".join(text)))
+    rows.append((500, " ".join(base[:330] + [f"y{i}" for i in range(70)])))
+    tried = []
+    real = minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda d, pairs, p: tried.append(pairs.count()) or real(d, pairs, p))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(docs, 85).collect()
+    assert sorted(str(tuple(r)) for r in got) == brute(rows, 85)
+    assert sum(tried) <= 400
 
 
 def test_empty_table(spark):
