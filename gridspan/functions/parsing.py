@@ -105,10 +105,21 @@ def _or_fail(text: Column, value: Column, message: str) -> Column:
     )
 
 
+def integer_or_null(col: Column | str) -> Column:
+    """Integer text to BIGINT, anything else to NULL."""
+    text = _col(col)
+    return F.when(text.rlike(INTEGER), text.try_cast("bigint"))
+
+
 def strict_int(col: Column | str) -> Column:
     """Integer text to BIGINT; NULL stays NULL, any other text fails the job."""
+    return _or_fail(_col(col), integer_or_null(col), "not an integer: ")
+
+
+def value_or_error(col: Column | str, value: Column) -> Column:
+    """(value, error): text that has no `value` is the error, NULL is neither."""
     text = _col(col)
-    return _or_fail(text, F.when(text.rlike(INTEGER), text.try_cast("bigint")), "not an integer: ")
+    return F.struct(value.alias("value"), F.when(text.isNotNull() & value.isNull(), text).alias("error"))
 
 
 def strict_double(col: Column | str) -> Column:

@@ -48,6 +48,17 @@ def calendar_dates(df: DataFrame, date: str = "Date") -> DataFrame:
     return F.broadcast(df.select(date).distinct())
 
 
+def on_dates(df: DataFrame, changed: DataFrame, date: str = "Date") -> DataFrame:
+    """Rows of `df` on the dates that `changed` has.
+
+    The bounds of the dates are scalar subqueries, which prune a stored table's partitions;
+    the semi-join then drops dates in between.
+    """
+    first, last = (changed.agg(f(date)).scalar() for f in (F.min, F.max))
+    dates = calendar_dates(changed, date)
+    return df.filter(F.col(date).between(first, last)).join(dates, date, "left_semi")
+
+
 def newest_reports(
     df: DataFrame, landing: str, date: str = "Date", mode: str = "latest"
 ) -> DataFrame:

@@ -1,7 +1,14 @@
-"""Typed tables out of raw text scans. Every function here is a narrow projection."""
+"""Typed tables out of raw text scans. Every function here is a narrow projection.
+
+A scan that says which rows are broken (`sources.files.with_broken`) is typed tolerantly, and
+nothing that was wrong with it is lost: broken rows stay, ERRORS lists the texts that are no
+values, and a document without any row, or with errors that belong to none, leaves a row that
+IS_ROW marks as none of the table's.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,12 +16,24 @@ from pyspark.sql import functions as F
 
 from gridspan import functions as G
 from gridspan import schemas
-from gridspan.sources.files import LANDING
+from gridspan.sources.files import BROKEN, LANDING
+
+ERRORS, IS_ROW = "_errors", "_is_row"
+_NO_ERRORS = "array<struct<field:string,text:string>>"
+
+
+def _carried(df: DataFrame) -> list[str]:
+    """Columns about a row's report that are passed on where a scan has them."""
+    return [c for c in (LANDING, BROKEN) if c in df.columns]
 
 
-def _landing(df: DataFrame) -> list[str]:
-    """The landing column is passed on where a scan has it."""
-    return [LANDING] if LANDING in df.columns else []
+def _errors(**columns: Column) -> Column:
+    """The (field, text) of each (value, error) that is an error."""
+    found = [
+        F.when(c["error"].isNotNull(), F.struct(F.lit(name).alias("field"), c["error"].alias("text")))
+        for name, c in columns.items()
+    ]
+    return F.array_compact(F.array(*found))
 
 
 def _typed_report(raw: DataFrame, names: list[str], stamp: Column) -> DataFrame:
@@ -24,12 +43,19 @@ def _typed_report(raw: DataFrame, names: list[str], stamp: Column) -> DataFrame:
     below the projection and would then parse the date there once per mention.
     """
     values = [n for n in names if n not in ("Date", "Hour")]
-    return raw.filter(G.is_date("Date")).select(
+    kept, checks = G.is_date("Date"), []
+    if BROKEN in raw.columns:
+        # Text that is no number is a missing value by this report's rules, no error.
+        whole = F.col(BROKEN).isNull()
+        kept |= ~whole
+        checks = [F.array().cast(_NO_ERRORS).alias(ERRORS), whole.alias(IS_ROW)]
+    return raw.filter(kept).select(
         F.col("Date").try_cast("date").alias("Date"),
         G.coerce_hour("Hour").alias("Hour"),
         *[G.coerce_number(n).alias(n) for n in values],
         stamp.alias("Modified_DT"),
-        *_landing(raw),
+        *_carried(raw),
+        *checks,
     )
 
 
@@ -53,9 +79,11 @@ def type_archive_demand(raw: DataFrame) -> DataFrame:
     ).dropna(how="any")
 
 
-def type_series(raw: DataFrame, timestamp: str, value: str) -> DataFrame:
+def type_series(
+    raw: DataFrame, timestamp: str, value: str, by: Sequence[str] = ()
+) -> DataFrame:
     return raw.select(
-        G.parse_any_timestamp(timestamp).alias(timestamp), G.strict_double(value).alias(value)
+        *by, G.parse_any_timestamp(timestamp).alias(timestamp), G.strict_double(value).alias(value)
     )
 
 
@@ -64,23 +92,48 @@ def flatten_fuel(days: DataFrame, strict: bool = True) -> DataFrame:
 
     Strict typing fails on a bad number; otherwise it becomes NULL.
     """
-    number = G.strict_int if strict else (lambda c: F.col(c).try_cast("bigint"))
-    ids = ["Day", *_landing(days)]
-    hours = days.select(*ids, F.explode("HourlyData").alias("h"))
-    fuels = hours.select(*ids, F.col("h.Hour").alias("Hour"), F.explode("h.FuelTotal").alias("f"))
+    checked = BROKEN in days.columns
+    explode = F.explode_outer if checked else F.explode
+    ids = ["Day", *_carried(days)]
+    hours = days.select(*ids, explode("HourlyData").alias("h"))
+    fuels = hours.select(*ids, F.col("h.Hour").alias("Hour"), explode("h.FuelTotal").alias("f"))
     flat = fuels.select(
         *ids,
         F.nullif(F.col("Hour"), F.lit("")).alias("Hour"),
         F.col("f.Fuel").alias("fuel_type"),
         F.col("f.EnergyValue.Output").alias("Output"),
+        *([F.col("f").isNotNull().alias(IS_ROW)] if checked else []),
     )
-    return flat.select(
-        G.parse_any_date("Day", strict).alias("Date"),
-        number("Hour").cast("int").alias("hour"),
+    if not checked:
+        number = G.strict_int if strict else G.integer_or_null
+        hour = G.strict_int("Hour").cast("int") if strict else _hour_or_null(F.col("Hour"))
+        return flat.select(
+            G.parse_any_date("Day", strict).alias("Date"),
+            hour.alias("hour"),
+            "fuel_type",
+            number("Output").alias("output"),
+            *_carried(days),
+        )
+    typed = flat.select(
+        G.value_or_error("Day", G.parse_any_date("Day", strict=False)).alias("Date"),
+        G.value_or_error("Hour", _hour_or_null(F.col("Hour"))).alias("hour"),
         "fuel_type",
-        number("Output").alias("output"),
-        *_landing(days),
+        G.value_or_error("Output", G.integer_or_null("Output")).alias("output"),
+        *_carried(days),
+        IS_ROW,
     )
+    fields = ("Date", "hour", "output")
+    return typed.select(
+        *[F.col(f"{c}.value").alias(c) if c in fields else F.col(c) for c in typed.columns],
+        _errors(**{c: F.col(c) for c in fields}).alias(ERRORS),
+    )
+
+
+LISTS = {
+    "OutputEnergy": "g.Outputs.Output",
+    "CapabilityEnergy": "g.Capabilities.Capability",
+    "AvailCapacity": "g.Capacities.AvailCapacity",
+}
 
 
 def flatten_capability(reports: DataFrame, strict: bool = True) -> DataFrame:
@@ -90,58 +143,89 @@ def flatten_capability(reports: DataFrame, strict: bool = True) -> DataFrame:
     aligned inside the row: no shuffle, and no hour list leaves its block. Per list
     the last entry of an hour wins and an absent hour is 0.
     """
-    landing = _landing(reports)
+    checked, carried = BROKEN in reports.columns, _carried(reports)
+    strict &= not checked
+    explode = F.explode_outer if checked else F.explode
     generators = reports.select(
         "Date",
-        *landing,
-        F.explode(
+        *carried,
+        explode(
             F.concat(
                 F.coalesce("Generators.Generator", F.array()), F.coalesce("Generator", F.array())
             )
         ).alias("g"),
     )
-    lists = {
-        "OutputEnergy": "g.Outputs.Output",
-        "CapabilityEnergy": "g.Capabilities.Capability",
-        "AvailCapacity": "g.Capacities.AvailCapacity",
-    }
+    day = G.parse_any_date("Date", strict)
+    errors = [F.concat(_errors(Date=G.value_or_error("Date", day)), *[
+        F.coalesce(_hourly_errors(path, name), F.array().cast(_NO_ERRORS)) for name, path in LISTS.items()
+    ]).alias(ERRORS)] if checked else []
     blocks = generators.select(
-        *landing,
-        G.parse_any_date("Date", strict).alias("Date"),
+        *carried,
+        day.alias("Date"),
         F.col("g.GeneratorName").alias("GeneratorName"),
         F.col("g.FuelType").alias("FuelType"),
-        *[_hourly_values(path, strict).alias(name) for name, path in lists.items()],
+        *[_hourly_values(path, strict).alias(name) for name, path in LISTS.items()],
+        *errors,
     )
-    slots = [F.transform(name, lambda x: x["hour"]) for name in lists]
-    hours = blocks.withColumn(
-        "Hour", F.explode(F.array_union(F.array_union(slots[0], slots[1]), slots[2]))
+    slots = [F.transform(name, lambda x: x["hour"]) for name in LISTS]
+    hours = F.transform(
+        F.array_union(F.array_union(slots[0], slots[1]), slots[2]),
+        lambda hour: F.struct(
+            hour.alias("Hour"),
+            *[G.value_or_zero(_last_of_hour(name, hour)).alias(name) for name in LISTS],
+        ),
     )
-    return hours.select(
+    if checked:
+        # A block's errors, or a report without blocks, get a row of their own.
+        own = F.when((F.size(hours) == 0) | (F.size(ERRORS) > 0), F.array(F.lit(None)))
+        hours = F.concat(hours, F.coalesce(own, F.array()))
+    rows = blocks.withColumn("h", F.explode(hours))
+    is_row = F.col("h").isNotNull()
+    checks = [F.when(~is_row, F.col(ERRORS)).otherwise(F.array().cast(_NO_ERRORS)).alias(ERRORS),
+              is_row.alias(IS_ROW)] if checked else []
+    return rows.select(
         "Date",
-        "Hour",
+        "h.Hour",
         "GeneratorName",
         "FuelType",
-        *[G.value_or_zero(_last_of_hour(name)).alias(name) for name in lists],
-        *landing,
+        *[f"h.{name}" for name in LISTS],
+        *carried,
+        *checks,
     )
 
 
+def _complete(path: str) -> Column:
+    """Entries that have both an hour and an energy node."""
+    return F.filter(path, lambda x: x["Hour"].isNotNull() & x["EnergyMW"].isNotNull())
+
+
+def _hour_or_null(text: Column) -> Column:
+    return G.integer_or_null(text).try_cast("int")
+
+
+def _hourly_errors(path: str, name: str) -> Column:
+    """Complete entries whose hour or energy is no number, as (field, text)."""
+    wrong = F.filter(
+        _complete(path),
+        lambda x: _hour_or_null(x["Hour"]).isNull() | G.coerce_number(x["EnergyMW"]).isNull(),
+    )
+    text = lambda x: F.concat(x["EnergyMW"], F.lit(" at hour "), x["Hour"])
+    return F.transform(wrong, lambda x: F.struct(F.lit(name).alias("field"), text(x).alias("text")))
+
+
 def _hourly_values(path: str, strict: bool) -> Column:
-    """Entries having both an hour and an energy node, typed, in document order."""
+    """Complete entries, typed, in document order."""
     if strict:
-        hour, energy = G.strict_int, G.strict_double
+        hour, energy = (lambda c: G.strict_int(c).cast("int")), G.strict_double
     else:
-        hour, energy = (lambda c: c.try_cast("bigint")), G.coerce_number
-    complete = F.filter(path, lambda x: x["Hour"].isNotNull() & x["EnergyMW"].isNotNull())
+        hour, energy = _hour_or_null, G.coerce_number
     typed = F.transform(
-        complete,
-        lambda x: F.struct(
-            hour(x["Hour"]).cast("int").alias("hour"), energy(x["EnergyMW"]).alias("mw")
-        ),
+        _complete(path),
+        lambda x: F.struct(hour(x["Hour"]).alias("hour"), energy(x["EnergyMW"]).alias("mw")),
     )
     return F.coalesce(F.filter(typed, lambda x: x["hour"].isNotNull()), F.array())
 
 
-def _last_of_hour(name: str) -> Column:
-    same_hour = F.filter(name, lambda x: x["hour"] == F.col("Hour"))
+def _last_of_hour(name: str, hour: Column) -> Column:
+    same_hour = F.filter(name, lambda x: x["hour"] == hour)
     return F.try_element_at(same_hour, F.lit(-1))["mw"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspan import functions as G
@@ -17,7 +17,8 @@ from gridspan.plans import standins as st
 from gridspan.session import scratch
 from gridspan.sinks.store import Store, latest_writes
 from gridspan.sources import files
-from gridspan.streaming.pickup import pick_up, rejected_reports
+from gridspan.streaming.pickup import pick_up, quarantine, refresh_from_register, rejected_reports
+from gridspan.streaming.versions import take_versions
 
 #: Numbers at and beyond the ends of what a double holds.
 EXTREMES = ["1e308", "1.5e308", "0.001e310", "1e309", "Infinity", "-inf"]
@@ -300,18 +301,111 @@ def capability_xml_scan(spark, sf_dir):
 
 @query
 def capability_ingest(spark, sf_dir):
-    """All reports loaded without output, then the newest date's report replaced by its job."""
+    """All reports loaded without output, then the newest date's report replaced by its job.
+
+    Reports land in a folder per date, so the job scans one folder.
+    """
     store = _store(spark, "capability")
     reports = st.capability_reports(st.table(spark, sf_dir, "lineitem"))
+    landing = st.land_xml(reports, store.path("landing"), "IMODocBody", by=F.col("Date"))
+    stale = typing.flatten_capability(files.scan_capability_xml(spark.read, landing))
+    store.replace_table(stale.withColumn("OutputEnergy", F.lit(0.0)), schemas.CAPABILITY)
+    newest = store.read(schemas.CAPABILITY).agg(F.max("Date").cast("string")).first()[0]
+    raw = files.scan_capability_xml(spark.read, f"{landing}/report={newest}")
+    ingest.replace_report(store, "capability", raw, newest, st.INSTANT)
+    return store.read(schemas.CAPABILITY)
+
+
+@query
+def zonal_items_to_primary(spark, sf_dir):
+    """A zonal line per supplier and month to the raw table, then wide to long."""
+    store = _store(spark, "zonal-items")
+    lines = st.zonal_items(st.table(spark, sf_dir, "lineitem"))
+    landing = st.land_csv(lines, store.path("landing"))
+    ingest.full_load(store, "zonal", files.scan_zonal_csv(spark.read, landing), st.INSTANT)
+    ingest.refresh_primary(store, st.INSTANT)
+    return store.read(schemas.PRIMARY_ZONAL_DEMAND)
+
+
+@query
+def series_csv_items(spark, sf_dir):
+    """An exported series per supplier and return flag, typed and sorted by time."""
+    series = st.item_series(st.table(spark, sf_dir, "lineitem"))
+    text = series.select("series", F.col("timestamp").cast("string").alias("timestamp"), "Ontario_Demand")
+    landing = scratch(spark, "series-items")
+    text.write.option("header", "true").csv(landing)
+    raw = files.scan_series_csv(spark.read, landing, ["series", "timestamp", "Ontario_Demand"])
+    typed = typing.type_series(raw, "timestamp", "Ontario_Demand", ["series"])
+    return typed.orderBy("series", "timestamp")
+
+
+@query
+def fuel_items_load(spark, sf_dir):
+    """A fuel document per month and supplier, all loaded."""
+    store = _store(spark, "fuel-items")
+    days = st.item_fuel_days(st.table(spark, sf_dir, "lineitem"))
+    landing = st.land_xml(days, store.path("landing"), "DailyData")
+    ingest.full_load(store, "fuel", files.scan_fuel_xml(spark.read, landing), st.INSTANT)
+    return store.read(schemas.FUEL_OUTPUT)
+
+
+# Rejects
+
+
+def _with_rejects(rows: DataFrame, rejects: DataFrame, keys: list[str], schema: str) -> DataFrame:
+    """Table rows beside the wrong values that the quarantine table keeps of them."""
+    found = rejects.select(F.from_json("row", schema).alias("r"), "field", "text")
+    found = found.select(*[f"r.{k}" for k in keys], "field", "text")
+    return rows.join(found, keys, "left")
+
+
+@query
+def fuel_rejects(spark, sf_dir):
+    """Outputs that are no integers or empty: the others are taken in, these are kept apart."""
+    store = _store(spark, "fuel-rejects")
+    days = st.item_fuel_days(st.table(spark, sf_dir, "lineitem"), faulty=F.lit(True))
+    landing = st.land_xml(days, store.path("landing"), "DailyData")
+    raw = files.scan_fuel_xml(spark.read, landing, strict=False)
+    ingest.ingest(store, "fuel", raw, st.INSTANT, "all_dates_in_batch", strict=False)
+    keys = ["Date", "hour", "fuel_type"]
+    schema = "`Date` DATE, hour INT, fuel_type STRING"
+    return _with_rejects(store.read(schemas.FUEL_OUTPUT), quarantine(store), keys, schema)
+
+
+@query
+def capability_rejects(spark, sf_dir):
+    """Energies that are empty or no number count as 0 and are kept apart, by generator."""
+    store = _store(spark, "capability-rejects")
+    reports = st.capability_reports(st.table(spark, sf_dir, "lineitem"), faulty=True)
     landing = st.land_xml(reports, store.path("landing"), "IMODocBody")
-    raw = files.scan_capability_xml(spark.read, landing)
-    stale = typing.flatten_capability(raw).withColumn("OutputEnergy", F.lit(0.0))
-    store.replace_table(stale, schemas.CAPABILITY)
-    newest = raw.agg(F.max("Date")).first()[0]
-    ingest.replace_report(
-        store, "capability", raw.filter(F.col("Date") == newest), newest, st.INSTANT
+    raw = files.scan_capability_xml(spark.read, landing, strict=False)
+    ingest.ingest(store, "capability", raw, st.INSTANT, "all_dates_in_batch", strict=False)
+    keys = ["Date", "GeneratorName"]
+    wrong = quarantine(store).select(
+        F.from_json("row", "`Date` DATE, GeneratorName STRING").alias("r"), "field"
     )
-    return store.read(schemas.CAPABILITY)
+    wrong = wrong.groupBy(*[F.col(f"r.{k}").alias(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("wrong_values")
+    )
+    return store.read(schemas.CAPABILITY).join(wrong, keys, "left")
+
+
+@query
+def demand_rejects(spark, sf_dir):
+    """Lines with a field too many are kept apart, the others are loaded."""
+    store = _store(spark, "demand-rejects")
+    lines = st.daily_items(st.table(spark, sf_dir, "lineitem"))
+    surplus = F.when(F.col("Ontario_Demand") % 10 == 0, F.concat_ws(",", "Market_Demand", F.lit("x")))
+    lines = lines.withColumn("Market_Demand", F.coalesce(surplus, F.col("Market_Demand").cast("string")))
+    landing = st.land_csv(lines, store.path("landing"))
+    raw = files.scan_demand_csv(spark.read, landing)
+    ingest.ingest(store, "demand", raw, st.INSTANT, "all_dates_in_batch", strict=False)
+    taken = store.read(schemas.DEMAND).groupBy("Date").agg(
+        F.count(F.lit(1)).alias("taken"), F.round(F.sum("Market_Demand"), 2).alias("Market_Demand")
+    )
+    month = F.to_date(F.substring_index("text", ",", 1))
+    apart = quarantine(store).groupBy(month.alias("Date")).agg(F.count(F.lit(1)).alias("apart"))
+    return taken.join(apart, "Date", "left")
 
 
 # Tables and register
@@ -648,9 +742,137 @@ def forecast_many(spark, sf_dir):
 # Streams
 
 
-def _run_stream(store: Store, feed: str, mode: str) -> None:
+def _run_stream(store: Store, feed: str, mode: str, **options) -> None:
     landing, checkpoint = store.path("landing"), store.path("checkpoint")
-    pick_up(store, feed, landing, checkpoint, lambda: st.INSTANT, mode).awaitTermination()
+    run = pick_up(store, feed, landing, checkpoint, lambda: st.INSTANT, mode, **options)
+    run.awaitTermination()
+
+
+def _fuel_months(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Line items, and whether a month's fuel report is faulty at first."""
+    return st.table(spark, sf_dir, "lineitem"), F.month("l_shipdate") % 3 == 0
+
+
+@query
+def stream_bad_numbers(spark, sf_dir):
+    """Every third month's report has wrong values and is set aside; one lands again, mended."""
+    store = _store(spark, "stream-wrong")
+    items, third = _fuel_months(spark, sf_dir)
+    landing = store.path("landing")
+    days = st.item_fuel_days(items, faulty=F.month("Date") % 3 == 0)
+    st.land_xml(days, f"{landing}/fetch=1", "DailyData", by=F.substring("Day", 1, 7))
+    _run_stream(store, "fuel", "all_dates_in_batch")
+    again = items.filter(third & (F.year("l_shipdate") == 1995))
+    st.land_xml(st.item_fuel_days(again), f"{landing}/fetch=2", "DailyData", by=F.substring("Day", 1, 7))
+    _run_stream(store, "fuel", "all_dates_in_batch")
+    rejected = rejected_reports(store).filter("reason = 'wrong value'")
+    count = rejected.agg(F.count(F.lit(1)).alias("rejected")).scalar()
+    return store.read(schemas.FUEL_OUTPUT).withColumn("rejected", count)
+
+
+@query
+def stream_empty_report(spark, sf_dir):
+    """A lone report without hours is recorded; the ones that land after it are taken in."""
+    store = _store(spark, "stream-empty")
+    items = st.table(spark, sf_dir, "lineitem")
+    landing = store.path("landing")
+    days = st.item_fuel_days(items)
+    empty = days.agg(F.max("Day").alias("Day"))
+    st.land_xml(empty, f"{landing}/fetch=1", "DailyData", by=F.lit("none"))
+    _run_stream(store, "fuel", "all_dates_in_batch")
+    st.land_xml(days, f"{landing}/fetch=2", "DailyData", by=F.substring("Day", 1, 4))
+    _run_stream(store, "fuel", "all_dates_in_batch")
+    rejected = rejected_reports(store).filter("reason = 'too few rows'")
+    count = rejected.agg(F.count(F.lit(1)).alias("rejected")).scalar()
+    return store.read(schemas.FUEL_OUTPUT).withColumn("rejected", count)
+
+
+@query
+def stream_tolerant(spark, sf_dir):
+    """A pickup that isn't strict takes wrong values in as NULL and keeps them apart."""
+    store = _store(spark, "stream-tolerant")
+    items, _ = _fuel_months(spark, sf_dir)
+    days = st.item_fuel_days(items, faulty=F.month("Date") % 3 == 0)
+    st.land_xml(days, f"{store.path('landing')}/fetch=1", "DailyData", by=F.substring("Day", 1, 7))
+    _run_stream(store, "fuel", "all_dates_in_batch", strict=False)
+    keys = ["Date", "hour", "fuel_type"]
+    schema = "`Date` DATE, hour INT, fuel_type STRING"
+    return _with_rejects(store.read(schemas.FUEL_OUTPUT), quarantine(store), keys, schema)
+
+
+@query
+def stream_rewritten_report(spark, sf_dir):
+    """A file per month, written anew under its name three times, taken in over three runs."""
+    store = _store(spark, "stream-rewritten")
+    report = st.daily_items(st.table(spark, sf_dir, "lineitem"))
+    landing, versions = store.path("fetched"), store.path("landing")
+    last_year = report.filter(F.year("Date") == report.agg(F.year(F.max("Date"))).scalar())
+    newest = report.filter(F.col("Date") == report.agg(F.max("Date")).scalar())
+    fetches = [(report, 0), (last_year, 1000), (newest, 2000)]
+    for i, (rows, more) in enumerate(fetches):
+        raised = rows.withColumn("Market_Demand", F.col("Market_Demand") + more)
+        st.land_under_one_name(raised, landing, store.path(f"fetch-{i}"))
+        take_versions(store, landing, versions)
+        _run_stream(store, "demand", "all_dates_in_batch")
+    # Nothing has been written anew since, so nothing is taken.
+    if take_versions(store, landing, versions):
+        raise ValueError("a version was taken twice")
+    _run_stream(store, "demand", "all_dates_in_batch")
+    return store.read(schemas.DEMAND)
+
+
+@query
+def stream_primary_from_register(spark, sf_dir):
+    """Raw zonal reports are taken in; the primary table follows by a stream over the register.
+
+    The second run's refresh makes up for the raw write whose own didn't come about.
+    """
+    store = _store(spark, "stream-follow")
+    lines = st.zonal_items(st.table(spark, sf_dir, "lineitem"))
+    landing = store.path("landing")
+
+    def raised(rows: DataFrame, fetch: int) -> None:
+        rows = rows.withColumn("Zone_Total", F.col("Zone_Total") + 1000 * fetch)
+        st.land_csv(rows, f"{landing}/fetch={fetch}")
+        _run_stream(store, "zonal", "all_dates_in_batch", primary=False)
+
+    def refresh() -> None:
+        checkpoint = store.path("checkpoint-primary")
+        refresh_from_register(store, checkpoint, lambda: st.INSTANT).awaitTermination()
+
+    raised(lines, 1)
+    refresh()
+    raised(lines.filter(F.year("Date") == 1996), 2)
+    raised(lines.filter(F.year("Date") == 1997), 3)
+    refresh()
+    return store.read(schemas.PRIMARY_ZONAL_DEMAND)
+
+
+@query
+def stream_items(spark, sf_dir):
+    """Every line item in a report by month; the last year's land again, corrected."""
+    store = _store(spark, "stream-items")
+    report = st.daily_items(st.table(spark, sf_dir, "lineitem"))
+    newest = report.agg(F.year(F.max("Date"))).scalar()
+    for fetch, rows in ((1, report), (2, _corrected(report.filter(F.year("Date") == newest)))):
+        st.land_months(rows, store.path("landing"), fetch)
+        _run_stream(store, "demand", "all_dates_in_batch")
+    return store.read(schemas.DEMAND)
+
+
+@query
+def date_counts(spark, sf_dir):
+    """Rows by date as registered writes have left them: a load, a replaced date, an unknown write."""
+    store = _store(spark, "counts")
+    history, batch = _history_and_correction(spark, sf_dir)
+    store.replace_table(history, "raw/events")
+    store.append_register("raw/events", st.INSTANT)
+    fewer = batch.filter("event_id % 2 = 0")
+    for write in ("again", "again", "last"):  # the second is a replay
+        store.upsert(fewer, "raw/events", mode="all_dates_in_batch", registered=True)
+        store.append_register("raw/events", st.INSTANT, write, fewer.select("Date"))
+        fewer = fewer.filter("event_id % 4 = 0")
+    return store.date_counts("raw/events")
 
 
 def _corrected(report: DataFrame) -> DataFrame:

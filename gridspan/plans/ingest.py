@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from gridspan import schemas
 from gridspan.operators import quality, typing
 from gridspan.operators.reshape import wide_to_long
-from gridspan.operators.slices import calendar_dates, latest_slice, newest_reports
-from gridspan.sinks.store import Store, require_rows
+from gridspan.operators.slices import latest_slice, newest_reports, on_dates
+from gridspan.plans import staging
+from gridspan.sinks.store import EmptyBatchError, Store, require_rows
 from gridspan.sources import files
 
 
@@ -68,9 +69,7 @@ def reject_over_long(raw: DataFrame, names: list[str]) -> DataFrame:
 
 
 def typed_batch(feed: Feed, raw: DataFrame, instant: datetime) -> DataFrame:
-    # A stream has set reports with such lines aside; a filter that fails could be moved
-    # below that.
-    if feed.fields and files.LANDING not in raw.columns:
+    if feed.fields:
         raw = reject_over_long(raw, feed.fields)
     return feed.shape(raw, instant)
 
@@ -82,6 +81,13 @@ def settled(batch: DataFrame, mode: str) -> DataFrame:
     return latest_slice(batch) if mode == "latest" else batch
 
 
+def write_settled(store: Store, feed: Feed, rows: DataFrame, instant: datetime, write: str | None) -> None:
+    """Writes all dates of `rows` and registers the write."""
+    store.upsert(rows, feed.table, mode="all_dates_in_batch", registered=True)
+    dated = rows.filter(F.col("Date").isNotNull()).select("Date")
+    store.append_register(feed.table, instant, write, dated)
+
+
 def ingest(
     store: Store,
     name: str,
@@ -90,6 +96,7 @@ def ingest(
     mode: str = "latest",
     validate: bool = False,
     write: str | None = None,
+    strict: bool = True,
 ) -> None:
     """The hourly job: upsert a scanned batch and register the write.
 
@@ -97,21 +104,33 @@ def ingest(
     the landing column: then each file is a report of its own. `validate` runs the
     table's checks first and stops on the first failed error rule. `write` names the write
     in the register.
+
+    A strict job fails on a line with too many fields and on text that is no value. Otherwise
+    such lines and values go into the quarantine table, and a value is NULL, or 0 where the
+    table has no NULL; `raw` has to be a tolerant scan then.
     """
     feed = FEEDS[name]
-    batch = typed_batch(feed, raw, instant)
-    if feed.parse_once:
-        batch = batch.persist()
+    if not strict:
+        staged = staging.stage(raw, feed.fields, feed.shape, instant)
+        if staged.rows < feed.min_rows:
+            raise EmptyBatchError(f"batch has fewer than {feed.min_rows} rows")
+        if staged.broken or staged.wrong:
+            name = write or f"{instant:%Y%m%dT%H%M%S%f}"
+            staging.write_quarantine(store, staged, feed.table, name)
+        batch = staged.table_rows()
+    else:
+        batch = typed_batch(feed, raw, instant)
+        if feed.parse_once:
+            batch = batch.persist()
     try:
-        require_rows(batch, feed.min_rows)
+        if strict:
+            require_rows(batch, feed.min_rows)
         rows = settled(batch, mode)
         if validate:
             quality.enforce(feed.check(rows, min_rows=feed.min_rows))
-        store.upsert(rows, feed.table, mode="all_dates_in_batch")
+        write_settled(store, feed, rows, instant, write)
     finally:
-        if feed.parse_once:
-            batch.unpersist()
-    store.append_register(feed.table, instant, write)
+        batch.unpersist()
 
 
 def replace_report(
@@ -121,10 +140,10 @@ def replace_report(
     feed = FEEDS[name]
     batch = typed_batch(feed, raw, instant).persist()
     try:
-        store.replace_slice(batch, feed.table, key, min_rows=feed.min_rows)
+        store.replace_slice(batch, feed.table, key, min_rows=feed.min_rows, registered=True)
+        store.append_register(feed.table, instant, changed=batch.select("Date"))
     finally:
         batch.unpersist()
-    store.append_register(feed.table, instant)
 
 
 def full_load(store: Store, name: str, raw: DataFrame, instant: datetime) -> None:
@@ -149,18 +168,14 @@ def refresh_primary(
     """Zonal demand, wide to long, into the primary table.
 
     Without `changed` the table is replaced as a whole; with a frame of changed dates
-    only those partitions are rewritten. The bounds of the dates are scalar subqueries,
-    which prune the partitions read; the semi-join then drops dates in between.
+    only those partitions are read and rewritten.
     """
     raw = store.read(schemas.ZONAL_DEMAND)
     if changed is None:
         store.replace_table(wide_to_long(raw), schemas.PRIMARY_ZONAL_DEMAND)
     else:
-        dates = calendar_dates(changed)
-        first = changed.agg(F.min("Date")).scalar()
-        last = changed.agg(F.max("Date")).scalar()
-        within = raw.filter(F.col("Date").between(first, last)).join(dates, "Date", "left_semi")
+        rows = wide_to_long(on_dates(raw, changed))
         store.upsert(
-            wide_to_long(within), schemas.PRIMARY_ZONAL_DEMAND, mode="all_dates_in_batch"
+            rows, schemas.PRIMARY_ZONAL_DEMAND, mode="all_dates_in_batch", registered=True
         )
-    store.append_register(schemas.PRIMARY_ZONAL_DEMAND, instant, write)
+    store.append_register(schemas.PRIMARY_ZONAL_DEMAND, instant, write, changed)

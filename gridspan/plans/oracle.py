@@ -336,6 +336,9 @@ SELECT "Date", "Hour", "Essa" AS "Market_Demand", "West" AS "Ontario_Demand" FRO
 WHERE "Essa" IS NOT NULL AND "West" IS NOT NULL
 """
 
+ORACLE["series_csv_items"] = f"""
+SELECT series, CAST("timestamp" AS TIMESTAMP) AS "timestamp", "Ontario_Demand" FROM ({_MANY}) ORDER BY 1, 2
+"""
 ORACLE["series_csv_sorted"] = f"""WITH {_series(False)}
 SELECT "timestamp", "Ontario_Demand" FROM series ORDER BY "timestamp"
 """
@@ -355,12 +358,116 @@ def _last_of(flag: str) -> str:
 
 # The last entry of a slot counts; entries without energy are planted at every tenth part.
 ORACLE["capability_xml_scan"] = f"""
-SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", l_suppkey % 24 + 1 AS "Hour",
-  'G' || l_linenumber || '-' || (l_suppkey % 16) AS "GeneratorName", 'F' || (l_linenumber % 5) AS "FuelType",
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", l_partkey % 24 + 1 AS "Hour",
+  'G' || l_suppkey AS "GeneratorName", 'F' || (l_suppkey % 5) AS "FuelType",
   {_last_of("A")} AS "OutputEnergy", {_last_of("N")} AS "CapabilityEnergy",
   {_last_of("R")} AS "AvailCapacity"
 FROM lineitem WHERE l_partkey % 10 <> 0 GROUP BY ALL
 """
+_ITEM_FUEL = """
+SELECT *, CASE WHEN flag <> 'N' OR hour % 5 <> 0 THEN total END AS output FROM (
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", CAST(l_partkey % 24 + 1 AS INTEGER) AS hour,
+    l_returnflag || '-' || l_suppkey AS fuel_type, l_returnflag AS flag,
+    CAST(sum(CAST(round(l_quantity * 100) AS BIGINT)) AS BIGINT) AS total
+  FROM lineitem GROUP BY 1, 2, 3, 4)
+"""
+ORACLE["fuel_items_load"] = f"""SELECT "Date", hour, fuel_type, output FROM ({_ITEM_FUEL})"""
+_HALVES, _EMPTY = "flag = 'A' AND hour = 4", "flag = 'R' AND hour = 6"
+
+
+def _rejects(faulty: str) -> str:
+    return f"""
+SELECT "Date", hour, fuel_type, CASE WHEN NOT ({faulty} AND ({_HALVES} OR {_EMPTY})) THEN output END AS output,
+  CASE WHEN {faulty} AND ({_HALVES} OR {_EMPTY}) THEN 'output' END AS field,
+  CASE WHEN {faulty} AND {_HALVES} THEN total || '.5' WHEN {faulty} AND {_EMPTY} THEN '' END AS text
+FROM ({_ITEM_FUEL})
+"""
+
+
+ORACLE["fuel_rejects"] = _rejects("true")
+ORACLE["stream_tolerant"] = _rejects("""month("Date") % 3 = 0""")
+_WRONG = f"""
+SELECT DISTINCT "Date" FROM ({_ITEM_FUEL}) WHERE month("Date") % 3 = 0 AND ({_HALVES} OR {_EMPTY})
+"""
+ORACLE["stream_bad_numbers"] = f"""
+SELECT "Date", hour, fuel_type, output, (SELECT count(*) FROM ({_WRONG})) AS rejected
+FROM ({_ITEM_FUEL}) WHERE "Date" NOT IN ({_WRONG}) OR year("Date") = 1995
+"""
+ORACLE["stream_empty_report"] = f"""
+SELECT "Date", hour, fuel_type, output, CAST(1 AS BIGINT) AS rejected FROM ({_ITEM_FUEL})
+"""
+
+
+def _good_last_of(flag: str) -> str:
+    good = "l_partkey % 10 NOT IN (3, 7)"
+    return (
+        f"coalesce(last(CASE WHEN {good} THEN l_quantity ELSE 0.0 END ORDER BY l_orderkey, l_partkey, l_quantity) "
+        f"FILTER (WHERE l_returnflag = '{flag}'), 0.0)"
+    )
+
+
+ORACLE["capability_rejects"] = f"""
+WITH items AS (
+  SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", 'G' || l_suppkey AS "GeneratorName"
+  FROM lineitem WHERE l_partkey % 10 <> 0),
+wrong AS (
+  SELECT "Date", "GeneratorName", count(*) AS wrong_values FROM items WHERE l_partkey % 10 IN (3, 7) GROUP BY ALL)
+SELECT "Date", l_partkey % 24 + 1 AS "Hour", "GeneratorName", 'F' || (l_suppkey % 5) AS "FuelType",
+  {_good_last_of("A")} AS "OutputEnergy", {_good_last_of("N")} AS "CapabilityEnergy",
+  {_good_last_of("R")} AS "AvailCapacity", any_value(wrong_values) AS wrong_values
+FROM items LEFT JOIN wrong USING ("Date", "GeneratorName") GROUP BY 1, 2, 3, 4
+"""
+_DAILY = """
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", CAST(l_suppkey % 24 + 1 AS INTEGER) AS "Hour",
+  CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) AS DOUBLE) AS "Market_Demand", l_quantity AS "Ontario_Demand"
+FROM lineitem
+"""
+ORACLE["demand_rejects"] = f"""
+WITH daily AS ({_DAILY})
+SELECT "Date", count(*) FILTER ("Ontario_Demand" % 10 <> 0) AS taken,
+  round(sum("Market_Demand") FILTER ("Ontario_Demand" % 10 <> 0), 2) AS "Market_Demand",
+  nullif(count(*) FILTER ("Ontario_Demand" % 10 = 0), 0) AS apart
+FROM daily GROUP BY "Date" HAVING count(*) FILTER ("Ontario_Demand" % 10 <> 0) > 0
+"""
+
+
+def _raised(condition: str, more: int) -> str:
+    return f"""WHEN {condition} THEN CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) + {more} AS DOUBLE)"""
+
+
+_LAST_YEAR = "year(l_shipdate) = (SELECT max(year(l_shipdate)) FROM lineitem)"
+_LAST_MONTH = "date_trunc('month', l_shipdate) = (SELECT max(date_trunc('month', l_shipdate)) FROM lineitem)"
+ORACLE["stream_rewritten_report"] = f"""
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", CAST(l_suppkey % 24 + 1 AS INTEGER) AS "Hour",
+  CASE {_raised(_LAST_MONTH, 2000)} {_raised(_LAST_YEAR, 1000)} {_raised("true", 0)} END AS "Market_Demand",
+  l_quantity AS "Ontario_Demand", {STAMP_DATE} AS "Modified_DT"
+FROM lineitem
+"""
+ORACLE["stream_items"] = f"""
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", CAST(l_suppkey % 24 + 1 AS INTEGER) AS "Hour",
+  CASE {_raised(_LAST_YEAR, 1000)} {_raised("true", 0)} END AS "Market_Demand",
+  l_quantity AS "Ontario_Demand", {STAMP_DATE} AS "Modified_DT"
+FROM lineitem
+"""
+_ZONAL_ITEMS = f"""
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date", CAST(l_suppkey % 24 + 1 AS INTEGER) AS "Hour",
+  {STAMP} AS "Modified_DT", CAST(l_suppkey AS DOUBLE) AS "Ontario_Demand", sum(l_quantity) AS "Zone_Total",
+  sum(l_quantity) - l_suppkey AS "Diff", {_ITEM_ZONES}
+FROM lineitem GROUP BY l_suppkey, 1
+"""
+
+
+def _zonal_long(total: str) -> str:
+    return f"""
+SELECT "Date", "Hour", "Modified_DT", "Ontario_Demand", {total} AS "Zone_Total", "Diff", "Zone", "Value"
+FROM ({_ZONAL_ITEMS}) UNPIVOT INCLUDE NULLS ("Value" FOR "Zone" IN ({_ZONE_LIST}))
+"""
+
+
+ORACLE["zonal_items_to_primary"] = _zonal_long('"Zone_Total"')
+ORACLE["stream_primary_from_register"] = _zonal_long(
+    '"Zone_Total" + CASE year("Date") WHEN 1996 THEN 2000 WHEN 1997 THEN 3000 ELSE 1000 END'
+)
 ORACLE["capability_ingest"] = f"""
 WITH scanned AS ({ORACLE["capability_xml_scan"]})
 SELECT "Date", "Hour", "GeneratorName", "FuelType",
@@ -404,6 +511,10 @@ UNION ALL SELECT * FROM corrected WHERE "Date" IS NOT NULL
 """
 ORACLE["replace_slice"] = _LATEST
 
+ORACLE["date_counts"] = f"""WITH {_CORRECTION}
+SELECT "Date", count(*) AS row_count FROM dated
+WHERE "Date" < (SELECT d - 1 FROM newest) OR event_id % 4 = 0 GROUP BY "Date"
+"""
 ORACLE["register_append"] = """
 WITH counted AS (SELECT count(*) AS c FROM events)
 SELECT 1735805045678000 + (i - 1) * 3600000000 AS id, 'events' AS "TABLE_NAME", 'raw' AS "TABLE_SCHEMA",

@@ -99,6 +99,26 @@ def item_zones(lineitem: DataFrame) -> DataFrame:
     return lineitem.groupBy("l_suppkey", F.trunc("l_shipdate", "month").alias("Date")).agg(*zones)
 
 
+def zonal_items(lineitem: DataFrame) -> DataFrame:
+    """Zonal report lines, one per supplier and month, so they grow with the table."""
+    total = sum((F.coalesce(z, F.lit(0.0)) for z in schemas.ZONES), F.lit(0.0))
+    supplier = F.col("l_suppkey").cast("double")
+    return item_zones(lineitem).select(
+        "Date", (F.col("l_suppkey") % 24 + 1).alias("Hour"), supplier.alias("Ontario_Demand"),
+        *schemas.ZONES, total.alias("Zone_Total"), (total - supplier).alias("Diff"),
+    )
+
+
+def daily_items(lineitem: DataFrame) -> DataFrame:
+    """Line items as demand rows: month, supplier's hour, price and quantity."""
+    return lineitem.select(
+        F.trunc("l_shipdate", "month").alias("Date"),
+        (F.col("l_suppkey") % 24 + 1).alias("Hour"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("Market_Demand"),
+        F.col("l_quantity").alias("Ontario_Demand"),
+    )
+
+
 def dated_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.to_date("ts").alias("Date"), "event_id", "user_id", "event_type", "value"
@@ -129,6 +149,63 @@ def land_reports(df: DataFrame, path: str, fetch: int, days: int = 1) -> str:
     return path
 
 
+def land_months(df: DataFrame, path: str, fetch: int) -> str:
+    """Lands a report per month of `df`, in a folder named by the fetch."""
+    lines = df.select(F.date_format("Date", "yyyy-MM").alias("report"), _lines(df))
+    lines.repartition("report").write.partitionBy("report").text(f"{path}/fetch={fetch}")
+    return path
+
+
+def land_under_one_name(df: DataFrame, landing: str, path: str) -> str:
+    """Lands a report file per month of `df`, under the name that month's file always has.
+
+    Written to the scratch folder `path` first; each file then takes the place of the last.
+    """
+    lines = df.select(F.date_format("Date", "yyyy-MM").alias("report"), _lines(df))
+    lines.repartition("report").write.partitionBy("report").text(path)
+    jvm = df.sparkSession._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    target = jvm.org.apache.hadoop.fs.Path(landing)
+    fs.mkdirs(target)
+    for report in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "report=*/part-*")):
+        name = report.getPath().getParent().getName().removeprefix("report=")
+        file = jvm.org.apache.hadoop.fs.Path(target, f"{name}.csv")
+        fs.delete(file, False)
+        fs.rename(report.getPath(), file)
+    return landing
+
+
+def item_fuel_days(lineitem: DataFrame, faulty: Column | None = None) -> DataFrame:
+    """A nested fuel document per month and supplier, of at most 24 hours of three fuels.
+
+    Where `faulty` holds, some outputs are no integers: halves in hour 4, empty in hour 6. In
+    every fifth hour one fuel has none.
+    """
+    month = F.trunc("l_shipdate", "month").alias("Date")
+    total = F.sum(F.round(F.col("l_quantity") * 100).cast("bigint"))
+    rows = lineitem.groupBy(
+        month, "l_suppkey", (F.col("l_partkey") % 24 + 1).alias("Hour"), "l_returnflag"
+    ).agg(total.cast("string").alias("total"))
+    hour, flag = F.col("Hour"), F.col("l_returnflag")
+    output = F.when((hour % 5 == 0) & (flag == "N"), F.lit(None)).otherwise(F.col("total"))
+    if faulty is not None:
+        wrong = F.when((hour == 4) & (flag == "A"), F.concat("total", F.lit(".5")))
+        wrong = wrong.when((hour == 6) & (flag == "R"), F.lit(""))
+        output = F.when(faulty & wrong.isNotNull(), wrong).otherwise(output)
+    fuel = F.struct(
+        F.concat_ws("-", "l_returnflag", "l_suppkey").alias("Fuel"),
+        F.struct(output.alias("Output")).alias("EnergyValue"),
+    )
+    hours = rows.groupBy("Date", "l_suppkey", "Hour").agg(
+        F.array_sort(F.collect_list(fuel)).alias("FuelTotal")
+    )
+    days = hours.groupBy("Date", "l_suppkey").agg(
+        F.array_sort(F.collect_list(F.struct("Hour", "FuelTotal"))).alias("HourlyData")
+    )
+    return days.select(F.col("Date").cast("string").alias("Day"), "HourlyData")
+
+
 def fuel_days(events: DataFrame) -> DataFrame:
     """One nested Day > Hour > Fuel struct per date; at most 24 hours of five fuels each.
 
@@ -156,43 +233,48 @@ def fuel_xml(events: DataFrame) -> DataFrame:
     )
 
 
-def land_xml(df: DataFrame, path: str, row_tag: str) -> str:
-    """Writes report documents in a default namespace.
+def land_xml(df: DataFrame, path: str, row_tag: str, by: Column | None = None) -> str:
+    """Writes report documents in a default namespace, in a folder for each value of `by`.
 
     An XML file is one task's work to read, so each writing task lands a file of its own.
     """
     root = 'IMODocument xmlns="urn:hourly-reports"'
-    df.write.format("xml").mode("append").options(rowTag=row_tag, rootTag=root).save(path)
+    if by is not None:
+        df = df.withColumn("report", by).repartition("report")
+    writer = df.write.format("xml").mode("append").options(rowTag=row_tag, rootTag=root)
+    (writer if by is None else writer.partitionBy("report")).save(path)
     return path
 
 
-def capability_reports(lineitem: DataFrame) -> DataFrame:
-    """Reports by shipping month and generator, with hours by supplier.
+def capability_reports(lineitem: DataFrame, faulty: bool = False) -> DataFrame:
+    """A report by shipping month and supplier, with hours by part.
 
     The three return flags are the three lists, with every line item as an entry, in order
     of order, part and quantity. Every tenth part's entry has no energy, and every second
-    supplier's hour is written with two digits. A report holds a month's items of one line
-    number and a sixteenth of the suppliers: some hundreds at a scale factor of 1.
+    supplier's hours are written with two digits. Reports grow in number with the table; one
+    holds what a supplier ships in a month, some six items at any scale. `faulty` makes the
+    energies of parts by number empty or no number.
     """
-    entry = F.struct("l_orderkey", "l_partkey", "l_quantity", "l_suppkey", "l_returnflag")
+    entry = F.struct("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     month = F.trunc("l_shipdate", "month").alias("Date")
-    group = (F.col("l_suppkey") % 16).alias("group")
-    reports = lineitem.groupBy(month, "l_linenumber", group).agg(
+    reports = lineitem.groupBy(month, "l_suppkey").agg(
         F.array_sort(F.collect_list(entry)).alias("entries")
     )
 
     def entries(flag: str) -> Column:
         def node(x: Column) -> Column:
-            hour = (x["l_suppkey"] % 24 + 1).cast("string")
-            hour = F.when(x["l_suppkey"] % 2 == 0, F.lpad(hour, 2, "0")).otherwise(hour)
-            energy = F.when(x["l_partkey"] % 10 != 0, x["l_quantity"])
+            hour = (x["l_partkey"] % 24 + 1).cast("string")
+            hour = F.when(F.col("l_suppkey") % 2 == 0, F.lpad(hour, 2, "0")).otherwise(hour)
+            energy = F.when(x["l_partkey"] % 10 != 0, x["l_quantity"].cast("string"))
+            if faulty:
+                energy = F.when(x["l_partkey"] % 10 == 3, "").when(x["l_partkey"] % 10 == 7, "n/a").otherwise(energy)
             return F.struct(hour.alias("Hour"), energy.alias("EnergyMW"))
 
         return F.transform(F.filter("entries", lambda x: x["l_returnflag"] == flag), node)
 
     generator = F.struct(
-        F.concat(F.lit("G"), F.col("l_linenumber"), F.lit("-"), F.col("group")).alias("GeneratorName"),
-        F.concat(F.lit("F"), F.col("l_linenumber") % 5).alias("FuelType"),
+        F.concat(F.lit("G"), F.col("l_suppkey")).alias("GeneratorName"),
+        F.concat(F.lit("F"), F.col("l_suppkey") % 5).alias("FuelType"),
         F.struct(entries("A").alias("Output")).alias("Outputs"),
         F.struct(entries("N").alias("Capability")).alias("Capabilities"),
         F.struct(entries("R").alias("AvailCapacity")).alias("Capacities"),

@@ -26,6 +26,9 @@ CAPABILITY = "raw/capability"
 PRIMARY_ZONAL_DEMAND = "primary/zonal_demand"
 TABLE_REGISTER = "reference/table_register"
 REJECTED_REPORTS = "reference/rejected_reports"
+QUARANTINE = "reference/quarantine"
+DATE_COUNTS = "reference/date_counts"
+TAKEN_VERSIONS = "reference/taken_versions"
 FORECAST_RUNS = "reference/forecast_runs"
 FORECAST_MODELS = "reference/forecast_models"
 
@@ -50,6 +53,13 @@ REGISTER_SCHEMA = (
     "id BIGINT, TABLE_NAME STRING, TABLE_SCHEMA STRING, MODIFIED_DT DATE, "
     "MODIFIED_TIME TIMESTAMP_NTZ, ROW_COUNT BIGINT, created_at TIMESTAMP_NTZ"
 )
+#: Rows of each date that a write left in its table; `whole` if it wrote all of the table.
+DATE_COUNTS_SCHEMA = "write STRING, turn BIGINT, whole BOOLEAN, `Date` DATE, row_count BIGINT"
+REJECTED_SCHEMA = (
+    "report STRING, broken_rows BIGINT, wrong_values BIGINT, table_rows BIGINT, reason STRING, "
+    "example STRING, `table` STRING"
+)
+QUARANTINE_SCHEMA = "report STRING, field STRING, text STRING, `row` STRING, `table` STRING"
 FORECAST_RUN_SCHEMA = (
     "run_at TIMESTAMP_NTZ, series STRING, p INT, d INT, q INT, "
     "train_size BIGINT, test_size BIGINT, status STRING, mse DOUBLE, rmse DOUBLE"

@@ -14,13 +14,19 @@ from gridspan import schemas
 
 REJECT = "_rejected_line"
 LANDING = "_landing"
+#: Folder of a file's version: the microsecond it was written at, and which file it is.
+VERSION = "/version=([0-9]{1,18})-[0-9a-f]{32}/"
+#: The line or document of a row that can't be read whole.
+BROKEN = "_broken"
 
 
 def with_landing(scan: DataFrame, root: str) -> DataFrame:
     """Adds which report a row came from and when its file landed.
 
     A report is a folder below the landing folder `root`, with all files in it, or a file
-    in `root` itself. Folders should be named so that later fetches sort later.
+    in `root` itself. Folders should be named so that later fetches sort later. A version
+    that `streaming.versions` took of a file that is written anew landed when its folder's
+    name says.
     """
     def bare(path: Column) -> Column:
         return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?|/+$", "")
@@ -28,10 +34,12 @@ def with_landing(scan: DataFrame, root: str) -> DataFrame:
     file = F.col("_metadata.file_path")
     folder = bare(F.regexp_replace(file, "/[^/]*$", ""))
     report = F.when(folder == bare(F.lit(root)), bare(file)).otherwise(folder)
+    taken = F.regexp_extract(file, VERSION, 1)
+    taken = F.timestamp_micros(F.when(taken != "", taken).try_cast("bigint"))
     return scan.withColumn(
         LANDING,
         F.struct(
-            F.col("_metadata.file_modification_time").alias("landed_at"),
+            F.coalesce(taken, F.col("_metadata.file_modification_time")).alias("landed_at"),
             report.alias("report"),
         ),
     )
@@ -75,6 +83,12 @@ def over_long_rows(names: list[str]) -> Column:
     return F.coalesce(fields > len(names), F.lit(False))
 
 
+def with_broken(scan: DataFrame, names: list[str] | None) -> DataFrame:
+    """Adds the text of lines with too many fields, or of broken XML documents."""
+    broken = F.when(over_long_rows(names), F.col(REJECT)) if names else F.col(REJECT)
+    return scan.withColumn(BROKEN, broken)
+
+
 def _scan_xml(reader, path: str, row_tag: str, schema: str, strict: bool) -> DataFrame:
     """Prefixed, default and absent namespaces all match, as tags are compared without one."""
     return (

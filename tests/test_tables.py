@@ -220,3 +220,29 @@ def test_scratch_folders_are_new_and_shared(spark):
         scratch(Session(None, "spark://cluster"), "x")
     assert "gridspan-app-1-" in scratch(Session(None, "local[2]"), "x")
     assert "/gridspan/x-" in scratch(spark, "x")
+
+
+def test_register_counts_without_reading_the_table(spark, store):
+    """The sum over dates equals a count of the table, whatever was written how."""
+    def counted():
+        assert store.date_counts(TABLE).agg(F.sum("row_count")).first()[0] == store.read(TABLE).count()
+        plan = store.date_counts(TABLE)._jdf.queryExecution().toString()
+        assert store.path(TABLE) + "/" not in plan.replace(store.path(schemas.DATE_COUNTS), "")
+
+    day = F.expr("date_add(DATE '2025-01-01', CAST(id % 5 AS INT))").alias("Date")
+    rows = spark.range(50).select(day, "id")
+    store.replace_table(rows, TABLE)
+    store.append_register(TABLE, INSTANT)
+    counted()
+    for i, batch in enumerate([rows.filter("id < 13"), rows.filter("id < 13"), rows.filter("id < 0"), rows.filter("id % 5 = 4")]):
+        store.upsert(batch, TABLE, mode="all_dates_in_batch", registered=True)
+        store.append_register(TABLE, INSTANT, f"write-{max(i, 1)}", batch.select("Date"))
+        counted()
+    store.upsert(rows.filter("id < 7"), TABLE, mode="all_dates_in_batch")  # registered by nobody
+    newest = rows.filter("id % 5 = 4")
+    store.upsert(newest, TABLE, mode="all_dates_in_batch", registered=True)
+    store.append_register(TABLE, INSTANT, "later", newest.select("Date"))
+    counted()
+    store.replace_table(rows.filter("id < 3"), TABLE)
+    store.append_register(TABLE, INSTANT, "last", rows.select("Date"))
+    counted()
