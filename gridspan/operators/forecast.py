@@ -9,6 +9,9 @@ unknown shocks. Both fits need only inner products of lagged copies of d, and
 where C[k] is the sum of d[s] * d[s-k] over the whole series. So the data are read
 once: chunks of a series yield partial sums C[0..K] plus the K values at either end,
 sums add up per series, and what is left per series is one small linear system.
+
+With few AR terms and no MA terms the products of lags are summed as they are, by built-in
+functions; blocks of series are then solved at once.
 """
 
 from __future__ import annotations
@@ -22,11 +25,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspan.operators.ordering import with_halo
+from gridspan.operators.ordering import positioned_lags, with_halo
 
 STEPS_PER_FRAME = 1024
+#: Most AR terms whose products are summed one by one.
+FEW_TERMS = 8
 SERIES_PER_BLOCK = 256
 WORST_CONDITION = 1e13
+#: How a well-posed and an ill-posed system are solved.
+SOLVERS = ("normal_equations", "least_norm")
 
 # The grouped maps below carry this module's helpers with them, so executors need no copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -101,26 +108,30 @@ def _gram(c: np.ndarray, head: np.ndarray, tail: np.ndarray, depth: int) -> np.n
     return g
 
 
+def _ill_posed(a: np.ndarray) -> bool:
+    return not np.linalg.cond(a, 1) < WORST_CONDITION
+
+
 def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Normal equations; an ill-posed system (a constant or short series) gets least norm."""
-    if np.linalg.cond(a, 1) < WORST_CONDITION:
-        return np.linalg.solve(a, b)
-    return np.linalg.pinv(a, rcond=1 / WORST_CONDITION, hermitian=True) @ b
+    if _ill_posed(a):
+        return np.linalg.pinv(a, rcond=1 / WORST_CONDITION, hermitian=True) @ b
+    return np.linalg.solve(a, b)
 
 
 def fit_from_sums(
     c: np.ndarray, head: np.ndarray, tail: np.ndarray, n: int, p: int, q: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """AR coefficients, MA coefficients and the last q shocks of n differences.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
+    """AR coefficients, MA coefficients, the last q shocks of n differences, and the solver.
 
     `head` is d[1], d[2], ..; `tail` is d[n], d[n-1], ..
     """
     depth = _depth(p, q)
     if n <= depth:
-        return np.zeros(p), np.zeros(q), np.zeros(q)
+        return np.zeros(p), np.zeros(q), np.zeros(q), "none"
     g = _gram(c, head, tail, depth)
     if q == 0:
-        return _solve(g[1:, 1:], g[1:, 0]), np.zeros(0), np.zeros(0)
+        return _solve(g[1:, 1:], g[1:, 0]), np.zeros(0), np.zeros(0), SOLVERS[_ill_posed(g[1:, 1:])]
     long = p + q
     long_ar = _solve(g[1 : long + 1, 1 : long + 1], g[1 : long + 1, 0])
     whiten = np.concatenate([[1.0], -long_ar])
@@ -129,9 +140,10 @@ def fit_from_sums(
     mix[np.arange(1, p + 1), np.arange(p)] = 1.0
     for lag in range(1, q + 1):
         mix[lag : lag + long + 1, p + lag - 1] = whiten
-    both = _solve(mix.T @ g @ mix, mix.T @ g[:, 0])
+    normal = mix.T @ g @ mix
+    both = _solve(normal, mix.T @ g[:, 0])
     shocks = np.array([whiten @ tail[lag : lag + long + 1] for lag in range(q)])
-    return both[:p], both[p:], shocks
+    return both[:p], both[p:], shocks, SOLVERS[_ill_posed(normal)]
 
 
 def fit_arima(
@@ -146,9 +158,12 @@ def fit_arima(
 
     `df` holds one row per observation with its `pos` in the series and the length `n`.
     Columns: by, p, q, n (values seen), level (last value), ar, ma, recent (latest
-    differences, newest first), shocks (latest residuals, newest first) and status: a
-    series with no more differences than lags is 'too_short', its coefficients are 0.
+    differences, newest first), shocks (latest residuals, newest first), status and solver:
+    a series with no more differences than lags is 'too_short', its coefficients are 0, and
+    an ill-posed one gets the solution of least norm.
     """
+    if q == 0 and 0 < p <= FEW_TERMS:
+        return _fit_few(df, value, p, by, chunk)
     depth = _depth(p, q)
     sums = lagged_sums(df, value, depth, by, chunk)
     names = list(by)
@@ -162,20 +177,72 @@ def fit_arima(
 
         n = int(kinds["N"][0])
         tail = dense("T", 0, depth)
-        ar, ma, shocks = fit_from_sums(
+        ar, ma, shocks, solver = fit_from_sums(
             dense("C", 0, depth + 1), dense("H", 1, depth), tail, n - 1, p, q
         )
         row = {**dict(zip(names, key)), "p": p, "q": q, "n": n, "level": kinds["Y"][0]}
         row |= {"ar": ar, "ma": ma, "recent": tail[:p], "shocks": shocks}
         row["status"] = "fitted" if n - 1 > depth else "too_short"
+        row["solver"] = solver
         return pd.DataFrame([row])
 
+    return sums.groupBy(*by).applyInPandas(solve, _model_schema(df, by))
+
+
+def _model_schema(df: DataFrame, by: Sequence[str]) -> str:
     types = dict(df.dtypes)
-    schema = ", ".join(f"`{b}` {types[b]}" for b in by) + (
+    return ", ".join(f"`{b}` {types[b]}" for b in by) + (
         ", p INT, q INT, n BIGINT, level DOUBLE, ar ARRAY<DOUBLE>, ma ARRAY<DOUBLE>, "
-        "recent ARRAY<DOUBLE>, shocks ARRAY<DOUBLE>, status STRING"
+        "recent ARRAY<DOUBLE>, shocks ARRAY<DOUBLE>, status STRING, solver STRING"
     )
-    return sums.groupBy(*by).applyInPandas(solve, schema)
+
+
+def _fit_few(df: DataFrame, value: str, p: int, by: Sequence[str], chunk: int) -> DataFrame:
+    """AR models of few terms: one grouped sum per pair of lags, then a system per series."""
+    rows = df.select(*by, "pos", "n", F.col(value).cast("double").alias("_y"))
+    rows = positioned_lags(rows, "_y", p, by, chunk)
+    lags = ["diff", *[f"lag_{k}" for k in range(1, p + 1)]]
+    # A row without its last lag is not part of the regression.
+    usable = F.col(lags[-1]).isNotNull()
+    pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    products = [F.sum(F.when(usable, F.col(lags[i]) * F.col(lags[j]))) for i, j in pairs]
+    last = F.col("pos") == F.col("n")
+    sums = rows.groupBy(*by).agg(
+        F.max("n").alias("n"),
+        F.max(F.when(last, F.col("_y"))).alias("level"),
+        F.array(*[F.max(F.when(last, F.col(c))) for c in lags[:p]]).alias("recent"),
+        F.array(*products).alias("g"),
+    )
+    names = list(by)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            g = np.zeros((len(pdf), p + 1, p + 1))
+            values = np.array([np.asarray(x, float) for x in pdf["g"]]).reshape(len(pdf), len(pairs))
+            for k, (i, j) in enumerate(pairs):
+                g[:, i, j] = g[:, j, i] = values[:, k]
+            fitted = pdf["n"].to_numpy() - 1 > p
+            g[~fitted] = np.eye(p + 1)
+            a, b = g[:, 1:, 1:], g[:, 1:, 0]
+            # A zero matrix has no inverse that its condition could be taken from.
+            singular = np.linalg.matrix_rank(a, hermitian=True) < p
+            ill = singular.copy()
+            ill[~singular] = ~(np.linalg.cond(a[~singular], 1) < WORST_CONDITION)
+            ar = np.zeros((len(pdf), p))
+            ar[~ill] = np.linalg.solve(a[~ill], b[~ill][..., None])[..., 0]
+            inverse = np.linalg.pinv(a[ill], rcond=1 / WORST_CONDITION, hermitian=True)
+            ar[ill] = (inverse @ b[ill][..., None])[..., 0]
+            ar[~fitted] = 0.0
+            recent = [np.nan_to_num(np.asarray(x, float)) for x in pdf["recent"]]
+            out = pdf[names].copy()
+            out["p"], out["q"], out["n"], out["level"] = p, 0, pdf["n"], pdf["level"]
+            out["ar"], out["ma"] = list(ar), [[]] * len(pdf)
+            out["recent"], out["shocks"] = recent, [[]] * len(pdf)
+            out["status"] = np.where(fitted, "fitted", "too_short")
+            out["solver"] = np.where(fitted, np.where(ill, SOLVERS[1], SOLVERS[0]), "none")
+            yield out
+
+    return sums.mapInPandas(solve, _model_schema(df, by))
 
 
 def coefficients(models: DataFrame, by: Sequence[str]) -> DataFrame:

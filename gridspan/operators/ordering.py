@@ -1,50 +1,50 @@
 """Ordered access without a single-task sort or window.
 
-A row's position in its series is its rank inside a calendar bucket plus the number
-of rows in earlier buckets. Only the bucket counts, one row per series and bucket, see
-a window over the whole series; the rows are ranked bucket by bucket in parallel.
+Rows are sorted across tasks by ranges of series, order and a number that tells equal keys
+apart, so each task has its share of the rows whatever series or time holds most of them. A
+row's position is its place in its range plus the rows of its series in earlier ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspan.schemas import TRAIN_SHARE
+from gridspan.session import materialize
 
 
-def with_position(
-    df: DataFrame,
-    order: Sequence[str],
-    by: Sequence[str] = (),
-    bucket: Column | None = None,
-) -> DataFrame:
+def in_ranges(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """A stored copy of `df`, sorted across tasks; `_id` ascends and its upper bits are the task."""
+    keys = [*[F.col(b) for b in by], *[F.asc_nulls_last(c) for c in order], F.col("_tie")]
+    rows = df.withColumn("_tie", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    return materialize(rows.withColumn("_id", F.monotonically_increasing_id()), "ranges")
+
+
+def with_position(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Adds `pos`, 1-based in `order` within `by`, and `n`, the series length.
 
-    `bucket` must rise with the first order column; by default it is its date. A series
-    with very many rows per date needs a finer bucket. NULL times come last.
+    NULL times come last; rows with equal keys are in any order. The rows are written once,
+    as their places in the ranges have to stay what they are.
     """
-    bucket = F.to_date(order[0]) if bucket is None else bucket
     # One struct key, because inside a struct NULLs are equal: no row is lost in the join.
-    rows = df.withColumn("_key", F.struct(*by, bucket.alias("_bucket")))
+    key = F.struct(*by, F.shiftright("_id", 33).alias("_task"))
+    rows = in_ranges(df, order, by).withColumn("_key", key)
 
-    sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"))
-    series = Window.partitionBy(*[f"_key.{b}" for b in by])
-    earlier = series.orderBy(F.asc_nulls_last("_key._bucket")).rowsBetween(
-        Window.unboundedPreceding, -1
+    parts = rows.groupBy("_key").agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size")
     )
-    offsets = sizes.select(
-        "_key",
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_size").over(series).alias("n"),
+    series = Window.partitionBy(*[f"_key.{b}" for b in by])
+    earlier = series.orderBy("_key._task").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    shifts = parts.select(
+        "_key", (before - F.col("_first") + 1).alias("_shift"), F.sum("_size").over(series).alias("n")
     )
-
-    in_bucket = Window.partitionBy("_key").orderBy(*[F.asc_nulls_last(c) for c in order])
-    ranked = rows.withColumn("_rank", F.row_number().over(in_bucket))
-    return ranked.join(offsets, "_key").select(
-        *df.columns, (F.col("_offset") + F.col("_rank")).alias("pos"), "n"
+    return rows.join(shifts, "_key").select(
+        *df.columns, (F.col("_id") + F.col("_shift")).alias("pos"), "n"
     )
 
 
@@ -72,10 +72,9 @@ def time_split(
     order: Sequence[str],
     by: Sequence[str] = (),
     share: float = TRAIN_SHARE,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """Marks the first int(n * share) rows of each series in time order as train."""
-    positioned = with_position(df, order, by, bucket)
+    positioned = with_position(df, order, by)
     cut = F.floor(F.col("n") * F.lit(share))
     return positioned.withColumn("train_size", cut).withColumn("is_train", F.col("pos") <= cut)
 
@@ -87,10 +86,16 @@ def lag_features(
     lags: int,
     by: Sequence[str] = (),
     chunk: int = 4096,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """Adds the first difference `diff` of `value` and its lags `lag_1`..`lag_<lags>`."""
-    rows = with_halo(with_position(df, order, by, bucket), lags + 1, by, chunk)
+    return positioned_lags(with_position(df, order, by), value, lags, by, chunk)
+
+
+def positioned_lags(
+    rows: DataFrame, value: str, lags: int, by: Sequence[str] = (), chunk: int = 4096
+) -> DataFrame:
+    """`lag_features` of rows that have their position already."""
+    rows = with_halo(rows, lags + 1, by, chunk)
     past = Window.partitionBy(*by, "_chunk").orderBy("pos")
     rows = rows.withColumn("diff", F.col(value) - F.lag(value).over(past))
     rows = rows.select(

@@ -464,6 +464,14 @@ FROM ({_ZONAL_ITEMS}) UNPIVOT INCLUDE NULLS ("Value" FOR "Zone" IN ({_ZONE_LIST}
 """
 
 
+ORACLE["wide_to_long_missing_id"] = f"""
+SELECT "Date", "Ontario_Demand", "Zone_Total", "Zone", "Value",
+  'the wide table lacks [''Diff'', ''Hour'', ''Modified_DT'']' AS refused
+FROM ({_ZONAL_ITEMS}) UNPIVOT INCLUDE NULLS ("Value" FOR "Zone" IN ({_ZONE_LIST}))
+"""
+ORACLE["demand_validated"] = f"""
+SELECT *, {STAMP_DATE} AS "Modified_DT", 'no table to check; hour_range failed on Hour' AS stopped FROM ({_DAILY})
+"""
 ORACLE["zonal_items_to_primary"] = _zonal_long('"Zone_Total"')
 ORACLE["stream_primary_from_register"] = _zonal_long(
     '"Zone_Total" + CASE year("Date") WHEN 1996 THEN 2000 WHEN 1997 THEN 3000 ELSE 1000 END'

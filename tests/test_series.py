@@ -236,3 +236,49 @@ def test_head_tail(spark):
     assert sorted(r.y for r in rows.filter("part = 'head'").collect()) == [0, 1, 2, 3, 4]
     assert sorted(r.y for r in rows.filter("part = 'tail'").collect()) == [15, 16, 17, 18, 19]
     assert "TakeOrderedAndProject" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_time_with_most_rows_is_spread_over_tasks(spark):
+    """Nine tenths of the rows have one time and one series; no range holds much more than its share."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 10 != 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("series"),
+        F.when(F.col("id") % 10 != 0, F.lit(START)).otherwise(F.lit(START) + F.make_dt_interval(F.col("id").cast("int"))).alias("timestamp"),
+        F.col("id").cast("double").alias("y"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranges = ordering.in_ranges(df, ["timestamp"], ["series"])
+        sizes = [r["count"] for r in ranges.groupBy(F.shiftright("_id", 33)).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    rows = ordering.with_position(df, ["timestamp"], ["series"])
+    n = {r["series"]: r["count"] for r in df.groupBy("series").count().collect()}
+    got = rows.groupBy("series").agg(F.count_distinct("pos").alias("d"), F.min("pos"), F.max("pos"), F.max("n")).collect()
+    assert {r["series"]: tuple(r)[1:] for r in got} == {s: (c, 1, c, c) for s, c in n.items()}
+
+
+@pytest.mark.parametrize("p", [1, 3, 8])
+def test_few_terms_by_built_in_sums(spark, p):
+    """Equal to least squares on each series' own lags; odd series among them."""
+    cells, want = {}, {}
+    for i, values in enumerate([noisy(90, 1), noisy(40, 2), np.full(30, 7.0), np.arange(30.0), noisy(p + 1, 4), noisy(p + 2, 5), [3.0]]):
+        cells[f"s{i}"] = np.asarray(values, float)
+        d = np.diff(cells[f"s{i}"])
+        x = np.array([d[t - p : t][::-1] for t in range(p, len(d))]).reshape(-1, p)
+        want[f"s{i}"] = np.linalg.lstsq(x, d[p:], rcond=None)[0] if len(x) else np.zeros(p)
+    frame = None
+    for name, values in cells.items():
+        own = series(spark, values, name)
+        frame = own if frame is None else frame.unionByName(own)
+    models = fc.fit_arima(positions(frame), "y", p, 0, ["series"], chunk=16)
+    plan = models._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "MapInPandas" in plan and "SortAggregate" not in plan
+    for r in models.collect():
+        values = cells[r.series]
+        assert r.n == len(values) and r.level == values[-1]
+        assert r.status == ("fitted" if len(values) - 1 > p else "too_short")
+        np.testing.assert_allclose(r.recent, (list(np.diff(values)[::-1]) + [0.0] * p)[:p])
+        if r.status == "fitted" and len(values) - 1 >= 2 * p:
+            np.testing.assert_allclose(r.ar, want[r.series], atol=1e-6)
+        assert r.solver == ("none" if r.status == "too_short" else "least_norm" if r.series in ("s2", "s3") and (p > 1 or r.series == "s2") else r.solver)
