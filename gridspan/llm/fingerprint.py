@@ -4,25 +4,29 @@ A text's bytes are parsed as LZ78 does: each phrase is the longest one seen befo
 more byte. Texts that compress each other well share phrases, so the likeness of two texts
 is the similarity of their phrase sets, estimated by 64 minimum hashes of 16 bits each.
 
-To hold each document against the next one by id, rows are dealt out by id ranges, each
-with a copy of the following range's first row, and read in order by one streaming task.
-The text crosses the network once; the driver sees one id per range.
+To hold each document against the next one by id, rows are dealt out by ranges of id and
+text hash, each with a copy of the following range's first row, and read in order by one
+streaming task. An id that holds many rows is cut by the hashes of its texts, and a text that
+holds many of an id's rows is dealt at random to several ranges, as its rows are alike. The
+text crosses the network once; the driver sees some ids and hashes per range.
 
 A missing text is an empty one; an empty text's fingerprint is empty, like another empty one
-(likeness 1) and unlike all others (0). The next row is the next in order of id, then text,
-missing ones first; the first follows the last, and a single row follows itself. Rows that
-repeat an id are next to each other. Only doc_id and text of the input are read.
+(likeness 1) and unlike all others (0). The next row is the next in order of id, then of the
+text's hash, missing ids first; the first follows the last, and a single row follows itself.
+Rows that repeat an id are next to each other. Only doc_id and text of the input are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspan.llm.frames import slices
@@ -31,6 +35,10 @@ from gridspan.llm.words import mixed, span_hashes
 LANES = 64
 #: Quantile sketch entries kept per range.
 SKETCH = 20
+#: Equal rows for each range that they are dealt to; so many leave none empty.
+PIECE = 64
+#: Stands for a missing id, before all others.
+NO_ID = -(1 << 63)
 
 _seeds = np.random.default_rng(1978)
 _XOR = _seeds.integers(0, 1 << 32, LANES, dtype=np.uint32)
@@ -148,39 +156,90 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids, texts, copies = ids[-1:], texts[-1:], copies[-1:]
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """First keys (id, text hash) of all ranges but the first; a key that repeats has several."""
+
+    ids: np.ndarray
+    hashes: np.ndarray
+
+    def places(self, ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each key the first and the last range it may lie in."""
+        last = np.searchsorted(self.ids, ids, side="right")
+        first = last.copy()
+        for own in np.unique(self.ids):
+            at = np.flatnonzero(ids == own)
+            if len(at):
+                start, end = (np.searchsorted(self.ids, own, side=s) for s in ("left", "right"))
+                firsts = self.hashes[start:end]
+                last[at] = start + np.searchsorted(firsts, hashes[at], side="right")
+                least = start + np.searchsorted(firsts, hashes[at], side="left")
+                # A key that is a first key once begins its range; one that is so several
+                # times is dealt to all of these.
+                first[at] = np.where(least < last[at], least + 1, last[at])
+        return first, last
+
+
+def ranges_of(keys: DataFrame, number: int) -> Ranges:
+    """About even ranges of `keys` (id, h), out of quantiles and of counts of frequent keys."""
+    at = [i / number for i in range(1, number)]
+    if not at:
+        return Ranges(np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def quantiles(column: str) -> Column:
+        return F.percentile_approx(column, at, SKETCH * number).alias("q")
+
+    ids = Counter(keys.agg(quantiles("id")).first()["q"] or [])
+    hot = [i for i, n in ids.items() if n > 1]
+    firsts = Counter((i, NO_ID) for i in ids)
+    for r in keys.filter(F.col("id").isin(hot)).groupBy("id").agg(quantiles("h")).collect():
+        own = [r["q"][j * number // ids[r["id"]] - 1] for j in range(1, ids[r["id"]])]
+        firsts.update((r["id"], h) for h in own)
+    same = [k for k, n in firsts.items() if n > 1]
+    if same:
+        wanted = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(h).alias("h")) for i, h in same])
+        found = keys.filter(F.array_contains(wanted, F.struct("id", "h")))
+        counts = {(r["id"], r["h"]): r["count"] for r in found.groupBy("id", "h").count().collect()}
+        for k in same:
+            firsts[k] = max(1, min(firsts[k], counts.get(k, 0) // PIECE))
+    ordered = sorted(firsts.elements())
+    return Ranges(*(np.array([k[j] for k in ordered], np.int64) for j in (0, 1)))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every row's text and of its edited text, and how like they are."""
     spark = docs.sparkSession
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ids = docs.select("doc_id")
-    bounds = ids.agg(
-        F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], SKETCH * ranges)
-    ).first()[0]
-    bounds = np.unique(np.array(bounds if bounds and ranges > 1 else [], np.int64))
-
-    @F.pandas_udf("int")
-    def range_of(doc_id: pd.Series) -> pd.Series:
-        place = np.searchsorted(bounds, doc_id.fillna(0).astype("int64"), side="right")
-        return pd.Series(np.where(doc_id.isna(), 0, place)).astype("int32")
-
-    placed = docs.select("doc_id", "text", range_of("doc_id").alias("range"))
+    number = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    own_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
+    own_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")
+    keys = docs.select(own_id, own_hash)
+    ranges = ranges_of(keys, number)
+
+    @F.pandas_udf("struct<first: int, last: int>")
+    def place(ids: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+        first, last = ranges.places(ids.to_numpy(np.int64), hashes.to_numpy(np.int64))
+        return pd.DataFrame({"first": first.astype(np.int32), "last": last.astype(np.int32)})
+
+    spread = F.floor(F.rand() * (F.col("p.last") - F.col("p.first") + 1)).cast("int")
+    placed = docs.select("doc_id", own_id, own_hash, "text").withColumn("p", place("id", "h"))
+    placed = placed.withColumn("range", F.col("p.first") + spread).select("doc_id", "id", "h", "text", "range")
     heads = (
-        ids.select("doc_id", range_of("doc_id").alias("range")).groupBy("range")
-        .agg(F.min("doc_id").alias("head"), F.count(F.when(F.isnull("doc_id"), 1)).alias("missing"))
-        .orderBy("range").collect()
+        keys.withColumn("p", place("id", "h"))
+        .select("id", "h", F.explode(F.sequence("p.first", "p.last")).alias("range")).groupBy("range")
+        .agg(F.min(F.struct("id", "h")).alias("head")).orderBy("range").collect()
     )
-    first = [None if r["missing"] else r["head"] for r in heads]
-    before = [heads[i - 1]["range"] for i in range(len(heads))]
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    copies = spark.createDataFrame(list(zip(first, before)), f"head {id_type}, to int")
-    copied = docs.select("doc_id", "text").join(
-        F.broadcast(copies), F.col("doc_id").eqNullSafe(F.col("head"))
+    copies = spark.createDataFrame(
+        [(*r["head"], heads[i - 1]["range"]) for i, r in enumerate(heads)], "id long, h long, to int"
     )
+    copied = docs.select("doc_id", own_id, own_hash, "text").join(F.broadcast(copies), ["id", "h"])
+    copied = copied.groupBy("id", "h", "to").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
     rows = placed.withColumn("copy", F.lit(False)).unionByName(
-        copied.select("doc_id", "text", F.col("to").alias("range"), F.lit(True).alias("copy"))
+        copied.select("doc_id", "id", "h", "text", F.col("to").alias("range"), F.lit(True).alias("copy"))
     )
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-    dealt = rows.repartitionById(ranges, "range").sortWithinPartitions("range", "copy", "doc_id", "text")
+    dealt = rows.repartitionById(max(1, len(ranges.ids) + 1), "range")
+    dealt = dealt.sortWithinPartitions("range", "copy", "id", "h", "text")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     return dealt.select("doc_id", "text", "copy").mapInArrow(
         _walk,
         f"doc_id {id_type}, n_chars long, edited_sha256 string, fingerprint string, "
