@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +25,37 @@ def build_session(master: str = "local[*]", partitions: int | None = None) -> Sp
     )
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+PACKAGE = Path(__file__).resolve().parent
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
+@cache
+def _shipped(application: str) -> str:
+    folder = tempfile.mkdtemp(prefix=f"gridspan-{application}-")
+    return shutil.make_archive(f"{folder}/gridspan", "zip", PACKAGE.parent, PACKAGE.name)
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package, wherever the driver was started.
+
+    Workers on the driver's machine get its folder in their path. Others are sent an archive
+    once, which Spark hands out from the driver, unless the package is installed there.
+    """
+    context = spark.sparkContext
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if str(PACKAGE.parent) not in paths:
+        paths = [p for p in [*paths, str(PACKAGE.parent)] if p]
+        context.environment["PYTHONPATH"] = os.pathsep.join(paths)
+        if not _is_local(spark):
+            context.addPyFile(_shipped(context.applicationId))
 
 
 @cache
@@ -39,7 +72,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
+        if not _is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder(context.applicationId)
     return f"{base.rstrip('/')}/gridspan/{label}-{uuid.uuid4().hex}"
