@@ -10,13 +10,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridspan.session import materialize
+from gridspan.session import materialize, ship
 
 #: Bytes of text that a task turns into numpy arrays at a time; a longer text is one slice.
 SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
