@@ -10,8 +10,9 @@ far below the threshold goes no further. Links are confirmed on full sets.
 
 A group of n near copies isn't expanded into n² pairs: first each class is held only
 against the smallest member of one of its buckets, the one most like it, then against the
-smallest members of its other buckets that aren't connected with it by then. Last, members
-outside a bucket's largest component are compared with all its members of other components,
+smallest members of its other buckets that aren't connected with it by then. While buckets
+have many members outside their largest component, these are held against one of its members,
+a different one each turn. Last, members outside a bucket's largest component are compared with all its members of other components,
 inside the join; members of the largest one are not tried with each other. So no link between
 components is passed over, save by chance: a pair at 85 % similarity shares no band with
 probability 2e-8 (at 80 %, 3e-6), and signatures are cut off 5.5 standard deviations below
@@ -48,6 +49,9 @@ SIGNATURE = [f"s{i}" for i in range((1 + BITS) * PLANE)]
 #: Share of unlike minima whose bits agree by chance.
 CHANCE = 2.0**-BITS
 DEVIATIONS = 5.5
+#: Turns in which members outside a bucket's largest component are held against one of its
+#: members, as long as trying all of them would take more than FEW pairs a member.
+TURNS, FEW = 10, 4
 #: Ids sent to all tasks, eight bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -201,6 +205,20 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return checked.filter("linked").select("a", "b")
 
 
+def _split(placed: DataFrame) -> DataFrame:
+    """Stored (key, largest, total, rest) of buckets with several components.
+
+    `rest` members are outside the largest component.
+    """
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    top = F.max(F.struct("n", "root"))
+    buckets = sizes.groupBy("key").agg(
+        top["root"].alias("largest"), F.sum("n").alias("total"),
+        (F.sum("n") - top["n"]).alias("rest"),
+    )
+    return materialize(buckets.filter("rest > 0"), "split-buckets")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of `docs`.
 
@@ -250,11 +268,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # Members of a bucket that aren't connected yet: of two components, one isn't the largest.
     placed = crowded.select("key", "rep", F.col("rep").alias("root"))
     placed = materialize(relabelled(placed, "root", roots), "placed")
-    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots")
-    )
-    split = materialize(largest.filter("roots > 1").select("key", "largest"), "split-buckets")
+    for turn in range(TURNS):
+        split = _split(placed)
+        work, members = split.agg(F.sum(F.col("rest") * F.col("total")), F.sum("total")).first()
+        if (work or 0) <= FEW * (members or 0):
+            break
+        # Each against one member of its bucket's largest component, another one each turn.
+        unlike = placed.join(split, "key")
+        drawn = unlike.filter("root = largest").groupBy("key").agg(
+            F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("center")
+        )
+        star = unlike.filter("root <> largest").select("key", "rep").join(drawn, "key")
+        star = star.select("rep", "center").distinct().alias("p")
+        star = star.join(features.alias("x"), F.col("p.rep") == F.col("x.rep"))
+        star = star.join(features.alias("y"), (F.col("p.center") == F.col("y.rep")) & plausible("x", "y", percent))
+        star = star.select(F.col("p.rep").alias("a"), F.col("p.center").alias("b"))
+        more = confirmed(docs, materialize(star, "later-stars"), percent)
+        later = components(relabelled(relabelled(more, "a", roots), "b", roots))
+        roots = composed(roots, later)
+        placed = materialize(relabelled(placed, "root", later), "placed")
+    split = _split(placed).select("key", "largest")
     unlike = materialize(placed.join(split, "key").join(features, "rep"), "unlike-members")
     x, y = unlike.filter("root <> largest").alias("x"), unlike.alias("y")
     pairs = x.join(

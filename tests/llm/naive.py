@@ -1,0 +1,136 @@
+"""Models and stages applied row by row, for tests against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import defaultdict
+
+import numpy as np
+
+from gridspan.llm import language
+from gridspan.llm.statistics import FEATURES
+from test_minhash import brute as components
+from test_rules import WORD, counts
+
+
+def statistics(text):
+    """FEATURES of one text by their definitions."""
+    text = text or ""
+    n, chars, symbols, dup_lines, repeats = counts(text)
+    own, lines = re.findall(WORD, text), text.split("\n")
+    values = {
+        "n_words": n, "mean_word": chars / max(n, 1), "symbol_share": symbols / max(chars, 1),
+        "dup_line_share": dup_lines / max(len(lines), 1), "repeat_share": repeats / max(n, 1),
+        "distinct_share": len(set(own)) / max(n, 1),
+        "upper_share": len(re.findall("[A-Z]", text)) / max(chars, 1),
+    }
+    return {name: values[name] for name in FEATURES}
+
+
+def holds(rule, values):
+    return all(values[n] <= t if s == "<=" else values[n] > t for n, s, t in rule)
+
+
+def list_keeps(found, text):
+    """Base limits first, then the rules in their order."""
+    n, _, _, _, repeats = counts(text or "")
+    if n < 20 or 100 * repeats > 30 * n:
+        return False
+    values = statistics(text)
+    return not any(holds(rule, values) for rule in found.rules)
+
+
+def ensemble_score(model, text):
+    values = statistics(text)
+    total = model.intercept + sum(w for rule, w in model.rules if holds(rule, values))
+    return 1 / (1 + math.exp(-total))
+
+
+def language_of(network, text):
+    """(language, probability) by convolving every window of the whole text, filter by filter."""
+    if network is None or not any(c.isalpha() for c in text or ""):
+        return language.UNKNOWN, 0.0
+    data = text.encode()
+    symbols = [int(language.FOLD[b]) for b in data]
+    symbols += [0] * (-len(symbols) % language.WINDOW)
+    total, weights = np.zeros(len(network.languages)), 0.0
+    for a in range(0, len(symbols), language.WINDOW):
+        window = symbols[a : a + language.WINDOW]
+        x = network.vectors[window].astype(float)
+        pooled = []
+        for filters, shift in zip(network.filters, network.shifts):
+            width = len(filters)
+            kernel = filters.reshape(-1, filters.shape[-1]).astype(float)
+            places = [x[i : i + width].ravel() @ kernel for i in range(language.WINDOW - width + 1)]
+            pooled.append(np.maximum(np.max(places, axis=0) + shift, 0))
+        scores = np.concatenate(pooled) @ network.weights + network.offset
+        logs = scores - scores.max() - np.log(np.exp(scores - scores.max()).sum())
+        letters = sum(s > 0 for s in window)
+        total, weights = total + letters * logs, weights + letters
+    mean = total / weights if weights else total
+    mean = mean - mean.max() - np.log(np.exp(mean - mean.max()).sum())
+    return network.languages[int(mean.argmax())], float(np.exp(mean.max()))
+
+
+def one_of_each(rows, percent):
+    """Places of the rows that stay, one of each component of near-duplicates: the smallest id."""
+    best = {}
+    for k, _, component, _ in map(eval, components([(k, r[1]) for k, r in enumerate(rows)], percent)):
+        place = (rows[k][0] is None, rows[k][0] or 0, k)
+        best[component] = min(best.get(component, place), place)
+    return sorted(p[2] for p in best.values())
+
+
+def _water(given, children):
+    """Budgets of a family (name -> (capacity, weight)) by repeated hand-outs."""
+    left, out, open_ = given, {}, dict(children)
+    while open_:
+        weights = sum(w for _, w in open_.values())
+        shut = [n for n, (c, w) in open_.items() if c * weights <= w * left]
+        if not shut:
+            break
+        name = min(shut, key=lambda n: open_[n][0] / open_[n][1])
+        out[name] = open_.pop(name)[0]
+        left -= out[name]
+    if open_:
+        weights = sum(w for _, w in open_.values())
+        own = {n: w * left // weights for n, (_, w) in open_.items()}
+        for name in sorted(own)[: left - sum(own.values())]:
+            own[name] += 1
+        out |= own
+    return out
+
+
+def drawn(rows, mixture):
+    """Places of the rows (id, text, lang, source) that a mixture reads, once for each epoch.
+
+    Ids must be unique.
+    """
+    leaves = defaultdict(list)
+    for k, (i, text, lang, source) in enumerate(rows):
+        number = re.search("[0-9]{1,6}$", source or "")
+        domain = ["web", "books", "forum"][int(number[0]) % 3] if number else "other"
+        leaves[(domain, lang or "", source or "")].append((k, i, len(re.findall(WORD, text or ""))))
+    tokens = {leaf: sum(n for *_, n in own) for leaf, own in leaves.items()}
+    given = {(): sum(tokens.values()) * mixture.percent // 100}
+    for depth, known in enumerate([mixture.domains, mixture.languages, {}]):
+        families = defaultdict(dict)
+        for leaf, n in tokens.items():
+            name = leaf[depth]
+            capacity, weight = families[leaf[:depth]].get(name, (0, known.get(name, mixture.default)))
+            families[leaf[:depth]][name] = (capacity + n * mixture.epochs, weight)
+        given = {(*parent, name): budget for parent, own in families.items()
+                 for name, budget in _water(given[parent], own).items()}
+    out = []
+    for leaf, own in leaves.items():
+        left = given[leaf]
+        for epoch in range(mixture.epochs if tokens[leaf] else 0):
+            whole = tokens[leaf] <= left
+            mark = {k: hashlib.md5(f"{mixture.seed}:{epoch}:{i}:0".encode()).hexdigest() for k, i, _ in own}
+            for k, _, n in sorted(own, key=lambda r: mark[r[0]]):
+                if whole or left > 0:
+                    out.append(k)
+                    left -= min(n, left)
+    return sorted(out)

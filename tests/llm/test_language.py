@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import naive
 import numpy as np
 
 from gridspan.llm import language
@@ -106,3 +107,14 @@ def test_a_repeated_id_gives_windows_of_one_text(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
     language.learned(docs)
     assert 40 <= seen["n"] <= 40 * language.PER_TEXT and seen["of"] == sorted(ENDINGS)
+
+
+def test_scores_equal_naive_convolutions_of_whole_texts(spark):
+    rows = [*corpus(150, 9), (900, "été " * 400 + "ung " * 300, "aa"), (901, "1 2", "bb"), (902, "ß", "cc"), (903, None, "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.learned(docs, ~language.held_out(4, 2))
+    got = {r.doc_id: r for r in language.identified(docs).collect()}
+    for i, text, _ in rows:
+        name, score = naive.language_of(network, text)
+        assert abs(got[i].score - score) < 1e-3
+        assert got[i].lang_pred == name or abs(score - 1 / 2) < 0.01

@@ -139,3 +139,22 @@ def test_query_equals_its_sql(spark):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = minhash.near_duplicates(docs)
     assert oracle.compare(found, oracle.connect(sf_dir), minhash.sql()) == ""
+
+
+def test_a_group_unlike_its_smallest_member(spark, monkeypatch):
+    """Near copies of a text, each like most others, but few like the one with the smallest id."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(600)]
+    rows = []
+    for i in range(250):
+        text = list(base)
+        for at in rng.sample(range(600), 20 if i == 0 else 4):
+            text[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(text)))
+    tried = []
+    real = minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda d, pairs, p: tried.append(pairs.count()) or real(d, pairs, p))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(docs, 85).collect()
+    assert sorted(str(tuple(r)) for r in got) == brute(rows, 85)
+    assert sum(tried) < 12 * len(rows)

@@ -163,3 +163,18 @@ def test_a_repeated_id_is_one_labelled_row(spark):
     assert len(x) == 31 and good.sum() == 15
     again = rules.labelled(docs.repartition(3), known, 100).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_ensemble_scores_equal_rules_applied_row_by_row(spark):
+    import naive
+
+    rows, marks = noisy(400, 8)
+    rows += [(5000, None), (5001, ""), (5002, "Same line\n" * 40), (5003, "A # b " * 900)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), labels(spark, marks)
+    model = quality.learn(*rules.sample(docs, known, quality.SAMPLE, ~quality.held_out(5, 0)))
+    assert model.rules
+    got = {r.doc_id: r.score for r in quality.score(docs, known).collect()}
+    assert all(abs(got[i] - naive.ensemble_score(model, text)) < 1e-12 for i, text in rows)
+    found = rules.learn(*rules.sample(docs, known, rules.SAMPLE))
+    kept = {r.doc_id: r.kept for r in rules.judged(docs, known).collect()}
+    assert all(kept[i] == naive.list_keeps(found, text) for i, text in rows)
