@@ -1,20 +1,23 @@
 """Web archives: pages written as WARC records, read back, and indexed in global order.
 
-Writing. One record per page, gzip-compressed files below the shared folder, by Spark's text
-sink: the records are its lines and the empty lines between records its line separator. Of
+Writing. One record per page, each a gzip member of its own, so that it can be read from its
+place in the file alone. Tasks compress the records and Spark's text sink writes them as its
+lines; the line separator is an empty gzip member, which leaves the file a whole archive. Of
 pages with equal payloads of at least 1000 bytes the one with the largest id is archived as
 response; the others are revisits, which keep the HTTP header only. So equal payloads are
 found by digest, never by gathering pages.
 
-Reading. Files are streamed and cut at the marks where records begin; what the mark cut
-inside a payload is put together again by the record's own length. Payloads are held
-against their digest.
+Reading. Files are cut at the separators, by several tasks each; a record says at which byte
+of its file it stands. Payloads are held against their digest. `fetch` reads the captures of
+some index rows again, out of their files only.
 
-Index. Each reading task writes runs of captures sorted by URL key and timestamp. The runs
-are dealt to key ranges (a URL with many captures falls into many ranges, as time and id
-belong to the key), and each range merges its runs with a loser tree. Ranges in order give
-the capture history of all URLs; a capture's position in it is its place plus the sizes of
-the earlier ranges.
+Index. Each reading task leaves one run of captures sorted by URL key and timestamp, stored
+in blocks. Blocks are cut at the borders of key ranges (a URL with many captures falls into
+many ranges, as time, id and place in the archive belong to the key). A range's task gets the blocks of all runs in
+order of their first keys and merges them with a loser tree: whatever comes before the next
+block's first key can go out, so it holds no more than a block or two of each run. Ranges in
+order give the capture history of all URLs; a capture's position in it is its place plus the
+sizes of the earlier ranges.
 
 A missing payload is an empty one and a missing url an empty one. Pages that repeat the
 largest id of their group are all responses. A page without an id is a revisit of its
@@ -26,6 +29,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,12 +44,19 @@ from gridspan.session import materialize, scratch
 LEAST_SHARED = 1000
 #: Digests sent to all tasks, some 100 bytes each; more are joined by a shuffle.
 BROADCAST_DIGESTS = 50_000
-#: Captures of a sorted run.
-RUN = 20_000
-#: Captures of a key range, which one task merges.
-RANGE_ROWS = 100_000
-
-_MARK, _BREAK = "WARC/1.0\r\n", "\r\n\r\n"
+#: Captures of a block of a sorted run, and of a batch that goes out.
+BLOCK, BATCH = 128, 10_000
+#: Captures of a key range, which one task merges, and keys drawn for each range's border.
+RANGE_ROWS, DRAWN = 100_000, 20
+#: Bytes of compressed records that a task holds at a time.
+HELD_BYTES = 1 << 24
+#: Fixed value: an empty gzip member.
+EMPTY = bytes([0x1F, 0x8B, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
+#: How the text sink and source are told of it.
+_LINES = {"lineSep": EMPTY.decode("latin-1"), "encoding": "ISO-8859-1"}
+_GZIP = 31
+
+_MARK, _BREAK, _PLACE = "WARC/1.0\r\n", "\r\n\r\n", "WARC-File-Offset"
 _URN = "urn:page:"
 
 
@@ -107,11 +119,27 @@ def _record() -> Column:
     )
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record with its place in the file that the task writes, compressed."""
+    at = 0
+    for batch in batches:
+        held, size = [], 0
+        for record in batch.column(0).cast(pa.binary()).to_pylist():
+            place = f"{_MARK}{_PLACE}: {at}\r\n".encode()
+            packer = zlib.compressobj(1, zlib.DEFLATED, _GZIP)
+            held.append(packer.compress(place + record[len(_MARK) :]) + packer.flush())
+            at += len(held[-1]) + len(EMPTY)
+            size += len(held[-1])
+            if size > HELD_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["member"])
+                held, size = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["member"])
+
+
 def write(pages: DataFrame, path: str) -> str:
     """Writes the pages' archives into a new folder."""
-    out = typed(pages).select(_record().alias("record"))
-    options = {"lineSep": _BREAK, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
-    out.write.options(**options).text(path)
+    members = typed(pages).select(_record().alias("record")).mapInArrow(_members, "member binary")
+    members.select(F.col("member").cast("string").alias("value")).write.options(**_LINES).text(path)
     return path
 
 
@@ -124,7 +152,7 @@ def _headers(text: str) -> dict[str, str]:
     return dict(x.split(": ", 1) for x in text.split("\r\n") if ": " in x)
 
 
-def _capture(head: bytes, block: bytes) -> tuple:
+def _capture(head: bytes, block: bytes, compressed: int, file: str) -> tuple:
     """A record's row, payload last."""
     header = _headers(head.decode())
     http, _, payload = block.partition(_BREAK.encode())
@@ -135,31 +163,38 @@ def _capture(head: bytes, block: bytes) -> tuple:
     return (
         _page(header["WARC-Record-ID"]), int(_headers(http.decode())["Content-Length"]), digest, kind,
         _page(header.get("WARC-Refers-To")), url_key(header["WARC-Target-URI"]),
-        header["WARC-Date"], payload if kind == "response" else None,
+        header["WARC-Date"], file, int(header[_PLACE]), compressed,
+        payload if kind == "response" else None,
     )
 
 
-def records(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
-    """(header, block) of each record, out of what stands between the marks."""
-    size = None
-    for piece in pieces:
-        if size is None:
-            head, _, block = piece.removeprefix(_MARK.encode()).partition(_BREAK.encode())
-            size = int(re.search(rb"(?m)^Content-Length: (\d+)\r?$", head + b"\r")[1])
-        else:  # the mark stood inside the block
-            block += (_BREAK + _MARK).encode() + piece
-        if len(block) >= size:
-            yield head, block[:size]
-            size = None
-    if size is not None:
+def records(pieces: Iterator[tuple[bytes, str]]) -> Iterator[tuple[bytes, bytes, int, str]]:
+    """(header, block, compressed size, file) of each record, out of compressed pieces."""
+    held, of = b"", None
+    for piece, file in pieces:
+        # A separator inside a member, which is all but impossible, has cut it in two.
+        held, of = (held + EMPTY + piece if held and of == file else piece), file
+        unpacker = zlib.decompressobj(_GZIP)
+        data = unpacker.decompress(held)
+        if not unpacker.eof:
+            continue
+        head, _, block = data.partition(_BREAK.encode())
+        size = int(re.search(rb"(?m)^Content-Length: (\d+)\r?$", head + b"\r")[1])
+        if len(block) != size:
+            raise ValueError("a record's block isn't as long as its header says")
+        yield head, block, len(held), file
+        held = b""
+    if held:
         raise ValueError("an archive ends inside a record")
 
 
 _COLUMNS = {
     "page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(),
     "record_type": pa.string(), "refers_to": pa.int64(), "url_key": pa.string(),
-    "captured": pa.string(), "payload": pa.binary(),
+    "captured": pa.string(), "file": pa.string(), "file_offset": pa.int64(),
+    "compressed_bytes": pa.int64(), "payload": pa.binary(),
 }
+NAMES = list(_COLUMNS)[:-1]
 _TYPES = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
 
 
@@ -173,32 +208,56 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def order(row: tuple) -> tuple:
-    """URL key, time, id; a missing id comes first."""
-    return row[5], row[6], row[0] is not None, row[0] or 0
+    """URL key, time, id, and place, which tells repeated pages apart; a missing id comes first."""
+    return row[5], row[6], row[0] is not None, row[0] or 0, row[7], row[8]
 
 
 def _reader(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = (p for batch in batches for p in batch.column(0).cast(pa.binary()).to_pylist())
+        pieces = (
+            piece for batch in batches
+            for piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        )
         held, size = [], 0
-        for head, block in records(pieces):
-            held.append(_capture(head, block)[: len(names)])
+        for head, block, compressed, file in records(pieces):
+            row = _capture(head, block, compressed, file)
+            held.append(row[: len(names)])
             size += len(block) if "payload" in names else 0
-            if len(held) >= RUN or size > 1 << 24:
-                yield _batch(sorted(held, key=order), names)
+            if len(held) >= BATCH or size > HELD_BYTES:
+                yield _batch(held, names)
                 held, size = [], 0
-        yield _batch(sorted(held, key=order), names)
+        yield _batch(held, names)
 
     return run
 
 
-def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
-    """All captures of the archives below `path`, in sorted runs, with payloads if wanted."""
-    names = list(_COLUMNS) if payload else list(_COLUMNS)[:-1]
-    pieces = spark.read.option("lineSep", _BREAK + _MARK).schema("value string").text(path)
+def _scanned(spark: SparkSession, paths: str | list[str], names: list[str]) -> DataFrame:
+    pieces = spark.read.options(**_LINES).schema("value string").text(paths)
+    pieces = pieces.select(F.col("value").cast("binary").alias("v"), F.col("_metadata.file_path").alias("f"))
     return pieces.mapInArrow(_reader(names), _schema(names))
 
 
+def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
+    """All captures of the archives below `path`, with payloads if wanted."""
+    return _scanned(spark, path, [*NAMES, "payload"] if payload else NAMES)
+
+
+def fetch(captures: DataFrame, most: int = 10_000) -> DataFrame:
+    """`captures`, some rows of an index, with their payloads out of their files.
+
+    A revisit has none; its payload is that of the capture it refers to. The names of at most
+    `most` files reach the driver, more are an error.
+    """
+    files = [r[0] for r in captures.select("file").distinct().limit(most + 1).collect()]
+    if len(files) > most:
+        raise ValueError(f"captures of more than {most} files")
+    place = ["file", "file_offset"]
+    if not files:
+        return captures.withColumn("payload", F.lit(None).cast("binary"))
+    found = _scanned(captures.sparkSession, files, [*NAMES, "payload"]).select(*place, "payload")
+    return captures.join(found, place, "left")
+
+
 def loser_tree_merge(runs: list[list[tuple]]) -> Iterator[tuple]:
     """All rows of sorted runs in order; of equal rows those of the earlier run first."""
     k = len(runs)
@@ -235,46 +294,147 @@ def loser_tree_merge(runs: list[list[tuple]]) -> Iterator[tuple]:
         play(i)
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cuts the rows of a range into the runs they came in and merges these."""
-    names, runs = list(_COLUMNS)[:-1], []
+_ROWS = f"array<struct<{', '.join(f'{n}: {_TYPES[_COLUMNS[n]]}' for n in NAMES)}>>"
+#: A block, under the key of its first capture.
+_FIRST = ["url_key", "captured", "page_id", "file", "file_offset"]
+_BLOCKS = f"run int, {', '.join(f'{n} {_TYPES[_COLUMNS[n]]}' for n in _FIRST)}, captures {_ROWS}"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cuts a task's sorted captures, its run, into blocks."""
+    run = TaskContext.get().partitionId()
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if not runs or order(row) < order(runs[-1][-1]):
-                runs.append([])
-            runs[-1].append(row)
-    rows = list(loser_tree_merge(runs))
-    part = TaskContext.get().partitionId()
-    for a in range(0, len(rows), RUN):
-        batch = _batch(rows[a : a + RUN], names)
-        place = pa.array(range(a, a + len(batch)), pa.int64())
+        starts = list(range(0, len(batch), BLOCK))
+        rows = pa.StructArray.from_arrays(batch.columns, NAMES)
+        lists = pa.ListArray.from_arrays(pa.array([*starts, len(batch)], pa.int32()), rows)
+        first = batch.take(pa.array(starts, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([part] * len(batch), pa.int32()), place],
-            [*names, "range", "place"],
+            [pa.array([run] * len(starts), pa.int32()), *[first.column(NAMES.index(n)) for n in _FIRST], lists],
+            ["run", *_FIRST, "captures"],
+        )
+
+
+def runs(captures: DataFrame) -> DataFrame:
+    """Stored runs: every task's captures, sorted there, in blocks."""
+    ordered = captures.select(NAMES).sortWithinPartitions(*_FIRST)
+    return materialize(ordered.mapInArrow(_blocks, _BLOCKS), "runs")
+
+
+def _tuples(rows: list[dict]) -> list[tuple]:
+    return [tuple(r[n] for n in NAMES) for r in rows]
+
+
+def _cutter(borders: list[tuple]):
+    """Cuts blocks at the borders of ranges; a border is the first key of its range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for number, rows in zip(batch.column(0).to_pylist(), batch.column(6).to_pylist()):
+                rows = _tuples(rows)
+                keys = [order(r) for r in rows]
+                a = 0
+                while a < len(rows):
+                    part = _range_of(borders, keys[a])
+                    b = bisect_left(keys, borders[part]) if part < len(borders) else len(rows)
+                    first = rows[a]
+                    key = [first[NAMES.index(n)] for n in _FIRST]
+                    out.append((part, number, *key, [dict(zip(NAMES, r)) for r in rows[a:b]]))
+                    a = b
+            kinds = [pa.int32(), pa.int32(), *[_COLUMNS[n] for n in _FIRST], batch.schema.field(6).type]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
+                ["range", "run", *_FIRST, "captures"],
+            )
+
+    return run
+
+
+def _range_of(borders: list[tuple], key: tuple) -> int:
+    """How many borders aren't behind the key."""
+    at = bisect_left(borders, key)
+    return at + (at < len(borders) and borders[at] == key)
+
+
+def merged(blocks: Iterator[list[tuple]]) -> Iterator[tuple]:
+    """All captures in order, out of blocks in order of their first keys.
+
+    What comes before the next block's first key is merged and goes out; the blocks that
+    reach beyond it stay, one of each run.
+    """
+    active: list[list[tuple]] = []
+    for block in blocks:
+        border, parts, rest = order(block[0]), [], []
+        for own in active:
+            cut = bisect_left(own, border, key=order)
+            parts.append(own[:cut])
+            rest.append(own[cut:])
+        yield from loser_tree_merge([p for p in parts if p])
+        active = [r for r in rest if r] + [block]
+    yield from loser_tree_merge(active)
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merges the blocks of a task's range."""
+    part = TaskContext.get().partitionId()
+    blocks = (
+        _tuples(rows) for batch in batches
+        for a in range(0, len(batch), 16) for rows in batch.column(0).slice(a, 16).to_pylist()
+    )
+    held, place = [], 0
+
+    def out() -> pa.RecordBatch:
+        places = pa.array(range(place, place + len(held)), pa.int64())
+        batch = _batch(held, NAMES)
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([part] * len(held), pa.int32()), places],
+            [*NAMES, "range", "place"],
         )
 
+    for row in merged(blocks):
+        held.append(row)
+        if len(held) >= BATCH:
+            yield out()
+            place += len(held)
+            held = []
+    yield out()
+
+
+def _borders(blocks: DataFrame, ranges: int) -> list[tuple]:
+    """First keys of all ranges but the first, out of about DRAWN first keys of blocks a range."""
+    share = min(1.0, DRAWN * ranges / max(1, blocks.count()))
+    drawn = blocks.filter(F.pmod(F.xxhash64(*_FIRST), F.lit(1 << 20)) < int(share * (1 << 20)))
+    keys = sorted((r[0], r[1], r[2] is not None, r[2] or 0, r[3], r[4]) for r in drawn.select(_FIRST).collect())
+    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+
 
 def history(captures: DataFrame) -> DataFrame:
     """Stored captures in global order by URL key and time, each with its `position` from 1."""
-    spark, names = captures.sparkSession, list(_COLUMNS)[:-1]
-    ranges = max(1, -(-captures.count() // RANGE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = captures.select(names).repartitionByRange(ranges, "url_key", "captured", "page_id")
-    merged = materialize(dealt.mapInArrow(_merge, _schema(names) + ", range int, place long"), "history")
-    sizes = merged.groupBy("range").count().orderBy("range").collect()
+    spark = captures.sparkSession
+    blocks = runs(captures)
+    total = blocks.agg(F.sum(F.size("captures"))).first()[0] or 0
+    ranges = max(1, -(-total // RANGE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    borders = _borders(blocks, ranges)
+    dealt = blocks.mapInArrow(_cutter(borders), f"range int, {_BLOCKS}")
+    dealt = dealt.repartitionById(len(borders) + 1, "range")
+    dealt = dealt.sortWithinPartitions(*_FIRST, "run").select("captures")
+    ordered = materialize(dealt.mapInArrow(_merge, _schema(NAMES) + ", range int, place long"), "history")
+    sizes = ordered.groupBy("range").count().orderBy("range").collect()
     before, rows = 0, []
     for r in sizes:
         rows.append((r["range"], before))
         before += r["count"]
     offsets = spark.createDataFrame(rows, "range int, before long")
-    placed = merged.join(F.broadcast(offsets), "range")
-    return placed.select(*names, (F.col("before") + F.col("place") + 1).alias("position"))
+    placed = ordered.join(F.broadcast(offsets), "range")
+    return placed.select(*NAMES, (F.col("before") + F.col("place") + 1).alias("position"))
 
 
 def archived(pages: DataFrame) -> DataFrame:
     """Writes the pages' archives, reads them back and orders their captures."""
     spark = pages.sparkSession
-    path = write(pages, scratch(spark, "warc"))
-    return history(materialize(read(spark, path), "captures"))
+    return history(read(spark, write(pages, scratch(spark, "warc")))).drop(
+        "file", "file_offset", "compressed_bytes"
+    )
 
 
 #: The same rows in SQL.
