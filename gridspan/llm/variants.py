@@ -149,7 +149,9 @@ def neighbours(vocabulary: DataFrame) -> DataFrame:
 
     Of equally frequent ones that with the smallest id.
     """
-    rotated = vocabulary.select("id", "word", "n").mapInArrow(
+    # A word makes some twenty rows, so few files of words are dealt to many tasks first.
+    tasks = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rotated = vocabulary.select("id", "word", "n").repartition(tasks, "id").mapInArrow(
         _rotated, "key binary, id long, n long, kind int"
     )
     run = Window.partitionBy("key").orderBy(F.desc("n"), "id")
