@@ -771,6 +771,15 @@ def forecast_many(spark, sf_dir):
     return _rounded(rows, "yhat")
 
 
+@query
+def forecast_exact(spark, sf_dir):
+    """Exact likelihood over hours with gaps, a series per group of users."""
+    series = st.user_series(_events(spark, sf_dir))
+    placed = forecasting.placed(series, "Ontario_Demand", ["series"])
+    rows = forecasting.exact_forecast(placed, "Ontario_Demand", ["series"], p=2)
+    return _rounded(rows, "yhat")
+
+
 # Streams
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridspan import schemas
 from gridspan.functions import wall_clock
+from gridspan.operators import exact
 from gridspan.operators import forecast as fc
 from gridspan.operators.ordering import time_split
 from gridspan.session import materialize
@@ -68,6 +69,27 @@ def _held_out(
     return actual.join(predicted, [*by, "step"]).select(*by, "step", timestamp, value, "yhat")
 
 
+def exact_forecast(
+    rows: DataFrame, value: str, by: Sequence[str], p: int = schemas.SHORT_ORDER[0], timestamp: str = "timestamp"
+) -> DataFrame:
+    """As `holdout_forecast`, fitted by exact likelihood and with missing hours as gaps.
+
+    A step is an hour here, whether it was observed or not.
+    """
+    hour = F.timestamp_diff("HOUR", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(timestamp))
+    rows = rows.withColumn("_hour", hour)
+    models = exact.fit_exact(train_part(rows), value, "_hour", p, by)
+    models = materialize(models.filter("status = 'fitted'"), "exact-models")
+    ends = rows.groupBy(*by).agg(
+        F.max(F.when(F.col("is_train"), F.col("_hour"))).alias("_last"), F.max("_hour").alias("_end")
+    )
+    ends = ends.select(*by, "_last", (F.col("_end") - F.col("_last")).alias("_hours"))
+    predicted = fc.forecast(models.join(ends.drop("_last"), list(by)), "_hours", by)
+    actual = test_part(rows).join(ends.drop("_hours"), list(by))
+    actual = actual.withColumn("step", F.col("_hour") - F.col("_last"))
+    return actual.join(predicted, [*by, "step"]).select(*by, "step", timestamp, value, "yhat")
+
+
 def score(
     rows: DataFrame,
     value: str,

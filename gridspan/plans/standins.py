@@ -68,6 +68,15 @@ def hourly_series(events: DataFrame, by_type: bool = False) -> DataFrame:
     return sums.select("series", G.hour_start().alias("timestamp"), "Ontario_Demand")
 
 
+def user_series(events: DataFrame) -> DataFrame:
+    """(series, timestamp, Ontario_Demand): hourly sums of 20 users each, with many empty hours."""
+    users = F.concat(F.lit("u"), F.floor(F.col("user_id") / 20).cast("string"))
+    sums = events.groupBy(users.alias("series"), *slot()).agg(
+        F.round(F.sum("value"), 4).alias("Ontario_Demand")
+    )
+    return sums.select("series", G.hour_start().alias("timestamp"), "Ontario_Demand")
+
+
 def item_lines(lineitem: DataFrame) -> DataFrame:
     """Line items as demand lines: months as dates, some of them wrong, some values no number."""
     month = F.trunc("l_shipdate", "month").cast("string")
