@@ -36,51 +36,80 @@ BASE = {
     "mit license": "mit",
 }
 
-#: Opening words of published license notices, and labels.
+_GPL_HEADER = (
+    "this program is free software you can redistribute it and or modify it under the terms "
+    "of the gnu general public license as published by the free software foundation"
+)
+_OR_LATER = "either version {} of the license or at your option any later version"
+
+#: Words of published license names, notices and grants, and labels.
 NOTICES = {
     "licensed under the apache license version 2 0": "apache-2.0",
     "licensed under the apache license version 2 0 the license you may not use this file "
     "except in compliance with the license": "apache-2.0",
+    "licensed under the gnu general public license version 2": "gpl-2.0",
     "licensed under the gnu general public license version 3": "gpl-3.0",
-    "this program is free software you can redistribute it and or modify it under the terms "
-    "of the gnu general public license as published by the free software foundation": "gpl-notice",
+    _GPL_HEADER: "gpl-notice",
+    f"{_GPL_HEADER} {_OR_LATER.format(2)}": "gpl-2.0",
+    f"{_GPL_HEADER} {_OR_LATER.format(3)}": "gpl-3.0",
     "gnu lesser general public license": "lgpl",
+    "gnu lesser public license": "lgpl",
     "permission is hereby granted free of charge to any person obtaining a copy of this "
     "software and associated documentation files the software to deal in the software "
     "without restriction": "mit-notice",
+    "including without limitation the rights to use copy modify merge publish distribute "
+    "sublicense and or sell copies of the software and to permit persons to whom the software "
+    "is furnished to do so subject to the following conditions the above copyright notice and "
+    "this permission notice shall be included in all copies or substantial portions of the "
+    "software": "mit-notice",
     "released under the mit license": "mit-notice",
     "redistribution and use in source and binary forms with or without modification are "
     "permitted provided that the following conditions are met": "bsd-notice",
+    "neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written "
+    "permission": "bsd-3-clause",
+    "bsd 3 clause license": "bsd-3-clause",
+    "bsd 2 clause license": "bsd-2-clause",
     "permission to use copy modify and or distribute this software for any purpose with or "
     "without fee is hereby granted": "isc-notice",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
     "licensed under cc by nc 4 0": "cc-by-nc",
     "licensed under cc by sa 4 0": "cc-by-sa",
     "licensed under a creative commons attribution 4 0 international license": "cc-by-4.0",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "to the extent possible under law the author has waived all copyright and related or "
+    "neighboring rights": "cc0-1.0",
 }
 
-#: Words of notices with a label that a span must hold: what tells them from other licenses.
-NEEDED = {
-    "apache-2.0": {"apache", "2"},
-    "gpl-3.0": {"general", "3"},
-    "gpl-notice": {"general"},
-    "lgpl": {"lesser"},
-    "mit-notice": {"mit", "in"},
-    "isc-notice": {"with"},
-    "mpl-2.0": {"mozilla", "2"},
-    "cc-by-nc": {"nc"},
-    "cc-by-sa": {"sa"},
-    "cc-by-4.0": {"attribution", "4"},
+#: Identifiers of licenses as they stand in a tagged line, which are labels too.
+IDENTIFIERS = [
+    "mit", "isc", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "gpl-2.0", "gpl-3.0", "lgpl-2.1",
+    "lgpl-3.0", "agpl-3.0", "mpl-2.0", "epl-2.0", "cc-by-4.0", "cc-by-sa-4.0", "cc0-1.0", "unlicense",
+    "zlib", "bsl-1.0",
+]
+NOTICES |= {
+    "spdx license identifier " + i.replace("-", " ").replace(".", " "): i for i in IDENTIFIERS
 }
-#: Words that make another license of a notice with a label if they stand within it.
-BARRED = {
-    "gpl-3.0": {"lesser", "library", "affero"},
-    "gpl-notice": {"lesser", "library", "affero"},
-    "cc-by-nc": {"sa", "nd"},
-    "cc-by-sa": {"nc", "nd"},
-    "cc-by-4.0": {"noncommercial", "commercial", "sharealike", "alike", "noderivatives",
-                  "noderivs", "derivatives", "derivs"},
-}
+
+#: Names and versions that stand in each other's place in license notices.
+VARIANTS = [
+    ["gnu general public license", "gnu lesser general public license", "gnu lesser public license",
+     "gnu library general public license", "gnu affero general public license"],
+    ["apache license", "educational community license"],
+    ["mozilla public license", "common public license"],
+    ["mit license", "bsd license", "isc license", "zlib license"],
+    ["cc by nc 4", "cc by sa 4", "cc by nd 4", "cc by nc sa 4", "cc by nc nd 4", "cc by 4"],
+    ["attribution 4", "attribution noncommercial 4", "attribution non commercial 4",
+     "attribution sharealike 4", "attribution share alike 4", "attribution noderivatives 4",
+     "attribution noderivs 4", "attribution no derivatives 4", "attribution no derivs 4"],
+    ["version 2", "version 3", "version 1"],
+    ["version 2 0", "version 1 1"],
+    ["v 2 0", "v 1 1"],
+    ["4 0 international", "3 0 international"],
+    ["deal in the software", "deal with the software"],
+    ["modify and or distribute this software for any purpose with or without fee",
+     "modify and distribute this software for any purpose and without fee"],
+]
 #: A needed number stands at its place behind the words of its notice, or follows one of
 #: these ("version 2 or 3"), so that the number of a section isn't taken for a version.
 BEFORE_NUMBER = {"v", "version", "or", "and"}
@@ -111,6 +140,51 @@ def templates() -> list[tuple[list[bytes], str, bool]]:
     ]
 
 
+def rivals() -> list[tuple[str, str]]:
+    """(words, label) of all notices, and of others that a variant in its place makes of them."""
+    out = dict(NOTICES)
+    for notice in NOTICES:
+        for group in VARIANTS:
+            for name in group:
+                if f" {name} " in f" {notice} ":
+                    for other in group:
+                        # A name within a longer one ("cc by nc 4") stands for itself only.
+                        out.setdefault(f" {notice} ".replace(f" {name} ", f" {other} ").strip(), "")
+    return list(out.items())
+
+
+def _differences(a: list[bytes], b: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """Words of each that have no like word in the other, in order."""
+    ours, theirs = [], []
+    for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+        if kind != "equal":
+            ours += a[i:j]
+            theirs += b[k:m]
+    return ours, theirs
+
+
+def telling() -> tuple[dict[str, set[bytes]], dict[str, set[bytes]]]:
+    """By label the words that a span of its notices must hold, and those that it must not.
+
+    They are the differences from notices of other licenses that are so much alike that the
+    share of common words alone couldn't tell them apart. A number is no word that must not
+    stand in a span, as two versions may be named at once.
+    """
+    needed: dict[str, set[bytes]] = {}
+    barred: dict[str, set[bytes]] = {}
+    others = [(word_list(t.encode()), label) for t, label in rivals()]
+    for notice, label in NOTICES.items():
+        own = word_list(notice.encode())
+        for rival, theirs in others:
+            if theirs != label:
+                mine, extra = _differences(own, rival)
+                if max(len(mine) / len(own), len(extra) / len(rival)) <= 1 - LEAST_SHARE + 1e-9:
+                    needed.setdefault(label, set()).update(set(mine) - set(rival))
+                    more = {w for w in set(extra) - set(own) if not w.isdigit()}
+                    barred.setdefault(label, set()).update(more)
+    return needed, barred
+
+
 def _sizes(n_words: int, exact: bool) -> list[int]:
     """The grams a template needs to leave one with as many words changed or missing as it may."""
     short, long = GRAMS
@@ -192,11 +266,7 @@ def spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def _coded(rules: dict[str, set[str]]) -> dict[str, frozenset[bytes]]:
-    return {label: frozenset(w.encode() for w in some) for label, some in rules.items()}
-
-
-_NEEDED, _BARRED = _coded(NEEDED), _coded(BARRED)
+NEEDED, BARRED = telling()
 _BEFORE_NUMBER = frozenset(w.encode() for w in BEFORE_NUMBER)
 
 
@@ -205,7 +275,7 @@ def _share(own: list[bytes], template: list[bytes], label: str) -> float:
 
     0 if a word is missing that the notice needs, or one within it names another license.
     """
-    needed = _NEEDED.get(label, frozenset()).intersection(template)
+    needed = NEEDED.get(label, set()).intersection(template)
     if not needed.issubset(own):
         return 0.0
     blocks = SequenceMatcher(None, own, template, autojunk=False).get_matching_blocks()
@@ -219,7 +289,7 @@ def _share(own: list[bytes], template: list[bytes], label: str) -> float:
         last = i, j
     if not needed.issubset(found):
         return 0.0
-    barred = _BARRED.get(label, frozenset())
+    barred = BARRED.get(label, set())
     if held and not barred.isdisjoint(own[held[0][0] : held[-1][0] + 1]):
         return 0.0
     return len(held) / len(template)

@@ -73,9 +73,21 @@ NEIGHBOURS = {
     "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "",
     "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "",
     "Licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
-    "Licensed under the GNU General Public License, version 2.": "gpl",
-    "Licensed under the GNU General Public License, version 2, section 3": "gpl",
-    "Licensed under the GNU General Public License, version 2 or 3": "gpl,gpl-3.0",
+    "Licensed under the GNU General Public License, version 2.": "gpl,gpl-2.0",
+    "Licensed under the GNU General Public License, version 1.": "gpl",
+    "Licensed under the GNU General Public License, version 2, section 3": "gpl,gpl-2.0",
+    "Licensed under the GNU General Public License, version 2 or 3": "gpl,gpl-2.0,gpl-3.0",
+    "BSD 3-Clause License": "bsd-3-clause",
+    "BSD 2-Clause License": "bsd-2-clause",
+    "SPDX-License-Identifier: MIT": "mit",
+    "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+    "SPDX-License-Identifier: GPL-2.0-only": "gpl-2.0",
+    "SPDX-License-Identifier: LGPL-2.1": "lgpl-2.1",
+    "SPDX-License-Identifier: AGPL-3.0": "agpl-3.0",
+    "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
+    "SPDX-License-Identifier: CC-BY-4.0": "cc-by,cc-by-4.0",
+    "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa-4.0",
+    "SPDX-License-Identifier: Python-2.0": "",
     "Licensed under the GNU Lesser General Public License, version 3.": "lgpl",
     "Licensed under the GNU Affero General Public License, version 3.": "",
     "Licensed under the Apache License, Version 2.0.": "apache,apache-2.0",
@@ -89,7 +101,9 @@ NEIGHBOURS = {
 
 def neighbours():
     out = dict(NEIGHBOURS)
-    words = {label: notice for notice, label in licenses.NOTICES.items()}
+    words = {}
+    for notice, label in licenses.NOTICES.items():
+        words.setdefault(label, notice)
     gpl = words["gpl-notice"]
     out |= {gpl: "gpl,gpl-notice", gpl.replace("gnu", "gnu affero"): "",
             gpl.replace("gnu", "gnu lesser"): "lgpl", gpl.replace("general", "lesser"): "lgpl"}
@@ -99,6 +113,9 @@ def neighbours():
             mpl: "mpl-2.0", mpl.replace("v 2 0", "v 1 1"): "",
             mpl.replace(" v ", " version "): "mpl-2.0"}
     mit = next(n for n in licenses.NOTICES if n.startswith("permission is hereby"))
+    for v in (2, 3):
+        header = next(n for n in licenses.NOTICES if n.startswith(gpl) and f"either version {v} of" in n)
+        out |= {header: f"gpl,gpl-{v}.0,gpl-notice", header.replace("gnu", "gnu lesser"): "lgpl"}
     return out | {mit: "mit-notice", mit.replace("deal in", "deal with"): ""}
 
 
@@ -118,7 +135,7 @@ def edited():
     """Short notices with as many words changed or left out as the least share allows."""
     for notice, label in licenses.NOTICES.items():
         own = notice.split()
-        needed = licenses.NEEDED.get(label, set())
+        needed = {w.decode() for w in licenses.NEEDED.get(label, set())}
         free = [i for i, w in enumerate(own) if w not in needed]
         edits = int(len(own) * (1 - licenses.LEAST_SHARE) + 1e-9)
         if len(own) > 11:
@@ -143,3 +160,31 @@ def test_short_notices_survive_an_edit_anywhere(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert licenses.scan(docs).count() == 0
+
+
+def test_every_notice_against_all_others(spark):
+    """Each has its own label, and no label of a license whose notice isn't in its text."""
+    rows = list(enumerate(licenses.NOTICES))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(docs).collect()}
+    for i, notice in rows:
+        inside = {label for other, label in licenses.NOTICES.items() if f" {other} " in f" {notice} "}
+        inside |= {label for phrase, label in licenses.BASE.items() if f" {phrase} " in f" {notice} "}
+        assert got[i] == inside, notice
+
+
+def test_rivals_have_no_label_of_their_neighbours(spark):
+    """What a variant in its place makes of a notice isn't taken for the notice."""
+    made = [text for text, label in licenses.rivals() if not label]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.scan(docs).collect()}
+    for i, text in enumerate(made):
+        inside = {label for other, label in licenses.NOTICES.items() if f" {other} " in f" {text} "}
+        inside |= {label for phrase, label in licenses.BASE.items() if f" {phrase} " in f" {text} "}
+        assert got[i] - inside <= ({"lgpl"} if "lesser" in text else set()), text
+
+
+def test_telling_words_follow_from_the_notices():
+    assert {b"2"} <= licenses.NEEDED["gpl-2.0"] and {b"3"} <= licenses.NEEDED["gpl-3.0"]
+    assert {b"lesser", b"affero", b"library"} <= licenses.BARRED["gpl-3.0"]
+    assert b"nc" in licenses.NEEDED["cc-by-nc"] and b"sa" in licenses.BARRED["cc-by-nc"]
