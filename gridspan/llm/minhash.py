@@ -9,8 +9,9 @@ two such signatures, corrected for chance agreement, say how similar the sets ar
 far below the threshold goes no further. Links are confirmed on full sets.
 
 A group of n near copies isn't expanded into n² pairs: first each class is held only
-against the smallest member of one of its buckets, the one most like it, then against the
-smallest members of its other buckets that aren't connected with it by then. While buckets
+against the center of one of its buckets, the one most like it, then against the centers of
+its other buckets that aren't connected with it by then. A bucket's center is the member
+that shares buckets with most others, as a text does that the others are copies of. While buckets
 have many members outside their largest component, these are held against one of its members,
 a different one each turn. Last, members outside a bucket's largest component are compared with all its members of other components,
 inside the join; members of the largest one are not tried with each other. So no link between
@@ -50,8 +51,9 @@ SIGNATURE = [f"s{i}" for i in range((1 + BITS) * PLANE)]
 CHANCE = 2.0**-BITS
 DEVIATIONS = 5.5
 #: Turns in which members outside a bucket's largest component are held against one of its
-#: members, as long as trying all of them would take more than FEW pairs a member.
-TURNS, FEW = 10, 4
+#: members, as long as trying all of them would take more than FEW pairs a member and a turn
+#: leaves at most LESS of the pairs that the one before left.
+TURNS, FEW, LESS = 10, 4, 0.7
 #: Ids sent to all tasks, eight bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -235,19 +237,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "classes",
     )
     keyed = classes.select("rep", F.explode("bands").alias("key"))
-    centers = materialize(
-        keyed.groupBy("key")
-        .agg(F.min("rep").alias("center"), F.max("rep").alias("last"))
-        .filter("center < last").drop("last"),
-        "centers",
-    )
-    crowded = materialize(keyed.join(centers, "key"), "crowded")
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    sized_keys = materialize(sizes, "bucket-sizes")
+    crowded = materialize(keyed.join(sized_keys, "key"), "crowded")
+    # A text that copies were made of is in more of their buckets than a copy is.
+    crowd = crowded.groupBy("rep").agg(F.sum("size").alias("crowd"))
+    first = F.bitwise_not("rep")  # the smallest id is the largest here
+    center = F.max(F.struct("crowd", first.alias("first")))["first"]
+    centers = crowded.join(crowd, "rep").groupBy("key").agg(F.bitwise_not(center).alias("center"))
+    crowded = crowded.drop("size")
     features = classes.select("rep", "n_shingles", "bands", *SIGNATURE)
     features = features.join(crowded.select("rep").distinct(), "rep", "left_semi")
     features = materialize(features.dropDuplicates(["rep", *SIGNATURE]), "features")
 
-    # Each class with the smallest members of its buckets: the one most like it, then others.
-    stars = crowded.filter("rep > center").select("rep", "center").distinct()
+    # Each class with the centers of its buckets: the one most like it, then others.
+    stars = crowded.join(materialize(centers, "centers"), "key").filter("rep <> center")
+    stars = stars.select("rep", "center").distinct()
     star = stars.alias("p").join(features.alias("x"), F.col("p.rep") == F.col("x.rep"))
     near = (F.col("p.center") == F.col("y.rep")) & plausible("x", "y", percent)
     star = star.join(features.alias("y"), near).select(
@@ -268,11 +273,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     # Members of a bucket that aren't connected yet: of two components, one isn't the largest.
     placed = crowded.select("key", "rep", F.col("rep").alias("root"))
     placed = materialize(relabelled(placed, "root", roots), "placed")
+    before = float("inf")
     for turn in range(TURNS):
         split = _split(placed)
         work, members = split.agg(F.sum(F.col("rest") * F.col("total")), F.sum("total")).first()
-        if (work or 0) <= FEW * (members or 0):
+        if (work or 0) <= FEW * (members or 0) or work > LESS * before:
             break
+        before = work
         # Each against one member of its bucket's largest component, another one each turn.
         unlike = placed.join(split, "key")
         drawn = unlike.filter("root = largest").groupBy("key").agg(

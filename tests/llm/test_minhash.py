@@ -158,3 +158,22 @@ def test_a_group_unlike_its_smallest_member(spark, monkeypatch):
     got = minhash.near_duplicates(docs, 85).collect()
     assert sorted(str(tuple(r)) for r in got) == brute(rows, 85)
     assert sum(tried) < 12 * len(rows)
+
+
+def test_copies_that_are_like_their_original_only(spark, monkeypatch):
+    """Of two copies each is like the text in the middle, and hardly like each other."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(600)]
+    rows = [(1000, " ".join(base))]
+    for i in range(200):
+        text = list(base)
+        for at in rng.sample(range(600), 9):
+            text[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(text)))
+    tried = []
+    real = minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda d, pairs, p: tried.append(pairs.count()) or real(d, pairs, p))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(docs, 85).collect()
+    assert sorted(str(tuple(r)) for r in got) == brute(rows, 85)
+    assert len({r.component_id for r in got}) == 1 and sum(tried) < 4 * len(rows)
