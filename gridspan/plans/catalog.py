@@ -328,6 +328,14 @@ def capability_ingest(spark, sf_dir):
     return store.read(schemas.CAPABILITY)
 
 
+@query
+def capability_one_document(spark, sf_dir):
+    """A single large report, cut at its generators and parsed block by block."""
+    path = scratch(spark, "document")
+    landing = st.land_one_document(st.table(spark, sf_dir, "lineitem"), path)
+    return typing.flatten_capability(files.scan_generator_blocks(spark, landing))
+
+
 @query
 def zonal_items_to_primary(spark, sf_dir):
     """A zonal line per supplier and month to the raw table, then wide to long."""

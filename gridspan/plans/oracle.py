@@ -476,6 +476,12 @@ ORACLE["zonal_items_to_primary"] = _zonal_long('"Zone_Total"')
 ORACLE["stream_primary_from_register"] = _zonal_long(
     '"Zone_Total" + CASE year("Date") WHEN 1996 THEN 2000 WHEN 1997 THEN 3000 ELSE 1000 END'
 )
+ORACLE["capability_one_document"] = f"""
+SELECT (SELECT CAST(max(date_trunc('month', l_shipdate)) AS DATE) FROM lineitem) AS "Date",
+  "Hour", "GeneratorName" || '-' || strftime("Date", '%Y-%m') AS "GeneratorName", "FuelType",
+  "OutputEnergy", "CapabilityEnergy", "AvailCapacity"
+FROM ({ORACLE["capability_xml_scan"]})
+"""
 ORACLE["capability_ingest"] = f"""
 WITH scanned AS ({ORACLE["capability_xml_scan"]})
 SELECT "Date", "Hour", "GeneratorName", "FuelType",

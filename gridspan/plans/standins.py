@@ -292,3 +292,27 @@ def capability_reports(lineitem: DataFrame, faulty: bool = False) -> DataFrame:
         F.col("Date").cast("string").alias("Date"),
         F.struct(generator.alias("Generator")).alias("Generators"),
     )
+
+
+def land_one_document(lineitem: DataFrame, path: str) -> str:
+    """One capability report of the newest month with all generators, as a single file.
+
+    Generators are suppliers by month. They are lines of text, so no task holds the document.
+    """
+    reports = capability_reports(lineitem)
+    own = F.col("Generators.Generator")
+    month = F.concat(F.lit("-"), F.substring("Date", 1, 7))
+    generator = own.withField("GeneratorName", F.concat(own["GeneratorName"], month))
+    blocks = reports.select(F.lit(1).alias("at"), F.to_xml(generator, {"rowTag": "Generator"}).alias("line"))
+    head = reports.agg(F.max("Date").alias("d")).select(
+        F.lit(0).alias("at"),
+        F.concat(
+            F.lit('<IMODocument xmlns="urn:hourly-reports"><IMODocBody><Date>'), "d", F.lit("</Date><Generators>")
+        ).alias("line"),
+    )
+    foot = lineitem.sparkSession.range(1).select(
+        F.lit(2).alias("at"), F.lit("</Generators></IMODocBody></IMODocument>").alias("line")
+    )
+    lines = head.unionByName(blocks).unionByName(foot).repartition(1).sortWithinPartitions("at")
+    lines.select("line").write.text(path)
+    return path

@@ -7,7 +7,7 @@ text here; `gridspan.operators.typing` types them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspan import schemas
@@ -109,3 +109,26 @@ def scan_fuel_xml(reader, path: str, strict: bool = True) -> DataFrame:
 def scan_capability_xml(reader, path: str, strict: bool = True) -> DataFrame:
     """One row per capability report; its date and its generators sit in one body."""
     return _scan_xml(reader, path, "IMODocBody", schemas.CAPABILITY_REPORT, strict)
+
+
+def scan_generator_blocks(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """One row per generator of capability reports, in the layout of `scan_capability_xml`.
+
+    For large documents: files are cut behind each generator's closing tag, so that one is
+    read by many tasks, and each block is parsed by itself. A report's date stands before its
+    generators, in one block only, and is joined to the others by file; a file holds one
+    report. `prefix` is that of the tags, with its colon. Closing tags must not stand in
+    comments. A block that cannot be parsed fails the job.
+    """
+    pieces = spark.read.option("lineSep", f"</{prefix}Generator>").text(path)
+    pieces = pieces.select("value", F.col("_metadata.file_path").alias("_file"))
+    date = F.regexp_extract("value", rf"<{prefix}Date>([^<]*)</{prefix}Date>", 1)
+    dates = pieces.withColumn("Date", date).filter("`Date` <> ''").groupBy("_file").agg(F.max("Date").alias("Date"))
+    at = F.regexp_instr("value", F.lit(rf"<{prefix}Generator[\s>]"))
+    block = F.concat(F.substr("value", at), F.lit(f"</{prefix}Generator>"))
+    bare = F.regexp_replace(block, rf"(</?){prefix}", "$1") if prefix else block
+    options = {"rowTag": "Generator", "mode": "FAILFAST", "ignoreNamespace": "true"}
+    parsed = F.from_xml(bare, schemas.GENERATOR, options)
+    rows = pieces.filter(at > 0).select("_file", parsed.alias("g")).join(dates, "_file", "left")
+    nested = f"STRUCT<Generator: ARRAY<{schemas.GENERATOR}>>"
+    return rows.select("Date", F.lit(None).cast(nested).alias("Generators"), F.array("g").alias("Generator"))

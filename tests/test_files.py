@@ -251,3 +251,27 @@ def test_full_load_keeps_all_dates_and_no_register_row(spark, tmp_path, store, i
     ingest.full_load(store, "fuel", files.scan_fuel_xml(spark.read, landed(tmp_path, fuel_text())), instant)
     assert store.read(schemas.FUEL_OUTPUT).count() == 3
     assert not store.exists(schemas.TABLE_REGISTER)
+
+
+@pytest.mark.parametrize("prefix", ["", "x:"])
+def test_a_large_document_is_parsed_by_many_tasks(spark, tmp_path, prefix):
+    """Block by block, equal to the scan of the whole file."""
+    p, ns = prefix, ' xmlns:x="urn:any"' if prefix else ' xmlns="urn:any"'
+    entry = "<{p}Output>\n<{p}Hour>{h}</{p}Hour><{p}EnergyMW>{h}.5</{p}EnergyMW></{p}Output>"
+    blocks = "".join(
+        f"<{p}Generator><{p}GeneratorName>G{i} &amp; Co</{p}GeneratorName><{p}FuelType>GAS</{p}FuelType>\n"
+        f"<{p}Outputs>{''.join(entry.format(p=p, h=h) for h in (1, 2, 3))}</{p}Outputs></{p}Generator>\n"
+        for i in range(400)
+    )
+    text = f"<IMODocument{ns}><{p}IMODocBody><{p}Date>2025-01-02</{p}Date><{p}Generators>{blocks}</{p}Generators></{p}IMODocBody></IMODocument>"
+    text = text.replace("<IMODocument", f"<{p}IMODocument").replace("</IMODocument", f"</{p}IMODocument")
+    path = landed(tmp_path, text)
+    whole = typing.flatten_capability(files.scan_capability_xml(spark.read, path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        pieces = files.scan_generator_blocks(spark, path, prefix)
+        assert spark.read.option("lineSep", f"</{prefix}Generator>").text(path).rdd.getNumPartitions() > 4
+        got = rows(typing.flatten_capability(pieces), "GeneratorName", "Hour")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 1200 and got == rows(whole, "GeneratorName", "Hour")
