@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridspan import functions as G
 from gridspan import schemas
-from gridspan.operators import align, ordering, profile, quality, reshape, slices, typing
+from gridspan.operators import align, ordering, profile, quality, reshape, sketches, slices, typing
 from gridspan.operators import forecast as fc
 from gridspan.plans import forecasting, ingest
 from gridspan.plans import standins as st
@@ -627,6 +627,29 @@ def profile_distinct(spark, sf_dir):
     return profile.distinct_counts(events, ["user_id", "Date", "props"], by=["event_type"])
 
 
+@query
+def profile_sketches(spark, sf_dir):
+    """Profiles of two ranges of dates out of stored sketches, after two dates have changed."""
+    store = _store(spark, "sketches")
+    history, batch = _history_and_correction(spark, sf_dir)
+    columns = ["event_type", "user", "value_class"]
+
+    def shaped(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            "Date", F.nullif("event_type", F.lit("error")).alias("event_type"),
+            (F.col("user_id") % 100).alias("user"), (F.col("event_id") % 7).alias("value_class"),
+        )
+
+    store.replace_table(shaped(history), "raw/events")
+    sketches.refresh(store, "raw/events", columns)
+    fewer = shaped(batch.filter("event_id % 2 = 0"))
+    store.upsert(fewer, "raw/events", mode="all_dates_in_batch")
+    name = sketches.refresh(store, "raw/events", columns, fewer.select("Date"))
+    half = F.when(F.dayofmonth("Date") <= 15, "first").otherwise("second").alias("half")
+    found = sketches.merged(store.read(name).withColumn("half", half), ["half"])
+    return found.withColumn("top", F.element_at("top", 1)["count"])
+
+
 @query
 def distinct_fuels(spark, sf_dir):
     """Distinct values, a missing one included."""

@@ -525,6 +525,19 @@ UNION ALL SELECT * FROM corrected WHERE "Date" IS NOT NULL
 """
 ORACLE["replace_slice"] = _LATEST
 
+_SKETCHED = """kept AS (
+  SELECT "Date", nullif(event_type, 'error') AS event_type, (user_id % 100)::VARCHAR AS "user",
+    (event_id % 7)::VARCHAR AS value_class,
+    CASE WHEN day("Date") <= 15 THEN 'first' ELSE 'second' END AS half
+  FROM dated WHERE "Date" < (SELECT d - 1 FROM newest) OR event_id % 2 = 0)
+"""
+ORACLE["profile_sketches"] = f"WITH {_CORRECTION}, {_SKETCHED}" + " UNION ALL ".join(
+    f"""SELECT half, '{c}' AS column_name, CAST(sum(n) AS BIGINT) AS row_count,
+  CAST(coalesce(sum(n) FILTER (v IS NULL), 0) AS BIGINT) AS null_count, count(v) AS "distinct",
+  max(n) FILTER (v IS NOT NULL) AS top
+FROM (SELECT half, "{c}" AS v, count(*) AS n FROM kept GROUP BY ALL) GROUP BY half"""
+    for c in ("event_type", "user", "value_class")
+)
 ORACLE["date_counts"] = f"""WITH {_CORRECTION}
 SELECT "Date", count(*) AS row_count FROM dated
 WHERE "Date" < (SELECT d - 1 FROM newest) OR event_id % 4 = 0 GROUP BY "Date"

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import date
 
 import pytest
@@ -96,3 +97,38 @@ def test_distinct(spark):
     assert profile.distinct_counts(df, ["f"], approximate=True).first()[0] == 2
     values = {r.f: r.row_count for r in profile.distinct_values(df, "f").collect()}
     assert values == {"a": 2, "b": 1, None: 1}
+
+
+def test_sketches_merge_and_follow_changed_dates_only(spark, store):
+    from gridspan.operators import sketches
+
+    rows = spark.range(60_000).select(
+        F.expr("date_add(DATE '2025-01-01', CAST(id % 10 AS INT))").alias("Date"),
+        (F.col("id") * 7919 % 20_011).alias("many"), (F.col("id") % 3).alias("few"),
+        F.when(F.col("id") % 4 != 0, F.col("id") % 50 / 2).alias("number"),
+    )
+    store.replace_table(rows, "raw/t")
+    name = sketches.refresh(store, "raw/t", ["many", "few", "number"])
+
+    def found(df):
+        return {r.column_name: r for r in sketches.merged(df).collect()}
+
+    got = found(store.read(name).filter("`Date` < '2025-01-06'"))
+    want = rows.filter("`Date` < '2025-01-06'").agg(
+        F.count_distinct("many"), F.count_distinct("few"), F.count_distinct("number")).first()
+    assert got["few"].distinct == want[1] and got["number"].distinct == want[2]
+    assert abs(got["many"].distinct - want[0]) < 0.06 * want[0]
+    assert {r.row_count for r in got.values()} == {30_000} and got["number"].null_count > 0
+    top = rows.filter("`Date` < '2025-01-06'").groupBy("few").count().agg(F.max("count")).first()[0]
+    assert got["few"].top[0]["count"] == top
+    # One date changes: its partition alone is read, and its sketches alone are rewritten.
+    files = {r[0] for r in store.read(name).select(F.col("_metadata.file_path")).collect()}
+    changed = rows.filter("`Date` = '2025-01-03'").withColumn("few", F.lit(9))
+    store.upsert(changed, "raw/t", mode="all_dates_in_batch")
+    plan = sketches.date_sketches(sketches.on_dates(store.read("raw/t"), changed.select("Date")), ["few"])
+    scan = re.search(r"PartitionFilters: \[[^\]]*\]", plan._jdf.queryExecution().executedPlan().toString())
+    assert scan and "subquery" in scan[0]
+    sketches.refresh(store, "raw/t", ["many", "few", "number"], changed.select("Date"))
+    after = {r[0] for r in store.read(name).select(F.col("_metadata.file_path")).collect()}
+    assert len(files - after) == len(after - files) == 1
+    assert found(store.read(name))["few"].distinct == 4
