@@ -802,6 +802,15 @@ def forecast_many(spark, sf_dir):
     return _rounded(rows, "yhat")
 
 
+@query
+def forecast_recursive(spark, sf_dir):
+    """A day's lags and one MA term, fitted by recursion over chunks of one long series."""
+    series = st.order_series(st.table(spark, sf_dir, "orders"))
+    placed = forecasting.placed(series, "Ontario_Demand", ["series"])
+    rows = forecasting.recursive_forecast(placed, "Ontario_Demand", ["series"], (24, 1, 1))
+    return _rounded(rows, "yhat")
+
+
 @query
 def forecast_exact(spark, sf_dir):
     """Exact likelihood over hours with gaps, a series per group of users."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridspan import schemas
 from gridspan.functions import wall_clock
-from gridspan.operators import exact
+from gridspan.operators import exact, recursion
 from gridspan.operators import forecast as fc
 from gridspan.operators.ordering import time_split
 from gridspan.session import materialize
@@ -69,6 +69,19 @@ def _held_out(
     return actual.join(predicted, [*by, "step"]).select(*by, "step", timestamp, value, "yhat")
 
 
+def recursive_forecast(
+    rows: DataFrame,
+    value: str,
+    by: Sequence[str],
+    order: tuple[int, int, int] = schemas.WEEKLY_ORDER,
+    timestamp: str = "timestamp",
+) -> DataFrame:
+    """As `holdout_forecast`, with MA terms fitted on the residuals' own recursion."""
+    p, _, q = order
+    models = recursion.fit_recursive(train_part(rows), value, p, q, by).filter("status = 'fitted'")
+    return _held_out(models, rows, value, by, timestamp)
+
+
 def exact_forecast(
     rows: DataFrame, value: str, by: Sequence[str], p: int = schemas.SHORT_ORDER[0], timestamp: str = "timestamp"
 ) -> DataFrame:

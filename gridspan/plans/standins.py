@@ -77,6 +77,15 @@ def user_series(events: DataFrame) -> DataFrame:
     return sums.select("series", G.hour_start().alias("timestamp"), "Ontario_Demand")
 
 
+def order_series(orders: DataFrame) -> DataFrame:
+    """(series, timestamp, Ontario_Demand): one long series, an hour for each order's price."""
+    hours = F.make_dt_interval(F.lit(0), F.col("o_orderkey").cast("int"))
+    return orders.select(
+        F.lit("orders").alias("series"), (F.lit("2000-01-01").cast("timestamp_ntz") + hours).alias("timestamp"),
+        (F.col("o_totalprice") / 1000).alias("Ontario_Demand"),
+    )
+
+
 def item_lines(lineitem: DataFrame) -> DataFrame:
     """Line items as demand lines: months as dates, some of them wrong, some values no number."""
     month = F.trunc("l_shipdate", "month").cast("string")

@@ -21,8 +21,9 @@ def test_query_equals_its_sql(spark, con, name):
     assert oracle.compare(QUERIES[name](spark, SF_DIR), con, SQL[name]) == ""
 
 
-#: Iterative, so without SQL; tests/test_exact.py holds it against a naive filter.
-NO_SQL = {"forecast_exact"}
+#: Iterative, so without SQL; tests/test_exact.py holds one against a naive filter,
+#: tests/test_recursion.py the other against the residuals one after the other.
+NO_SQL = {"forecast_exact", "forecast_recursive"}
 
 
 def test_every_query_has_its_sql():
@@ -30,8 +31,9 @@ def test_every_query_has_its_sql():
     assert set(SQL) <= set(QUERIES)
 
 
-def test_exact_forecast_is_of_every_held_out_hour(spark):
-    rows = QUERIES["forecast_exact"](spark, SF_DIR).collect()
+@pytest.mark.parametrize("name", sorted(NO_SQL))
+def test_iterative_forecasts_are_of_held_out_hours(spark, name):
+    rows = QUERIES[name](spark, SF_DIR).collect()
     assert rows and all(r.step > 0 and r.yhat is not None for r in rows)
 
 
