@@ -2,7 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. What a stage returns is
 written as Parquet and read again as the next one's docs. All but the last return the
-columns of documents.
+columns of documents, others that docs may have included.
+
+Odd rows. A missing or empty text and one without words is rejected by the quality rules. A
+text without a letter, or in no language that the network knows, is rejected by the language
+stage. Near-duplicates are rows: of rows with equal or nearly equal texts one stays, that
+with the smallest id, a missing id being the largest; rows without words are equal to none. The
+mixture draws rows, so that a repeated id is drawn row by row, and keeps the last document of
+a leaf whole; a missing language or source is a leaf of its own, and leaves without words are
+not read. Texts of any length are read whole in every stage. Without documents every stage is
+empty; without labels the learned rules keep what the base limits keep.
 """
 
 from __future__ import annotations
