@@ -1,4 +1,9 @@
-"""Connected components of an edge table, in rounds of stored tables."""
+"""Connected components of an edge table, in rounds of stored tables.
+
+Edges with a missing end, loops and repeated edges count for nothing; without edges there are
+no rows. Other columns are ignored. A vertex in very many edges is joined by a shuffle, which
+adaptive execution splits.
+"""
 
 from __future__ import annotations
 

@@ -1,6 +1,8 @@
 """Statistics of texts as built-in column functions.
 
-A missing text has the statistics of an empty one: counts and shares of 0.
+A missing text has the statistics of an empty one, as has one without words: counts and shares
+of 0, save its symbols. A text of any length is measured whole, inside its row. Rows are
+measured one by one, repeated ones too; other columns may have any name.
 """
 
 from __future__ import annotations
