@@ -44,6 +44,8 @@ END = ""
 FREQUENT = 200_000
 #: Distinct words that a counting task holds before it passes their counts on.
 HELD_WORDS = 200_000
+#: Words whose scores are computed at a time.
+SCORED = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -182,7 +184,8 @@ class Model:
         return out
 
     def scores(self, h: np.ndarray, w: np.ndarray) -> np.ndarray:
-        return np.einsum("ij,ij->i", self.context[h], self.word[w]) + self.bias[w]
+        context, word = self.context.take(h, axis=0), self.word.take(w, axis=0)
+        return np.einsum("ij,ij->i", context, word) + self.bias.take(w)
 
     def table(self) -> np.ndarray:
         return np.concatenate([self.context, self.word, self.bias[:, None]], axis=1)
@@ -238,12 +241,17 @@ class Trainer:
         self.weight = settings.noise * unigram
         self.shift = np.log(settings.noise * unigram).astype(np.float32)
 
-    def _move(self, name: str, rows: np.ndarray, gradient: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
+    def _grouped(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order that puts equal rows together, where each begins in it, and the rows."""
+        small = rows.astype(np.uint16) if len(self.shift) <= 1 << 16 else rows  # sorted by radix
+        order = np.argsort(small, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.diff(rows, prepend=-1))
-        total = np.add.reduceat(gradient[order], first, axis=0)
-        rows = rows[first]
+        return order, first, rows[first]
+
+    def _move(self, name: str, grouped: tuple, gradient: np.ndarray) -> None:
+        order, first, rows = grouped
+        total = np.add.reduceat(gradient.take(order, axis=0), first, axis=0)
         squares = getattr(self.squares, name)
         squares[rows] += total * total
         getattr(self.model, name)[rows] += self.settings.rate * total / np.sqrt(squares[rows])
@@ -269,13 +277,13 @@ class Trainer:
     def _batch(self, h: np.ndarray, w: np.ndarray, n: np.ndarray) -> None:
         m, shift = self.model, self.shift
         noise, weight = self._noise()
-        context, word, drawn = m.context[h], m.word[w], m.word[noise]
+        context, word, drawn = (x.take(i, axis=0) for x, i in ((m.context, h), (m.word, w), (m.word, noise)))
         data = np.einsum("ij,ij->i", context, word) + m.bias[w] - shift[w]
         off = context @ drawn.T + (m.bias[noise] - shift[noise])
         up = n / (1 + np.exp(data))
         down = (-n[:, None] * weight.astype(np.float32)) / (1 + np.exp(-off))
-        self._move("context", h, up[:, None] * word + down @ drawn)
-        words = np.concatenate([w, noise])
+        self._move("context", self._grouped(h), up[:, None] * word + down @ drawn)
+        words = self._grouped(np.concatenate([w, noise]))
         self._move("word", words, np.concatenate([up[:, None] * context, down.T @ context]))
         self._move("bias", words, np.concatenate([up, down.sum(axis=0)]))
 
@@ -306,6 +314,18 @@ def _places(offsets: np.ndarray, places: int) -> np.ndarray:
     return np.arange(counts.sum()) + np.repeat(offsets[:-1] + places - starts, counts)
 
 
+def _credit(models: list[Model], weights: np.ndarray, contexts: list, w: np.ndarray) -> np.ndarray:
+    """Each place's share in the probabilities of all words `w`, added up."""
+    total, shift = np.zeros(len(models)), np.log(weights).astype(np.float32)
+    for a in range(0, len(w), SCORED):
+        part = slice(a, a + SCORED)
+        logs = [c + m.scores(h[part], w[part]) for c, m, h in zip(shift, models, contexts)]
+        for k, own in enumerate(logs):
+            others = sum((np.exp(x - own) for x in logs if x is not own), np.ones_like(own))
+            total[k] += (1 / others).sum(dtype=np.float64)
+    return total
+
+
 def _learner(shared, state, settings: Settings, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
@@ -319,15 +339,13 @@ def _learner(shared, state, settings: Settings, turn: int):
 
         def learn() -> None:
             w = np.concatenate([e[at] for e, at in held]).astype(np.int64)
-            logs = []
+            contexts = []
             for k, trainer in enumerate(trainers, 1):
                 h = np.concatenate([e[at - k] for e, at in held]).astype(np.int64)
                 pairs, count = np.unique(h * width + w, return_counts=True)
                 trainer.learn(pairs // width, pairs % width, count)
-                some = slice(None, None, 16)  # weights are two numbers
-                logs.append(np.log(start.weights[k - 1]) + trainer.model.scores(h[some], w[some]))
-            logs = np.stack(logs)
-            credit[:] += np.exp(logs - np.logaddexp.reduce(logs, axis=0)).mean(axis=1) * len(w)
+                contexts.append(h)
+            credit[:] += _credit([t.model for t in trainers], start.weights, contexts, w)
             held.clear()
 
         for batch in batches:

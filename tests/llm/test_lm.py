@@ -160,3 +160,21 @@ def test_more_words_of_one_count_than_travel(spark):
 def test_the_vocabulary_grows_with_distinct_words():
     settings = lm.Settings()
     assert [settings.vocabulary(n) for n in (10, 1 << 20, 1 << 24)] == [4096, 4096, 16384]
+
+
+@pytest.mark.parametrize("places", [1, 2, 3])
+def test_weights_of_places_follow_from_all_words(places):
+    rng = np.random.default_rng(5)
+    width, n = 40, 2 * lm.SCORED + 77
+    models = [
+        lm.Model.of_table(rng.normal(size=(width, 9)).astype(np.float32)) for _ in range(places)
+    ]
+    weights = rng.dirichlet(np.ones(places))
+    w, *contexts = rng.integers(0, width, (places + 1, n))
+    w[::16] = 0  # a word in sixteen is unlike the others
+    p = np.array([
+        q * np.exp([m.context[h] @ m.word[x] + m.bias[x] for h, x in zip(own, w)])
+        for q, m, own in zip(weights, models, contexts)
+    ])
+    expected = (p / p.sum(axis=0)).sum(axis=1)
+    assert np.allclose(lm._credit(models, weights, contexts, w), expected, rtol=1e-4)
