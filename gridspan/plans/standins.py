@@ -17,6 +17,8 @@ from gridspan import functions as G
 from gridspan import schemas
 
 INSTANT = datetime(2025, 1, 2, 8, 4, 5, 678000, tzinfo=timezone.utc)
+#: Documents that a landed XML file holds at most.
+FILE_REPORTS = 10_000
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -254,15 +256,18 @@ def fuel_xml(events: DataFrame) -> DataFrame:
 def land_xml(df: DataFrame, path: str, row_tag: str, by: Column | None = None) -> str:
     """Writes report documents in a default namespace, in a folder for each value of `by`.
 
-    An XML file is one task's work to read, so each writing task lands a file of its own.
+    An XML file is one task's work to read, so each writing task lands files of its own, of at
+    most FILE_REPORTS documents, without blanks between tags. A folder is dealt to as many tasks
+    as its size takes.
     """
     root = 'IMODocument xmlns="urn:hourly-reports"'
     if by is not None:
-        df = df.withColumn("report", by).repartition("report")
+        df = df.withColumn("report", by).hint("rebalance", "report")
     writer = df.write.format("xml").mode("append").options(rowTag=row_tag, rootTag=root)
     (writer if by is None else writer.partitionBy("report")).save(path)
     return path
 
+    writer = writer.options(maxRecordsPerFile=FILE_REPORTS, indent="")
 
 def capability_reports(lineitem: DataFrame, faulty: bool = False) -> DataFrame:
     """A report by shipping month and supplier, with hours by part.

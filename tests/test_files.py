@@ -9,7 +9,7 @@ from gridspan import schemas
 from gridspan.operators import quality, typing
 from gridspan.operators.reshape import wide_to_long
 from gridspan.operators.slices import latest_slice
-from gridspan.plans import ingest
+from gridspan.plans import ingest, standins
 from gridspan.sinks.store import EmptyBatchError
 from gridspan.sources import files
 
@@ -275,3 +275,28 @@ def test_a_large_document_is_parsed_by_many_tasks(spark, tmp_path, prefix):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(got) == 1200 and got == rows(whole, "GeneratorName", "Hour")
+
+
+def line_items(spark, n=3000):
+    numbers = spark.range(n)
+    return numbers.select(
+        F.col("id").alias("l_orderkey"), (F.col("id") * 7 % 90).alias("l_partkey"),
+        (F.col("id") % 60).alias("l_suppkey"), (F.col("id") % 50 + 0.0).alias("l_quantity"),
+        F.element_at(F.array(*map(F.lit, "ANR")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"),
+        F.timestamp_seconds(F.col("id") % 9 * 1_300_000).alias("l_shipdate"),
+    )
+
+
+@pytest.mark.parametrize("by", [None, "month"])
+def test_landed_xml_files_are_bounded(spark, tmp_path, monkeypatch, by):
+    monkeypatch.setattr(standins, "FILE_REPORTS", 4)
+    days = standins.item_fuel_days(line_items(spark))
+    column = F.substring("Day", 1, 7) if by else None
+    path = standins.land_xml(days, str(tmp_path / "landing"), "DailyData", by=column)
+    raw = files.scan_fuel_xml(spark.read, path).withColumn("file", F.col("_metadata.file_path"))
+    assert raw.groupBy("file").count().agg(F.max("count")).first()[0] <= 4
+    fields = ("Date", "fuel_type", "hour", "output")
+    text = F.to_xml(F.struct("Day", "HourlyData"), {"rowTag": "DailyData"})
+    parsed = days.select(F.from_xml(text, schemas.FUEL_DAY).alias("d")).select("d.*")
+    got, expected = (rows(typing.flatten_fuel(x), *fields) for x in (raw, parsed))
+    assert len(got) > 100 and got == expected
