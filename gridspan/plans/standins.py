@@ -200,13 +200,16 @@ def item_fuel_days(lineitem: DataFrame, faulty: Column | None = None) -> DataFra
     """A nested fuel document per month and supplier, of at most 24 hours of three fuels.
 
     Where `faulty` holds, some outputs are no integers: halves in hour 4, empty in hour 6. In
-    every fifth hour one fuel has none.
+    every fifth hour one fuel has none. A document's lines are brought together once, and summed,
+    listed by hour and by document where they are.
     """
-    month = F.trunc("l_shipdate", "month").alias("Date")
-    total = F.sum(F.round(F.col("l_quantity") * 100).cast("bigint"))
-    rows = lineitem.groupBy(
-        month, "l_suppkey", (F.col("l_partkey") % 24 + 1).alias("Hour"), "l_returnflag"
-    ).agg(total.cast("string").alias("total"))
+    lines = lineitem.select(
+        F.trunc("l_shipdate", "month").alias("Date"), "l_suppkey",
+        (F.col("l_partkey") % 24 + 1).alias("Hour"), "l_returnflag",
+        F.round(F.col("l_quantity") * 100).cast("bigint").alias("hundredths"),
+    ).repartition("Date", "l_suppkey")
+    total = F.sum("hundredths").cast("string").alias("total")
+    rows = lines.groupBy("Date", "l_suppkey", "Hour", "l_returnflag").agg(total)
     hour, flag = F.col("Hour"), F.col("l_returnflag")
     output = F.when((hour % 5 == 0) & (flag == "N"), F.lit(None)).otherwise(F.col("total"))
     if faulty is not None:

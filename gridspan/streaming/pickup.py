@@ -76,7 +76,7 @@ def take_in(
     rows = taken.table_rows()
     if feed.min_rows and rows.isEmpty():
         return
-    rows = materialize(settled(rows, mode), "settled")
+    rows = settled(rows, mode)
     write_settled(store, feed, rows, instant, write)
     if primary:
         refresh_primary(store, instant, rows.select("Date"), write)

@@ -300,3 +300,8 @@ def test_landed_xml_files_are_bounded(spark, tmp_path, monkeypatch, by):
     parsed = days.select(F.from_xml(text, schemas.FUEL_DAY).alias("d")).select("d.*")
     got, expected = (rows(typing.flatten_fuel(x), *fields) for x in (raw, parsed))
     assert len(got) > 100 and got == expected
+
+
+def test_a_documents_lines_are_brought_together_once(spark):
+    plan = standins.item_fuel_days(line_items(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1

@@ -10,6 +10,7 @@ from gridspan import schemas
 from gridspan.plans import ingest
 from gridspan.sinks.store import Store
 from gridspan.sources import files
+from gridspan.streaming import pickup
 from gridspan.streaming.pickup import (
     UpstreamTimeout, await_refresh, pick_up, quarantine, refresh_from_register, rejected_reports,
 )
@@ -280,3 +281,13 @@ def test_a_replayed_batch_changes_nothing(spark, store, tmp_path, instant):
     run(store, "demand", tmp_path, instant, "all_dates_in_batch")
     after = [sorted(map(str, df.collect())) for df in (store.read(schemas.DEMAND), store.register(), rejected_reports(store), store.date_counts(schemas.DEMAND))]
     assert before == after
+
+
+def test_a_batch_is_stored_once(spark, store, tmp_path, instant, monkeypatch):
+    stored = []
+    keep = pickup.materialize
+    monkeypatch.setattr(pickup, "materialize", lambda df, label: (stored.append(label), keep(df, label))[1])
+    land(tmp_path, "1.xml", fuel_text())
+    run(store, "fuel", tmp_path, instant, "all_dates_in_batch")
+    assert store.read(schemas.FUEL_OUTPUT).count() == 3
+    assert stored == ["bad-reports"]  # small; the typed batch itself is stored by `stage`
