@@ -333,7 +333,7 @@ def capability_one_document(spark, sf_dir):
     """A single large report, cut at its generators and parsed block by block."""
     path = scratch(spark, "document")
     landing = st.land_one_document(st.table(spark, sf_dir, "lineitem"), path)
-    return typing.flatten_capability(files.scan_generator_blocks(spark, landing))
+    return typing.flatten_capability(files.scan_generator_blocks(spark, landing, parts=True))
 
 
 @query

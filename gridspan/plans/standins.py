@@ -267,10 +267,10 @@ def land_xml(df: DataFrame, path: str, row_tag: str, by: Column | None = None) -
     if by is not None:
         df = df.withColumn("report", by).hint("rebalance", "report")
     writer = df.write.format("xml").mode("append").options(rowTag=row_tag, rootTag=root)
+    writer = writer.options(maxRecordsPerFile=FILE_REPORTS, indent="")
     (writer if by is None else writer.partitionBy("report")).save(path)
     return path
 
-    writer = writer.options(maxRecordsPerFile=FILE_REPORTS, indent="")
 
 def capability_reports(lineitem: DataFrame, faulty: bool = False) -> DataFrame:
     """A report by shipping month and supplier, with hours by part.
@@ -312,24 +312,24 @@ def capability_reports(lineitem: DataFrame, faulty: bool = False) -> DataFrame:
 
 
 def land_one_document(lineitem: DataFrame, path: str) -> str:
-    """One capability report of the newest month with all generators, as a single file.
+    """One capability report of the newest month with all generators, in the folder `path`.
 
-    Generators are suppliers by month. They are lines of text, so no task holds the document.
+    Generators are suppliers by month. The document is cut behind generators into the files that
+    tasks write, the heading in the first and the foot in the last, so no task sees all of it.
     """
     reports = capability_reports(lineitem)
     own = F.col("Generators.Generator")
     month = F.concat(F.lit("-"), F.substring("Date", 1, 7))
     generator = own.withField("GeneratorName", F.concat(own["GeneratorName"], month))
-    blocks = reports.select(F.lit(1).alias("at"), F.to_xml(generator, {"rowTag": "Generator"}).alias("line"))
-    head = reports.agg(F.max("Date").alias("d")).select(
-        F.lit(0).alias("at"),
+    blocks = reports.select(F.to_xml(generator, {"rowTag": "Generator"}).alias("line"))
+    newest = lineitem.agg(F.trunc(F.max("l_shipdate"), "month").cast("string").alias("d"))
+    head = newest.select(
         F.concat(
             F.lit('<IMODocument xmlns="urn:hourly-reports"><IMODocBody><Date>'), "d", F.lit("</Date><Generators>")
         ).alias("line"),
     )
     foot = lineitem.sparkSession.range(1).select(
-        F.lit(2).alias("at"), F.lit("</Generators></IMODocBody></IMODocument>").alias("line")
+        F.lit("</Generators></IMODocBody></IMODocument>").alias("line")
     )
-    lines = head.unionByName(blocks).unionByName(foot).repartition(1).sortWithinPartitions("at")
-    lines.select("line").write.text(path)
+    head.unionByName(blocks).unionByName(foot).write.text(path)
     return path

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspan import schemas
+from gridspan.session import materialize
 
 REJECT = "_rejected_line"
 LANDING = "_landing"
@@ -18,6 +19,8 @@ LANDING = "_landing"
 VERSION = "/version=([0-9]{1,18})-[0-9a-f]{32}/"
 #: The line or document of a row that can't be read whole.
 BROKEN = "_broken"
+#: Reports whose dates travel with the tasks that read their generators.
+DATED_REPORTS = 100_000
 
 
 def with_landing(scan: DataFrame, root: str) -> DataFrame:
@@ -111,24 +114,32 @@ def scan_capability_xml(reader, path: str, strict: bool = True) -> DataFrame:
     return _scan_xml(reader, path, "IMODocBody", schemas.CAPABILITY_REPORT, strict)
 
 
-def scan_generator_blocks(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+def scan_generator_blocks(
+    spark: SparkSession, path: str, prefix: str = "", parts: bool = False
+) -> DataFrame:
     """One row per generator of capability reports, in the layout of `scan_capability_xml`.
 
     For large documents: files are cut behind each generator's closing tag, so that one is
     read by many tasks, and each block is parsed by itself. A report's date stands before its
-    generators, in one block only, and is joined to the others by file; a file holds one
-    report. `prefix` is that of the tags, with its colon. Closing tags must not stand in
+    generators, in one block only, and is joined to the others by report. A file holds one
+    report; with `parts` a folder does, in files that are cut behind generators. Dates are a
+    stored table, which travels with the tasks if it has at most DATED_REPORTS rows. `prefix` is that of the tags, with its colon. Closing tags must not stand in
     comments. A block that cannot be parsed fails the job.
     """
     pieces = spark.read.option("lineSep", f"</{prefix}Generator>").text(path)
-    pieces = pieces.select("value", F.col("_metadata.file_path").alias("_file"))
+    file = F.col("_metadata.file_path")
+    report = F.regexp_replace(file, "/[^/]*$", "") if parts else file
+    pieces = pieces.select("value", report.alias("_report"))
     date = F.regexp_extract("value", rf"<{prefix}Date>([^<]*)</{prefix}Date>", 1)
-    dates = pieces.withColumn("Date", date).filter("`Date` <> ''").groupBy("_file").agg(F.max("Date").alias("Date"))
+    dated = pieces.withColumn("Date", date).filter("`Date` <> ''").groupBy("_report").agg(F.max("Date").alias("Date"))
+    dates = materialize(dated, "report-dates")
+    if dates.limit(DATED_REPORTS + 1).count() <= DATED_REPORTS:
+        dates = F.broadcast(dates)
     at = F.regexp_instr("value", F.lit(rf"<{prefix}Generator[\s>]"))
     block = F.concat(F.substr("value", at), F.lit(f"</{prefix}Generator>"))
     bare = F.regexp_replace(block, rf"(</?){prefix}", "$1") if prefix else block
     options = {"rowTag": "Generator", "mode": "FAILFAST", "ignoreNamespace": "true"}
     parsed = F.from_xml(bare, schemas.GENERATOR, options)
-    rows = pieces.filter(at > 0).select("_file", parsed.alias("g")).join(dates, "_file", "left")
+    rows = pieces.filter(at > 0).select("_report", parsed.alias("g")).join(dates, "_report", "left")
     nested = f"STRUCT<Generator: ARRAY<{schemas.GENERATOR}>>"
     return rows.select("Date", F.lit(None).cast(nested).alias("Generators"), F.array("g").alias("Generator"))

@@ -305,3 +305,21 @@ def test_landed_xml_files_are_bounded(spark, tmp_path, monkeypatch, by):
 def test_a_documents_lines_are_brought_together_once(spark):
     plan = standins.item_fuel_days(line_items(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
+
+
+def test_a_document_in_parts_is_no_tasks_whole_work(spark, tmp_path):
+    items = line_items(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = standins.land_one_document(items, str(tmp_path / "landing"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "landing").glob("part-*"))
+    assert len(parts) > 4
+    whole = tmp_path / "whole.xml"
+    whole.write_text("".join(p.read_text() for p in parts))
+    pieces = files.scan_generator_blocks(spark, path, parts=True)
+    order = ("GeneratorName", "Hour", "FuelType")
+    got = rows(typing.flatten_capability(pieces), *order)
+    expected = typing.flatten_capability(files.scan_capability_xml(spark.read, str(whole)))
+    assert len(got) > 100 and got == rows(expected, *order)
