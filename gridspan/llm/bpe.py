@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridspan.llm.frames import lists, slices
+from gridspan.llm.frames import lists, releasing, slices
 
 #: Pieces kept with their tokens in a task; beyond it the cache starts afresh.
 CACHE_PIECES = 1 << 17
@@ -442,6 +442,7 @@ def encode(
     with open(ranks_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
@@ -472,6 +473,7 @@ def decode(encoded: DataFrame, ranks_path: str, keep: list[str] | None = None) -
     with open(ranks_path, "rb") as f:
         shared = encoded.sparkSession.sparkContext.broadcast(f.read())
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, offsets = batch.column(len(keep)), batch.column(len(keep) + 1)
@@ -505,6 +507,7 @@ def digests(docs: DataFrame, ranks_path: str, keep: list[str] | None = None) ->
     with open(ranks_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         decimal = [b"%d," % i for i in range(len(encoder.token_sizes))]

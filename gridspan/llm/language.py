@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspan.llm.frames import held_out, slices
+from gridspan.llm.frames import held_out, releasing, slices
 
 #: Texts that are learned from, and windows of each.
 SAMPLE, PER_TEXT = 3000, 4
@@ -217,6 +217,7 @@ def prediction(docs: DataFrame, network: Network | None, text: str = "text") ->
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @releasing
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         net: Network | None = shared.value
         tables = net.tables() if net else []

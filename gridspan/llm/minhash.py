@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspan.llm.frames import lists, sized, slices
+from gridspan.llm.frames import lists, sized, releasing, slices
 from gridspan.llm.graph import components, composed, relabelled
 from gridspan.llm.words import mixed, shingles, words
 from gridspan.session import materialize
@@ -93,6 +93,7 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
+@releasing
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in slices(batch, "text"):
@@ -170,6 +171,7 @@ def _first_common_band(x: str, y: str) -> Column:
 
 
 def _confirmer(percent: int):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text_a"):

@@ -105,3 +105,15 @@ def test_frame(spark, reference, empty):
                 hashlib.sha256((text or "").encode()).hexdigest())
 
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(expected(*r)) for r in rows)
+
+
+def test_a_task_gives_freed_memory_back_and_keeps_its_rows():
+    def run(batches):
+        for b in batches:
+            held = [bytes(1000) for _ in range(20_000)]
+            yield b, len(held)
+
+    from gridspan.llm.frames import releasing
+
+    assert releasing(run).__name__ == "run"
+    assert list(releasing(run)([1, 2])) == [(1, 20_000), (2, 20_000)]
